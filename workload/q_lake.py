@@ -165,6 +165,6 @@ def w5(spark, d):
     return lake.latest_annotation(rows, ["recording_id"], "version")
 
 
-@query("ORD3", "SELECT run_id, status FROM fx_runs ORDER BY "at" DESC, run_id")
+@query("ORD3", 'SELECT run_id, status FROM fx_runs ORDER BY "at" DESC, run_id')
 def ord3(spark, d):
     return lake.newest_first(v.runs(spark, d), "at", "run_id").select("run_id", "status")
