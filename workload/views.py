@@ -45,15 +45,17 @@ def _pick(selector: Column, values) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), selector.cast("int"))
 
 
-def dataset_path(ds: Column) -> Column:
+def _path(ds: int) -> str:
+    """Path of dataset ``ds``: matched, unmatched and dual cases, some without a ``dataset_`` level."""
+    top = ("writingdesk", "v6_demo", "202510_all_dual", "kitchen")[ds % 4]
+    task = ("PenHolder", "PickPlace", "ScoopNuts", "Wipe", "drawer", "Unlisted")[ds % 6]
     nested = ds % 4 != 3
-    return F.concat(
-        _pick(ds % 4, ["writingdesk", "v6_demo", "202510_all_dual", "kitchen"]), F.lit("/"),
-        F.when(nested, 1000 + ds % 12).otherwise(1000 + ds).cast("string"), F.lit("_20260109_"),
-        _pick(ds % 6, ["PenHolder", "PickPlace", "ScoopNuts", "Wipe", "drawer", "Unlisted"]),
-        F.lit("_WB_moz1-k0"), (ds % 3).cast("string"),
-        F.when(nested, F.concat(F.lit("/dataset_0_30_"), ds.cast("string"))).otherwise(""),
-    )
+    number = 1000 + (ds % 12 if nested else ds)
+    return f"{top}/{number}_20260109_{task}_WB_moz1-k0{ds % 3}" + (f"/dataset_0_30_{ds}" if nested else "")
+
+
+def dataset_path(ds: Column) -> Column:
+    return _pick(ds, [_path(i) for i in range(24)])
 
 
 PATH_SQL = """concat(CASE {0} % 4 WHEN 0 THEN 'writingdesk' WHEN 1 THEN 'v6_demo' WHEN 2 THEN '202510_all_dual' ELSE 'kitchen' END,
