@@ -43,7 +43,9 @@ def dense_position(
     """0-based position of each row inside its key.
 
     ``block`` must grow with ``order``; by default it is the first order column,
-    an integer, cut into ranges of ``size``. The order must be unique in a key.
+    an integer, cut into ranges of ``size``. The order must be unique in a key,
+    and keys must not be null. Blocks are unique in ``offsets``, so the left join
+    lets Spark drop the whole computation where a plan ignores the position.
     """
     keys, order = list(keys), list(order)
     block = integer_block(order[0], size) if block is None else block
@@ -51,7 +53,7 @@ def dense_position(
     inside = F.row_number().over(Window.partitionBy(*keys, "_block").orderBy(*order))
     return (
         df.withColumn("_block", block)
-        .join(offsets, [*keys, "_block"])
+        .join(offsets, [*keys, "_block"], "left")
         .withColumn(name, (F.col("_offset") + inside - 1).cast("bigint"))
         .drop("_block", "_offset")
     )
@@ -67,7 +69,7 @@ def running_start(df: DataFrame, keys, order: str, value: str, name: str, size:
     )
     return (
         df.withColumn("_block", block)
-        .join(offsets, [*keys, "_block"])
+        .join(offsets, [*keys, "_block"], "left")
         .withColumn(
             name, (F.col("_offset") + F.coalesce(F.sum(value).over(earlier), F.lit(0))).cast("bigint")
         )
