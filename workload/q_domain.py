@@ -277,15 +277,14 @@ def dom14(spark, d):
 @query("DOM14_annotated", """SELECT c.dataset, c.recording_id, c.frame_index, s.ep AS episode_index, CAST(s.start + c.frame_index AS BIGINT) AS index,
   CASE WHEN c.recording_id % 10 = 0 THEN c.task_index ELSE coalesce(w.idx, 0) END AS task_index FROM fx_covered c
   JOIN (SELECT dataset, recording_id, CAST(row_number() OVER p - 1 AS BIGINT) AS ep, coalesce(sum(n) OVER (p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-    FROM (SELECT dataset, recording_id, count(*) AS n FROM fx_motion_frames WHERE recording_id % 2 = 0 GROUP BY 1, 2) q WINDOW p AS (PARTITION BY dataset ORDER BY recording_id)) s ON s.recording_id = c.recording_id
-  LEFT JOIN (SELECT dataset, action, row_number() OVER (PARTITION BY dataset ORDER BY action) AS idx FROM (SELECT DISTINCT dataset, action FROM fx_actions WHERE recording_id % 2 = 0) x) w
+    FROM (SELECT dataset, recording_id, count(*) AS n FROM fx_motion_frames GROUP BY 1, 2) q WINDOW p AS (PARTITION BY dataset ORDER BY recording_id)) s ON s.recording_id = c.recording_id
+  LEFT JOIN (SELECT dataset, action, row_number() OVER (PARTITION BY dataset ORDER BY action) AS idx FROM (SELECT DISTINCT dataset, action FROM fx_actions) x) w
     ON w.dataset = c.dataset AND w.action = c.action WHERE c.rn = 1""")
 def dom14_annotated(spark, d):
     frames = v.motion_frames(spark, d)
     users = v.table(spark, d, "events").select(*v._motion_keys()).distinct()
     episodes = users.withColumn("episode_index", F.col("recording_id")).withColumn("length", F.lit(0).cast("bigint"))
-    chosen = users.filter(F.col("recording_id") % 2 == 0)
-    return export_frames(export.export_dataset(chosen, episodes, frames, mode="annotated", annotations=v.annotations(spark, d)))
+    return export_frames(export.export_dataset(users, episodes, frames, mode="annotated", annotations=v.annotations(spark, d)))
 
 
 @query("SET2_frames", """SELECT 'all' AS dataset, f.recording_id, f.frame_index, s.ep AS episode_index, CAST(s.start + f.frame_index AS BIGINT) AS index FROM fx_frames f

@@ -43,11 +43,11 @@ def flt5(spark, d):
     return v.table(spark, d, "events").filter(keep).select("event_id", "user_id", "event_type")
 
 
-@query("FLT6", SELECTED + """ WHERE (qa = 'pass' OR (qa = 'warn' AND recording_id % 5 <> 0)) AND task IN ('t1', 't3')
-  AND recording_id % 4 <> 1 AND collected_at >= TIMESTAMP '1996-01-01 00:00:00' AND device = 'dev_b'""")
+@query("FLT6", SELECTED + """ WHERE (qa = 'pass' OR (qa = 'warn' AND frames <= 3000)) AND task IN ('t1', 't3')
+  AND type <> 'test' AND collected_at >= TIMESTAMP '1996-01-01 00:00:00' AND device = 'dev_b'""")
 def flt6(spark, d):
     rows = v.recordings(spark, d).withColumn("state", F.col("qa")).withColumn("qa", F.when(F.col("qa") != "warn", F.col("qa")))
-    rows = rows.withColumn("mistake", F.col("recording_id") % 5 == 0).withColumn("annotated", F.col("recording_id") % 4 != 1)
+    rows = rows.withColumn("mistake", F.col("frames") > 3000).withColumn("annotated", F.col("type") != "test")
     kept = lake.export_selection(
         rows, tasks=["t1", "t3"], devices=["dev_b"], annotated_only=True, include_unchecked=True, from_date="1996-01-01")
     return kept.withColumn("qa", F.col("state")).select(*COLUMNS)

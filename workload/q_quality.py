@@ -16,10 +16,9 @@ JOIN (SELECT recording_id, count(*) AS n FROM fx_frames GROUP BY recording_id) l
 
 
 @query("QC1", """SELECT d.dataset, i.frames AS meta_frames, coalesce(n, 0) AS data_frames, CASE WHEN i.frames IS NULL THEN 'skipped' WHEN i.frames = coalesce(n, 0) THEN 'ok' ELSE 'problem' END AS status
-  FROM fx_datasets d LEFT JOIN (SELECT * FROM fx_info WHERE NOT contains(dataset, 'drawer')) i ON i.dataset = d.dataset LEFT JOIN fx_data_frames f ON f.dataset = d.dataset""")
+  FROM fx_manifest d LEFT JOIN fx_info i ON i.dataset = d.dataset LEFT JOIN fx_data_frames f ON f.dataset = d.dataset""")
 def qc1(spark, d):
-    known = v.raw_episodes(spark, d).filter(~F.col("dataset").contains("drawer"))
-    return quality.frame_integrity(v.manifest(spark, d), known, v.frames(spark, d))
+    return quality.frame_integrity(v.wide_manifest(spark, d), v.raw_episodes(spark, d), v.frames(spark, d))
 
 
 @query("QC2", "SELECT dataset, recording_id, length, actual, matches FROM fx_length_check")
@@ -94,13 +93,11 @@ def src3(spark, d):
     return quality.parse_task_lines(rows.select("dataset", "line", value.alias("value")))
 
 
-@query("QC5", """SELECT d.dataset, p.path FROM fx_datasets d CROSS JOIN (VALUES ('dataset.json'), ('meta/info.json'), ('meta/tasks.jsonl'), ('meta/episodes.jsonl'), ('meta/episodes_stats.jsonl')) AS p(path)
-  WHERE (d.ds % 5 = 0 AND p.path = 'meta/tasks.jsonl') OR (d.ds % 7 = 0 AND p.path = 'dataset.json')""")
+@query("QC5", """SELECT d.dataset, p.path FROM fx_manifest d CROSS JOIN (VALUES ('dataset.json'), ('meta/info.json'), ('meta/tasks.jsonl'), ('meta/episodes.jsonl'), ('meta/episodes_stats.jsonl')) AS p(path)
+  WHERE d.dataset NOT IN (SELECT dataset FROM fx_datasets)""")
 def qc5(spark, d):
-    sets = v.datasets(spark, d)
-    files = sets.select("ds", "dataset", F.explode(F.array(*[F.lit(p) for p in quality.REQUIRED_FILES])).alias("path"))
-    gone = ((F.col("ds") % 5 == 0) & (F.col("path") == "meta/tasks.jsonl")) | ((F.col("ds") % 7 == 0) & (F.col("path") == "dataset.json"))
-    return quality.missing_files(sets, files.filter(~gone))
+    files = v.datasets(spark, d).select("dataset", F.explode(F.array(*[F.lit(p) for p in quality.REQUIRED_FILES])).alias("path"))
+    return quality.missing_files(v.wide_manifest(spark, d), files)
 
 
 @query("QC5_fields", """SELECT dataset, 'length' AS field, count(*) - count(length) AS missing FROM fx_episodes GROUP BY dataset

@@ -41,13 +41,13 @@ def j1(spark, d):
     return sampling.attach_info(v.manifest(spark, d), v.info(spark, d), "error")
 
 
-@query("SRC2", """SELECT d.dataset, d.weight, coalesce(i.frames, 0) AS frames, 'zero' AS policy FROM fx_datasets d
-  LEFT JOIN (SELECT * FROM fx_info WHERE contains(dataset, 'PickPlace')) i ON i.dataset = d.dataset
-  UNION ALL SELECT d.dataset, d.weight, i.frames, 'skip' FROM fx_datasets d JOIN fx_info i ON i.dataset = d.dataset WHERE contains(i.dataset, 'PickPlace')""")
+@query("SRC2", """SELECT d.dataset, d.weight, coalesce(i.frames, 0) AS frames, 'zero' AS policy FROM fx_manifest d
+  LEFT JOIN fx_info i ON i.dataset = d.dataset
+  UNION ALL SELECT d.dataset, d.weight, i.frames, 'skip' FROM fx_manifest d JOIN fx_info i ON i.dataset = d.dataset""")
 def src2(spark, d):
-    partial = v.info(spark, d).filter(F.col("dataset").contains("PickPlace"))
-    zero = sampling.attach_info(v.manifest(spark, d), partial, "zero").withColumn("policy", F.lit("zero"))
-    return zero.unionByName(sampling.attach_info(v.manifest(spark, d), partial, "skip").withColumn("policy", F.lit("skip")))
+    entries, known = v.wide_manifest(spark, d), v.info(spark, d)
+    zero = sampling.attach_info(entries, known, "zero").withColumn("policy", F.lit("zero"))
+    return zero.unionByName(sampling.attach_info(entries, known, "skip").withColumn("policy", F.lit("skip")))
 
 
 @query("J2", "SELECT dataset, prompt, count(*) AS frames FROM fx_prompts GROUP BY dataset, prompt")

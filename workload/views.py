@@ -78,6 +78,16 @@ def manifest(spark, d) -> DataFrame:
     return datasets(spark, d).select("dataset", "weight")
 
 
+VIEWS["fx_manifest"] = """
+SELECT dataset, weight FROM fx_datasets UNION ALL SELECT concat('gone/', r_name), CAST(1 AS DOUBLE) FROM region"""
+
+
+def wide_manifest(spark, d) -> DataFrame:
+    """The manifest with further entries that have no data."""
+    gone = table(spark, d, "region").select(F.concat(F.lit("gone/"), "r_name").alias("dataset"), F.lit(1.0).alias("weight"))
+    return manifest(spark, d).unionByName(gone)
+
+
 VIEWS["fx_recordings"] = """
 SELECT o_orderkey AS recording_id, o_custkey % 24 AS ds,
   concat('t', CAST(1 + o_orderkey % 3 AS VARCHAR)) AS task, o_custkey AS collection_id,
@@ -199,9 +209,9 @@ FROM fx_placed_events"""
 
 def placed_events(spark, d) -> DataFrame:
     """Events of a user as the frames of an episode."""
-    day = F.datediff(F.col("ts"), F.lit("1970-01-01").cast("date"))
+    minute = F.timestamp_diff("MINUTE", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts"))
     rows = table(spark, d, "events").select(F.col("user_id").alias("episode"), "ts", "value", "event_id")
-    return dense_position(rows, ["episode"], ["ts"], "frame_index", block=day)
+    return dense_position(rows, ["episode"], ["ts"], "frame_index", block=minute)
 
 
 def signal(spark, d) -> DataFrame:
@@ -296,8 +306,9 @@ SELECT concat('ds', CAST(o.o_custkey AS VARCHAR)) AS dataset, o.o_custkey AS dat
 FROM orders o JOIN (SELECT o_custkey, max(o_orderkey) AS hi, min(o_orderkey) AS lo FROM orders GROUP BY o_custkey) m ON m.o_custkey = o.o_custkey"""
 VIEWS["fx_requests"] = """
 SELECT concat('ds', CAST(o_custkey AS VARCHAR)) AS dataset,
-  concat('v', CAST(CASE o_custkey % 3 WHEN 0 THEN max(o_orderkey) ELSE min(o_orderkey) END AS VARCHAR)) AS version
-FROM orders GROUP BY o_custkey HAVING o_custkey % 3 < 2"""
+  CASE o_custkey % 3 WHEN 0 THEN concat('v', CAST(max(o_orderkey) AS VARCHAR)) WHEN 1 THEN concat('v', CAST(min(o_orderkey) AS VARCHAR))
+    ELSE 'none' END AS version
+FROM orders GROUP BY o_custkey"""
 
 
 def versions(spark, d) -> DataFrame:
@@ -314,12 +325,13 @@ def versions(spark, d) -> DataFrame:
 
 
 def requests(spark, d) -> DataFrame:
-    """A third of the datasets ask for their draft, a third for a version that is none."""
+    """A third of the datasets ask for their draft, a third for another version, a third for one that is missing."""
     ends = table(spark, d, "orders").groupBy("o_custkey").agg(F.max("o_orderkey").alias("hi"), F.min("o_orderkey").alias("lo"))
-    wanted = F.when(F.col("o_custkey") % 3 == 0, F.col("hi")).otherwise(F.col("lo"))
-    return ends.filter(F.col("o_custkey") % 3 < 2).select(
+    named = lambda c: F.concat(F.lit("v"), F.col(c).cast("string"))
+    turn = F.col("o_custkey") % 3
+    return ends.select(
         F.concat(F.lit("ds"), F.col("o_custkey").cast("string")).alias("dataset"),
-        F.concat(F.lit("v"), wanted.cast("string")).alias("version"),
+        F.when(turn == 0, named("hi")).when(turn == 1, named("lo")).otherwise("none").alias("version"),
     )
 
 
