@@ -9,6 +9,7 @@ from tracemill.functions.paths import episode_from_path, episode_path
 from tracemill.functions.text import english_only_all
 from tracemill.operators.positions import dense_position, running_start
 from tracemill.operators.relabel import EPISODE, relabel_first_task, task_vocabulary
+from tracemill.session import materialise
 
 
 def reindex_episodes(episodes: DataFrame, keys=("dataset",), keep_old: bool = False) -> DataFrame:
@@ -25,10 +26,11 @@ def episode_starts(frames: DataFrame, episodes: DataFrame, keys=("dataset",)) ->
     """Number of the first frame of each episode that has frames.
 
     Counted on the data, not on the metadata, as the numbering follows the rows.
+    The lengths are written once, as both steps of the running sum need them.
     """
     lengths = frames.groupBy(*EPISODE).agg(F.count(F.lit(1)).alias("n_frames"))
     placed = episodes.select(*{*keys, *EPISODE}, "episode_index").join(lengths, list(EPISODE))
-    return running_start(placed, keys, "episode_index", "n_frames", "first_index")
+    return running_start(materialise(placed), keys, "episode_index", "n_frames", "first_index")
 
 
 def fix_indices(frames: DataFrame, episodes: DataFrame, keys=("dataset",)) -> DataFrame:
@@ -112,7 +114,9 @@ def dagger_subset(
     numbered anew, and the counts taken from the frames that exist.
     """
     kept = filter_dagger(episodes, dagger_type)
-    renumbered = reindex_episodes(kept).withColumn("tasks", english_only_all(F.col("tasks")))
+    renumbered = materialise(
+        reindex_episodes(kept).withColumn("tasks", english_only_all(F.col("tasks")))
+    )
     names = renumbered.select("dataset", F.explode("tasks").alias("task"))
     vocabulary = task_vocabulary(names)
     mine = frames.join(renumbered.select(*EPISODE), list(EPISODE), "left_semi")

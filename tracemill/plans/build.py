@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tracemill.functions.paths import match_group
 from tracemill.operators import compose, lake, quality, sampling, split, stats
 from tracemill.operators.relabel import EPISODE
+from tracemill.session import materialise
 
 
 class GateError(ValueError):
@@ -30,7 +31,7 @@ def build_dataset(
         split.recipe_sample(clean, n, seed) if quotas is None
         else split.recipe_sample_by_class(clean, quotas, by, seed)
     ).select("recording_id")
-    mine = episodes.join(sample, "recording_id", "left_semi")
+    mine = materialise(episodes.join(sample, "recording_id", "left_semi"))
     numbered = split.split_episodes(split.split_by_hash(mine, ratio, seed))
     rows = frames.join(numbered.select(*EPISODE), list(EPISODE), "left_semi")
     names = mine.select("dataset").distinct()

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tracemill.operators import relabel
 from tracemill.operators.indices import dagger_subset, dataset_info, fix_indices, reindex_episodes
 from tracemill.operators.relabel import EPISODE
+from tracemill.session import materialise
 
 
 def export_dataset(
@@ -26,7 +27,7 @@ def export_dataset(
     rows = frames.join(ids, "recording_id", "left_semi")
     if mode == "dagger":
         return dagger_subset(rows, mine, dagger_type, chunks_size, cameras)
-    numbered = reindex_episodes(mine)
+    numbered = materialise(reindex_episodes(mine))
     if mode == "annotated":
         named = relabel.episode_tasks_from_annotation(numbered, annotations, prefer)
     elif mode == "base":

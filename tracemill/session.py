@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,17 +29,15 @@ def build_session(app: str = "tracemill", **overrides: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder for checkpoints and intermediate tables.
+    """The folder for intermediate tables.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``. Only a local
     session without that setting gets a temporary folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    context = spark.sparkContext
     if configured:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(configured)
-        return configured
+        return configured.rstrip("/")
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
@@ -47,9 +46,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write a step to the shared folder so that its partitions stay fixed.
+    """Write a step to the shared folder and go on from the written table.
 
-    A reliable checkpoint, so losing executors afterwards loses nothing.
+    The step runs once however often it is used, losing executors afterwards
+    loses nothing, and Spark knows its size when it plans the joins.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = f"{shared_dir(df.sparkSession)}/step-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
