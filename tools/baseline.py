@@ -1,0 +1,10 @@
+"""Print a bench result as a markdown table. usage: python tools/baseline.py bench.json"""
+
+import json
+import sys
+
+bench = json.load(open(sys.argv[1], encoding="utf-8"))
+print("| query | warm s | cold s |\n|---|---|---|")
+for name, seconds in sorted(bench["queries"].items()):
+    print(f"| {name} | {seconds:.2f} | {bench['cold'][name]:.2f} |")
+print(f"| **sum** | {sum(bench['queries'].values()):.1f} | {sum(bench['cold'].values()):.1f} |")
