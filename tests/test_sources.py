@@ -9,7 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tracemill.operators.quality import chinese_tasks, parse_task_lines
+from tracemill.operators.quality import (
+    chinese_report, chinese_summary, chinese_tasks, parse_task_lines, unreadable_datasets,
+)
 from tracemill.operators.sampling import attach_info
 from tracemill.sources import readers, writers
 
@@ -89,6 +91,18 @@ def test_malformed_lines(spark, root):
         (DATASETS[0], 3, 1, ["擦"]), (DATASETS[1], 4, 2, ["擦"])]
 
 
+def test_unreadable_file_is_reported(spark, root, table):
+    path = f"{root}/{DATASETS[1]}/meta/tasks.jsonl"
+    with open(path, "ab") as f:
+        f.write(b'{"task_index": 5, "task": "\xff\xfe"}\n')
+    lines = readers.read_numbered_lines(spark, root, "tasks.jsonl")
+    manifest = table([(DATASETS[0],), (DATASETS[1],), ("gone",)], "dataset string")
+    report = chinese_report(manifest, parse_task_lines(lines), unreadable_datasets(lines))
+    assert rows(report, "dataset", "status") == [(DATASETS[0], "has_chinese"), (DATASETS[1], "error"), ("gone", "not_found")]
+    assert chinese_summary(report).first().asDict() == {
+        "total": 3, "no_chinese": 0, "has_chinese": 1, "not_found": 1, "error": 1, "passed": False}
+
+
 def test_line_numbers_run_over_file_splits(spark, tmp_path):
     put(str(tmp_path / "d/meta/tasks.jsonl"), "".join(f"line {i}\n" for i in range(1, 2001)))
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")

@@ -73,21 +73,29 @@ def parse_task_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def chinese_report(manifest: DataFrame, tasks: DataFrame) -> DataFrame:
-    """Per dataset ``has_chinese``, ``no_chinese`` or ``not_found``, with the count."""
+def unreadable_datasets(lines: DataFrame) -> DataFrame:
+    """Datasets with a line that is no valid UTF-8."""
+    broken = lines.groupBy("dataset").agg(F.count_if(~F.is_valid_utf8("value")).alias("broken"))
+    return broken.filter(F.col("broken") > 0).select("dataset")
+
+
+def chinese_report(manifest: DataFrame, tasks: DataFrame, unreadable: DataFrame | None = None) -> DataFrame:
+    """Per dataset ``has_chinese``, ``no_chinese``, ``not_found`` or ``error``, with the count."""
     found = tasks.groupBy("dataset").agg(F.count_if(contains_chinese(F.col("task"))).alias("chinese_tasks"))
-    return manifest.select("dataset").join(found, "dataset", "left").withColumn(
-        "status",
-        F.when(F.col("chinese_tasks").isNull(), "not_found")
-        .when(F.col("chinese_tasks") > 0, "has_chinese").otherwise("no_chinese"),
-    ).fillna(0, ["chinese_tasks"])
+    rows = manifest.select("dataset").join(found, "dataset", "left")
+    status = F.when(F.col("chinese_tasks").isNull(), "not_found").when(
+        F.col("chinese_tasks") > 0, "has_chinese").otherwise("no_chinese")
+    if unreadable is not None:
+        rows = rows.join(unreadable.select("dataset", F.lit(True).alias("_broken")), "dataset", "left")
+        status = F.when(F.col("_broken"), "error").otherwise(status)
+    return rows.withColumn("status", status).drop("_broken").fillna(0, ["chinese_tasks"])
 
 
 def chinese_summary(report: DataFrame) -> DataFrame:
     """One row with the counts of the report and whether it passes."""
     return report.agg(
         F.count(F.lit(1)).alias("total"),
-        *[F.count_if(F.col("status") == s).alias(s) for s in ("no_chinese", "has_chinese", "not_found")],
+        *[F.count_if(F.col("status") == s).alias(s) for s in ("no_chinese", "has_chinese", "not_found", "error")],
     ).withColumn("passed", F.col("has_chinese") == 0)
 
 

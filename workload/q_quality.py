@@ -56,7 +56,7 @@ def _named(spark, d):
     return v.table(spark, d, "nation").select(F.concat(F.lit("ds"), F.col("n_nationkey").cast("string")).alias("dataset"))
 
 
-@query("QC4_summary", """SELECT count(*) AS total, count(*) FILTER (n = 0) AS no_chinese, count(*) FILTER (n > 0) AS has_chinese, count(*) FILTER (n IS NULL) AS not_found,
+@query("QC4_summary", """SELECT count(*) AS total, count(*) FILTER (n = 0) AS no_chinese, count(*) FILTER (n > 0) AS has_chinese, count(*) FILTER (n IS NULL) AS not_found, CAST(0 AS BIGINT) AS error,
   count(*) FILTER (n > 0) = 0 AS passed FROM (SELECT concat('ds', CAST(n_nationkey AS VARCHAR)) AS dataset FROM nation) m
   LEFT JOIN (SELECT dataset, count(*) FILTER (regexp_matches(task, '[一-鿿]')) AS n FROM fx_task_text GROUP BY dataset) t ON t.dataset = m.dataset""")
 def qc4_summary(spark, d):
