@@ -44,7 +44,8 @@ def dense_position(
 
     ``block`` must grow with ``order``; by default it is the first order column,
     an integer, cut into ranges of ``size``. The order must be unique in a key,
-    and keys must not be null. Blocks are unique in ``offsets``, so the left join
+    and keys must not be null. The input is read twice, so a costly one should be
+    written with ``materialise`` first. Blocks are unique in ``offsets``, so the left join
     lets Spark drop the whole computation where a plan ignores the position.
     """
     keys, order = list(keys), list(order)

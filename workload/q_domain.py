@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tracemill.functions.numbers import hash32
 from tracemill.operators import indices, relabel, split
 from tracemill.plans import build, export
+from tracemill.session import materialise
 from workload import views as v
 from workload.registry import VIEWS, query
 from workload.q_paths import files
@@ -137,6 +138,11 @@ def sided(spark, d):
     return split.split_by_hash(v.episodes(spark, d), 0.9)
 
 
+def numbered(spark, d):
+    """Both sides numbered anew. The derived episodes are written first, as numbering reads them twice."""
+    return split.split_episodes(materialise(sided(spark, d)))
+
+
 @query("DOM2", "SELECT dataset, recording_id, episode_index, split FROM fx_sided")
 def dom2(spark, d):
     return sided(spark, d).select("dataset", "recording_id", "episode_index", "split")
@@ -156,10 +162,10 @@ def dom3(spark, d):
 @query("DOM3_files", """SELECT n.dataset, n.split, n.recording_id, concat(n.dataset, '/data/chunk-', lpad(CAST(n.episode_index // 100 AS VARCHAR), 3, '0'),
   '/episode_', lpad(CAST(n.episode_index AS VARCHAR), 6, '0'), '.parquet') AS path FROM fx_numbered n""")
 def dom3_files(spark, d):
-    episodes = v.episodes(spark, d)
-    numbered = split.split_episodes(split.split_by_hash(episodes, 0.9)).select("dataset", "split", "old_episode_index", "episode_index")
+    episodes = materialise(sided(spark, d))
+    renumbered = split.split_episodes(episodes).select("dataset", "split", "old_episode_index", "episode_index")
     own = F.concat("dataset", F.format_string("/data/chunk-%03d/episode_%06d.parquet", F.floor(F.col("episode_index") / 100), F.col("episode_index")))
-    return indices.renumber_files(episodes.select("dataset", "recording_id", own.alias("path")), numbered, 100).select(
+    return indices.renumber_files(episodes.select("dataset", "recording_id", own.alias("path")), renumbered, 100).select(
         "dataset", "split", "recording_id", "path")
 
 
@@ -167,7 +173,7 @@ def dom3_files(spark, d):
   SELECT e.recording_id, e.split, e.episode_index, coalesce(sum(n) OVER (PARTITION BY e.dataset, e.split ORDER BY e.episode_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
   FROM fx_numbered e JOIN fx_lengths l ON l.recording_id = e.recording_id) s ON s.recording_id = f.recording_id""")
 def dom4(spark, d):
-    out = split.split_frames(v.placed_frames(spark, d), split.split_episodes(sided(spark, d)))
+    out = split.split_frames(v.placed_frames(spark, d), numbered(spark, d))
     return out.select("dataset", "split", "recording_id", "frame_index", "episode_index", "index")
 
 

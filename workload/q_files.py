@@ -3,10 +3,9 @@
 from pyspark.sql import functions as F
 
 from tracemill.operators import split
-from tracemill.session import materialise
 from tracemill.sources import readers, writers
 from workload import views as v
-from workload.q_domain import sided
+from workload.q_domain import numbered
 from workload.registry import query
 
 
@@ -45,9 +44,9 @@ def src4(spark, d):
   SELECT n.dataset, n.split, n.episode_index FROM fx_frames f JOIN fx_numbered n ON n.recording_id = f.recording_id) x GROUP BY 1, 2, 3""")
 def snk1(spark, d):
     path = v.scratch(spark)
-    numbered = materialise(split.split_episodes(sided(spark, d)))
-    frames = split.split_frames(v.placed_frames(spark, d), numbered)
-    writers.write_snapshot({"frames": frames, "episodes": numbered}, path)
+    episodes = numbered(spark, d)
+    frames = split.split_frames(v.placed_frames(spark, d), episodes)
+    writers.write_snapshot({"frames": frames, "episodes": episodes}, path)
     return writers.read_snapshot(spark, path).groupBy("dataset", "split", "chunk").agg(F.count(F.lit(1)).alias("frames"))
 
 
