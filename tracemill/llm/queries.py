@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tracemill.llm import exact_dedup, warc
+from tracemill.llm import exact_dedup, packing, warc
 
 QUERIES = {
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_warc": warc.op9_warc,
 }
 ORACLES = {
