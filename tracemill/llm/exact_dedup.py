@@ -24,6 +24,8 @@ CELLS = 32768
 #: Blocks of the filter. The broadcast filter has at most so many rows of 4 KiB,
 #: 8 MiB in all; a fuller filter only sends more rows through the exact grouping.
 BLOCKS = 2048
+#: Parts a group of equal texts is dealt into, so that no task gets all copies of a text.
+SALTS = 256
 
 
 def _text(column: str) -> Column:
@@ -64,9 +66,11 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
                           .select("id", F.sha2("text", 256).alias("sha"), "maybe"))
     alone = digests.filter(~F.col("maybe")).select(
         "id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "sha")
-    again = digests.filter("maybe")
-    groups = again.groupBy("sha").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    grouped = again.join(groups, "sha").select("id", "keep_id", "group_size", "sha")
+    again = digests.filter("maybe").withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    parts = again.groupBy("sha", "salt").agg(F.max("id").alias("top"), F.count(F.lit(1)).alias("n"))
+    groups = parts.groupBy("sha").agg(F.max("top").alias("keep_id"), F.sum("n").alias("group_size"))
+    parts = parts.select("sha", "salt").join(groups, "sha")
+    grouped = again.join(parts, ["sha", "salt"]).select("id", "keep_id", "group_size", "sha")
     return alone.unionByName(grouped).select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.col("sha").alias("text_sha256"))
