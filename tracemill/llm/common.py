@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Parts that the rows of one key are dealt into before a join.
+SALTS = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,3 +23,15 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def spread_join(rows: DataFrame, by_key: DataFrame, keys: list[str], spread: str, how: str = "inner") -> DataFrame:
+    """Join ``rows`` to one row per key, however many rows a key has.
+
+    The rows of a key are dealt over ``SALTS`` parts by their column ``spread``; the one
+    row of the key is first given to each part that exists, a small table.
+    """
+    salt, = fresh(rows, "_salt")
+    dealt = rows.withColumn(salt, F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
+    parts = dealt.select(*keys, salt).distinct().join(by_key, keys)
+    return dealt.join(parts, [*keys, salt], how).drop(salt)

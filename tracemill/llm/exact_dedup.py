@@ -16,48 +16,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracemill.llm.common import fresh, table
+from tracemill.llm.bloom import BLOCKS, flag_repeats
+from tracemill.llm.common import fresh, spread_join, table
 from tracemill.session import materialise
 
-#: Cells of one block; the built-in bitmap functions fix this number.
-CELLS = 32768
-#: Blocks of the filter. The broadcast filter has at most so many rows of 4 KiB,
-#: 8 MiB in all; a fuller filter only sends more rows through the exact grouping.
-BLOCKS = 2048
-#: Parts a group of equal texts is dealt into, so that no task gets all copies of a text.
-SALTS = 256
-
 
 def _text(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def _cells(hashed: Column) -> list[Column]:
-    return [F.pmod(F.shiftrightunsigned(hashed, shift), F.lit(CELLS)).cast("int") for shift in (16, 40)]
-
-
-def repeated_cells(hashes: DataFrame, hashed: str, blocks: int = BLOCKS) -> DataFrame:
-    """One row ``block, cells`` per block of the filter; ``cells`` marks those hit twice or more."""
-    hit = hashes.select(
-        F.pmod(F.col(hashed), F.lit(blocks)).alias("block"), F.explode(F.array(*_cells(F.col(hashed)))).alias("cell"))
-    twice = hit.groupBy("block", "cell").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return twice.groupBy("block").agg(F.expr("bitmap_construct_agg(cell)").alias("cells"))
-
-
-def _is_set(bits: Column, cell: Column) -> Column:
-    byte = F.conv(F.hex(F.substring(bits, F.floor(cell / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return F.call_function("getbit", byte, F.pmod(cell, F.lit(8)))
-
-
-def flag_repeats(df: DataFrame, hashed: str, flag: str, blocks: int = BLOCKS) -> DataFrame:
-    """Add the boolean ``flag``: false means that no other row has the same ``hashed``."""
-    block, cells = fresh(df, "_block", "_cells")
-    filters = repeated_cells(df, hashed, blocks).select(F.col("block").alias(block), F.col("cells").alias(cells))
-    probed = df.withColumn(block, F.pmod(F.col(hashed), F.lit(blocks))).join(F.broadcast(filters), block, "left")
-    both = [_is_set(F.col(cells), cell) == 1 for cell in _cells(F.col(hashed))]
-    return probed.withColumn(flag, F.coalesce(both[0] & both[1], F.lit(False))).drop(block, cells)
-
-
 def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", blocks: int = BLOCKS) -> DataFrame:
     """One row per document: which id of its group of equal texts stays."""
     keyed = docs.select(F.col(id_col).alias("id"), _text(text_col).alias("text"))
@@ -66,11 +33,9 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
                           .select("id", F.sha2("text", 256).alias("sha"), "maybe"))
     alone = digests.filter(~F.col("maybe")).select(
         "id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "sha")
-    again = digests.filter("maybe").withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
-    parts = again.groupBy("sha", "salt").agg(F.max("id").alias("top"), F.count(F.lit(1)).alias("n"))
-    groups = parts.groupBy("sha").agg(F.max("top").alias("keep_id"), F.sum("n").alias("group_size"))
-    parts = parts.select("sha", "salt").join(groups, "sha")
-    grouped = again.join(parts, ["sha", "salt"]).select("id", "keep_id", "group_size", "sha")
+    again = digests.filter("maybe").select("id", "sha")
+    groups = again.groupBy("sha").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    grouped = spread_join(again, groups, ["sha"], "id").select("id", "keep_id", "group_size", "sha")
     return alone.unionByName(grouped).select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.col("sha").alias("text_sha256"))
@@ -82,7 +47,7 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     flagged = flag_repeats(docs.withColumn(hashed, F.xxhash64(_text(text_col))), hashed, maybe, blocks)
     again = flagged.filter(F.col(maybe)).withColumn(sha, F.sha2(_text(text_col), 256))
     groups = again.groupBy(sha).agg(F.max(id_col).alias(keep))
-    stay = again.join(groups, sha).filter(F.col(id_col).eqNullSafe(F.col(keep))).dropDuplicates([sha])
+    stay = spread_join(again, groups, [sha], id_col).filter(F.col(id_col).eqNullSafe(F.col(keep))).dropDuplicates([sha])
     return flagged.filter(~F.col(maybe)).select(*docs.columns).unionByName(stay.select(*docs.columns))
 
 

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from tracemill.llm import exact_dedup, packing, warc
+from tracemill.llm import exact_dedup, jaccard_join, packing, warc
 
 QUERIES = {
+    "op3_ngram_jaccard_join": jaccard_join.op3_ngram_jaccard_join,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_warc": warc.op9_warc,
 }
 ORACLES = {
+    "op3_ngram_jaccard_join": jaccard_join.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
     "op9_warc": warc.ORACLE,
 }
