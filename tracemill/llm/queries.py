@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from tracemill.llm import exact_dedup, jaccard_join, packing, warc
+from tracemill.llm import exact_dedup, jaccard_join, packing, substring_dedup, warc
 
 QUERIES = {
     "op3_ngram_jaccard_join": jaccard_join.op3_ngram_jaccard_join,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_warc": warc.op9_warc,
+    "op10_substring_dedup": substring_dedup.op10_substring_dedup,
 }
 ORACLES = {
     "op3_ngram_jaccard_join": jaccard_join.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
     "op9_warc": warc.ORACLE,
+    "op10_substring_dedup": substring_dedup.ORACLE,
 }
