@@ -26,7 +26,7 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     return mix(h)
 
 
-def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
+def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     size, out = 1, values
     while 2 * size <= width:
         out = np.minimum(out[:-size], out[size:])
@@ -47,7 +47,7 @@ def anchor_runs(data: np.ndarray, ends: np.ndarray, width: int):
         return none, none, none, none, none
     hashes = gram_hashes(data)
     place = np.arange(len(hashes), dtype=np.uint64)
-    least = _sliding_min((hashes & ~_LOW) | (place & _LOW), width - GRAM + 1)
+    least = sliding_min((hashes & ~_LOW) | (place & _LOW), width - GRAM + 1)
     start = place[: len(least)]
     chosen = (start + ((least - start) & _LOW)).astype(np.int64)
     owner = np.searchsorted(ends, start.astype(np.int64), side="right")

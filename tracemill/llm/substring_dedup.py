@@ -27,9 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracemill.llm.anchors import anchor_runs
-from tracemill.llm.bloom import BLOCKS, CELLS, cells_hit, only_ids
+from tracemill.llm.bloom import only_ids
 from tracemill.llm.common import spread_join, table
 from tracemill.llm.exact_dedup import drop_copies
+from tracemill.llm.shared import BLOBS, PER_PART, Filter, blobs, common_filter
 from tracemill.llm.suffix_array import common_prefixes, suffix_array
 from tracemill.llm.words import batches
 from tracemill.session import materialise
@@ -38,8 +39,6 @@ WIDTH = 50
 #: Bytes of runs that one shard's suffix array holds, and runs of one anchor from which it is spread.
 SHARD = 2 << 20
 SPREAD = 8192
-#: Anchors that one task compares.
-ANCHORS = 1 << 20
 #: Never part of UTF-8.
 END = 255
 
@@ -53,68 +52,29 @@ def _encoded(frame: pd.DataFrame):
 
 
 def _anchor_blobs(width: int, parts: int):
-    """Per batch and part the sorted anchors; the lowest bit says that two of its documents have it."""
-
     def emit(frames):
         for frame in frames:
-            found, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            found, owners = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for ids, data, ends in _encoded(frame):
                 anchors, _, _, owner, _ = anchor_runs(data, ends, width)
-                found.append(anchors.view(np.uint64) & ~np.uint64(1))
+                found.append(anchors)
                 owners.append(ids[owner])
-            anchors, owners = np.concatenate(found), np.concatenate(owners)
-            order = np.argsort(anchors, kind="stable")
-            anchors, owners = anchors[order], owners[order]
-            if not len(anchors):
-                continue
-            starts = np.flatnonzero(np.concatenate([[True], np.diff(anchors) != 0]))
-            several = np.minimum.reduceat(owners, starts) != np.maximum.reduceat(owners, starts)
-            anchors = anchors[starts] | several.astype(np.uint64)
-            part = ((anchors >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-            cuts = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(part)]])
-            yield pd.DataFrame({"part": part[cuts[:-1]].astype("int32"),
-                                "anchors": [anchors[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]})
+            yield blobs(np.concatenate(found), np.concatenate(owners), parts)
 
     return emit
 
 
-def _common_anchors(frame: pd.DataFrame) -> pd.DataFrame:
-    every = np.sort(np.concatenate([np.frombuffer(b, np.uint64) for b in frame["anchors"]]))
-    bare = every >> np.uint64(1)
-    starts = np.flatnonzero(np.concatenate([[True], np.diff(bare) != 0]))
-    count = np.diff(np.append(starts, len(bare)))
-    several = np.bitwise_or.reduceat(every & np.uint64(1), starts).astype(bool)
-    return pd.DataFrame({"anchor": (bare[starts[(count > 1) | several]] << np.uint64(1)).view(np.int64)})
-
-
-class _Filter:
-    """Probes the filter of :mod:`tracemill.llm.bloom` for whole arrays of hashes."""
-
-    def __init__(self, rows):
-        self.bits = np.zeros((BLOCKS, CELLS // 8), np.uint8)
-        for block, cells in rows:
-            self.bits[block] = np.frombuffer(cells, np.uint8)
-
-    def __call__(self, hashes: np.ndarray) -> np.ndarray:
-        block = np.mod(hashes, BLOCKS)
-        found = np.ones(len(hashes), bool)
-        for shift in (16, 40):
-            cell = ((hashes.view(np.uint64) >> np.uint64(shift)) % np.uint64(CELLS)).astype(np.int64)
-            found &= (self.bits[block, cell // 8] >> (cell % 8).astype(np.uint8)) & 1 == 1
-        return found
-
-
 def _runs(width: int, filters):
     """Runs of windows with a common anchor; equal runs of a batch carry their bytes once."""
     kept: dict = {}
 
     def emit(frames):
         for frame in frames:
-            known = kept.get("filter") or kept.setdefault("filter", _Filter(filters.value))
+            known = kept.get("filter") or kept.setdefault("filter", Filter(filters.value))
             for ids, data, ends in _encoded(frame):
                 begins = ends - np.diff(ends, prepend=0)
                 anchors, first, last, owner, content = anchor_runs(data, ends, width)
-                take = np.flatnonzero(known(anchors & ~np.int64(1)))
+                take = np.flatnonzero(known(anchors))
                 anchors, first, last, owner, content = (x[take] for x in (anchors, first, last, owner, content))
                 carries = np.zeros(len(take), bool)
                 carries[np.unique(content, return_index=True)[1]] = True
@@ -183,14 +143,11 @@ def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   shard: int = SHARD, spread: int = SPREAD) -> DataFrame:
     """``doc_id, low, high``: byte intervals to remove, one row per window interval, of documents
     that are the smallest of their group of equal texts."""
-    spark = docs.sparkSession
     named = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     once = drop_copies(named.filter("id IS NOT NULL"), "id", "text", smallest=True)
     size = once.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, math.ceil(size / (width - 14) * 2 / ANCHORS))
-    blobs = once.mapInPandas(_anchor_blobs(width, parts), "part int, anchors binary")
-    common = blobs.groupBy("part").applyInPandas(_common_anchors, "anchor long")
-    filters = spark.sparkContext.broadcast([(r["block"], bytes(r["cells"])) for r in cells_hit(common, "anchor", 1).collect()])
+    parts = max(1, math.ceil(size / (width - 14) * 2 / PER_PART))
+    filters = common_filter(once.mapInPandas(_anchor_blobs(width, parts), BLOBS))
     placed = materialise(once.mapInPandas(
         _runs(width, filters), "run long, anchor long, doc_id long, start long, bytes binary"))
     distinct = materialise(placed.groupBy("run").agg(
