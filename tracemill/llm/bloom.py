@@ -49,9 +49,22 @@ def flag_repeats(df: DataFrame, hashed: str, flag: str, blocks: int = BLOCKS) ->
     return probe(df, hashed, cells_hit(df, hashed, 2, blocks), flag, blocks)
 
 
+def _probe_ids(df: DataFrame, id_col: str, ids: DataFrame, ids_col: str, hashed: str, flag: str) -> DataFrame:
+    wanted = cells_hit(ids.select(F.xxhash64(F.col(ids_col).cast("long")).alias("h")), "h", 1)
+    return probe(df.withColumn(hashed, F.xxhash64(F.col(id_col).cast("long"))), hashed, wanted, flag).drop(hashed)
+
+
 def only_ids(df: DataFrame, id_col: str, ids: DataFrame, ids_col: str = "id") -> DataFrame:
     """Rows of ``df`` whose id may be among ``ids``, found without moving ``df``; a join by id must follow."""
     hashed, flag = fresh(df, "_hashed", "_flag")
-    wanted = cells_hit(ids.select(F.xxhash64(F.col(ids_col).cast("long")).alias("h")), "h", 1)
-    probed = probe(df.withColumn(hashed, F.xxhash64(F.col(id_col).cast("long"))), hashed, wanted, flag)
-    return probed.filter(F.col(flag)).drop(hashed, flag)
+    return _probe_ids(df, id_col, ids, ids_col, hashed, flag).filter(F.col(flag)).drop(flag)
+
+
+def without_ids(df: DataFrame, id_col: str, ids: DataFrame, ids_col: str) -> DataFrame:
+    """Rows of ``df`` whose id is not among ``ids``; only those that may be are shuffled. Null ids stay."""
+    hashed, flag, key = fresh(df, "_hashed", "_flag", "_key")
+    probed = _probe_ids(df, id_col, ids, ids_col, hashed, flag)
+    maybe = probed.filter(F.col(flag)).drop(flag)
+    gone = ids.select(F.col(ids_col).alias(key))
+    stay = maybe.join(gone, F.col(id_col) == F.col(key), "left_anti")
+    return probed.filter(~F.col(flag)).drop(flag).unionByName(stay)

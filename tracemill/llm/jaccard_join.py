@@ -26,8 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracemill.llm.bloom import only_ids
-from tracemill.llm.common import fresh, spread_join, table
+from tracemill.llm.bloom import only_ids, without_ids
+from tracemill.llm.common import spread_join, table
 from tracemill.llm.components import connected_components
 from tracemill.llm.words import batches, mix, shingle_sets
 from tracemill.session import materialise
@@ -201,9 +201,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without those that are linked with a smaller id over any number of links."""
     gone = materialise(join(docs, id_col, text_col).filter("doc_id <> class_id").select("doc_id"))
-    key, = fresh(docs, "_gone")
-    gone = gone.withColumnRenamed("doc_id", key)
-    return docs.join(gone, F.col(id_col) == F.col(key), "left_anti")
+    return without_ids(docs, id_col, gone, "doc_id")
 
 
 def op3_ngram_jaccard_join(spark, sf_dir):

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tracemill.llm import chain_dedup, exact_dedup, jaccard_join, packing, substring_dedup, warc
+from tracemill.llm import chain_dedup, decontaminate, exact_dedup, jaccard_join, packing, substring_dedup, warc
 
 QUERIES = {
     "op3_ngram_jaccard_join": jaccard_join.op3_ngram_jaccard_join,
     "op4_substring_chain_dedup": chain_dedup.op4_substring_chain_dedup,
+    "op5_benchmark_decontamination": decontaminate.op5_benchmark_decontamination,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_warc": warc.op9_warc,
