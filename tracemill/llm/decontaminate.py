@@ -39,14 +39,14 @@ UNIT = 64
 NGRAM = 5
 K1, B = 1.2, 0.75
 #: Share of a unit's own score that a passage must reach.
-THRESHOLD = 0.5
+THRESHOLD = 0.6
 #: Share of a unit's own score that its lightest words are left out for in the bound.
-SLACK = 0.15
+SLACK = 0.25
 #: Share of the question's n-grams that a leak must have.
 OVERLAP = 0.5
 #: Units of one posting block, and of one shard of the index; a shard has at most SHARD * UNIT postings.
-POSTING_BLOCK = 16
-SHARD = 16384
+POSTING_BLOCK = 2
+SHARD = 4096
 LEAKS = ("doc_id long, item_id long, passage_start long, score double, question_overlap double, "
          "answer_overlap double")
 
@@ -87,7 +87,7 @@ class Index:
     """One shard: postings by term in the order of their units, with block maxima."""
 
     def __init__(self, postings: pd.DataFrame, items: pd.DataFrame, threshold: float, slack: float):
-        self.threshold, self.slack = threshold, slack
+        self.threshold, self.slack, self.opened = threshold, slack, {}
         names = postings[["key", "unit"]].drop_duplicates().sort_values(["key", "unit"]).reset_index(drop=True)
         number = {(k, u): i for i, (k, u) in enumerate(zip(names["key"], names["unit"]))}
         unit = np.array([number[k, u] for k, u in zip(postings["key"], postings["unit"])], np.int64)
@@ -129,7 +129,10 @@ class Index:
     def promising(self, term: np.ndarray, block: np.ndarray, n_blocks: int) -> np.ndarray:
         """Text blocks ``i`` where the passage of blocks ``i`` and ``i + 1`` may reach the threshold."""
         known = np.flatnonzero(term >= 0)
-        term, block = term[known], block[known]
+        if not len(known):
+            return known
+        once = np.unique(block[known] * len(self.terms) + term[known])  # a word counts once in a block
+        term, block = once % len(self.terms), once // len(self.terms)
         sizes = self.bound_at[term + 1] - self.bound_at[term]
         entry = np.repeat(self.bound_at[term] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())
         cells = np.bincount(np.repeat(block, sizes) * self.n_blocks + self.bound_block[entry], self.bound[entry],
@@ -137,16 +140,20 @@ class Index:
         pair = cells + np.vstack([cells[1:], np.zeros((1, self.n_blocks))])
         return np.flatnonzero((pair >= self.threshold - self.slack - 1e-9).any(1))
 
-    def search(self, terms: np.ndarray) -> list[tuple[int, float]]:
-        """All units with at least the threshold for the distinct ``terms``, by block-max WAND."""
-        lists = []
-        for t in terms.tolist():
-            a, b = self.at[t], self.at[t + 1]
+    def postings(self, term: int):
+        """Units, weights, block maxima and the largest weight of a term, as plain lists."""
+        if term not in self.opened:
+            a, b = self.at[term], self.at[term + 1]
             units, weights = self.unit[a:b].tolist(), self.weight[a:b].tolist()
             tops: dict[int, float] = {}
             for u, w in zip(units, weights):
                 tops[u // POSTING_BLOCK] = max(w, tops.get(u // POSTING_BLOCK, 0.0))
-            lists.append([0, units, weights, tops, float(self.most[t])])
+            self.opened[term] = units, weights, tops, float(self.most[term])
+        return self.opened[term]
+
+    def search(self, terms: np.ndarray) -> list[tuple[int, float]]:
+        """All units with at least the threshold for the distinct ``terms``, by block-max WAND."""
+        lists = [[0, *self.postings(t)] for t in terms.tolist()]
         found, goal = [], self.threshold - 1e-9
         while True:
             lists = [x for x in lists if x[0] < len(x[1])]
@@ -229,7 +236,7 @@ def _searcher(shared, threshold: float, slack: float, least: float):
         for frame in frames:
             index = kept.get("index") or kept.setdefault("index", Index(*shared.value, threshold, slack))
             texts, ids, out = [t or "" for t in frame["text"]], frame["id"].astype("Int64").tolist(), []
-            for a, b in batches(texts):
+            for a, b in batches(texts, 1 << 18):
                 out += find_leaks(index, [None if i is pd.NA else i for i in ids[a:b]], texts[a:b], least)
             yield pd.DataFrame(out, columns=[f.split()[0] for f in LEAKS.split(", ")]).astype(
                 {"doc_id": "Int64", "item_id": "Int64", "answer_overlap": "float64"})
