@@ -33,5 +33,5 @@ def connected_components(edges: DataFrame, left: str = "a", right: str = "b") ->
     for pointers in rounds[1:]:
         step = pointers.select(F.col("node").alias("root"), F.col("root").alias("next"))
         hit = spread_join(found, step, ["root"], "node", "left")
-        found = hit.select("node", F.coalesce("next", "root").alias("root"))
-    return materialise(found)
+        found = materialise(hit.select("node", F.coalesce("next", "root").alias("root")))
+    return found
