@@ -43,13 +43,17 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", blocks: int = BLOCKS,
                 smallest: bool = False) -> DataFrame:
-    """``docs`` with one row of each group of equal texts, the one with the largest (or smallest) id."""
+    """``docs`` with one row of each group of equal texts, the one with the largest (or smallest) id.
+
+    Rows whose text is surely alone pass straight through each time the result is read; those
+    that stay of the others are written once.
+    """
     hashed, maybe, sha, keep = fresh(docs, "_hashed", "_maybe", "_sha", "_keep")
     flagged = flag_repeats(docs.withColumn(hashed, F.xxhash64(_text(text_col))), hashed, maybe, blocks)
     again = flagged.filter(F.col(maybe)).withColumn(sha, F.sha2(_text(text_col), 256))
     groups = again.groupBy(sha).agg((F.min if smallest else F.max)(id_col).alias(keep))
     stay = spread_join(again, groups, [sha], id_col).filter(F.col(id_col).eqNullSafe(F.col(keep))).dropDuplicates([sha])
-    return flagged.filter(~F.col(maybe)).select(*docs.columns).unionByName(stay.select(*docs.columns))
+    return flagged.filter(~F.col(maybe)).select(*docs.columns).unionByName(materialise(stay.select(*docs.columns)))
 
 
 def op6_exact_dedup(spark, sf_dir):

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracemill.llm.anchors import anchor_runs
-from tracemill.llm.bloom import only_ids
+from tracemill.llm.bloom import cells_hit, only_ids, probe
 from tracemill.llm.common import spread_join, table
 from tracemill.llm.exact_dedup import drop_copies
 from tracemill.llm.shared import BLOBS, PER_PART, Filter, blobs, common_filter
@@ -145,7 +145,7 @@ def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     that are the smallest of their group of equal texts."""
     named = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     once = drop_copies(named.filter("id IS NOT NULL"), "id", "text", smallest=True)
-    size = once.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    size = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, math.ceil(size / (width - 14) * 2 / PER_PART))
     filters = common_filter(once.mapInPandas(_anchor_blobs(width, parts), BLOBS))
     placed = materialise(once.mapInPandas(
@@ -153,19 +153,20 @@ def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     distinct = materialise(placed.groupBy("run").agg(
         F.min("anchor").alias("anchor"), F.min("doc_id").alias("doc_id"), F.max("bytes").alias("bytes"),
         F.when(F.min("doc_id") == F.max("doc_id"), 1).otherwise(2).alias("docs")))
-    per_anchor = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.max("docs").alias("most"))
-    marked = spread_join(distinct, per_anchor, ["anchor"], "run").filter("n > 1 OR docs > 1").withColumn("offset", F.lit(0))
-    normal = marked.filter(F.col("n") <= spread)
-    windows = marked.filter(F.col("n") > spread).withColumn(
+    hot = materialise(distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > spread).select("anchor"))
+    marked = probe(distinct.withColumn("offset", F.lit(0)), "anchor", cells_hit(hot, "anchor", 1), "maybe_hot")
+    maybe = marked.filter("maybe_hot").join(hot.withColumn("hot", F.lit(True)), "anchor", "left")
+    normal = marked.filter("NOT maybe_hot").unionByName(maybe.filter("hot IS NULL").drop("hot"))
+    windows = maybe.filter("hot").drop("hot").withColumn(
         "offset", F.explode(F.sequence(F.lit(0), F.octet_length("bytes") - width))).withColumn(
         "bytes", F.expr(f"substring(bytes, offset + 1, {width})")).withColumn("anchor", F.xxhash64("bytes"))
     units = normal.unionByName(windows).select("run", "anchor", "offset", "doc_id", "docs", "bytes")
-    total = units.agg(F.sum(F.octet_length("bytes") + 1)).first()[0] or 0
+    total = distinct.agg(F.sum(F.octet_length("bytes") + 1)).first()[0] or 0
     shards = max(1, math.ceil(total / shard))
     solved = units.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int")).groupBy("shard").applyInPandas(
         _shard(width), "run long, low long, high long, least long")
     answers = solved.groupBy("run").agg(F.collect_list(F.struct("low", "high", "least")).alias("answers"))
-    told = spread_join(placed.select("run", "doc_id", "start"), answers, ["run"], "doc_id")
+    told = placed.select("run", "doc_id", "start").join(answers, "run")  # hot runs: Spark splits skewed partitions
     return told.select("doc_id", "start", F.explode("answers").alias("a")).filter("a.least < doc_id").select(
         "doc_id", (F.col("start") + F.col("a.low")).alias("low"), (F.col("start") + F.col("a.high") + width).alias("high"))
 
