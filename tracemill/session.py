@@ -52,5 +52,5 @@ def materialise(df: DataFrame) -> DataFrame:
     loses nothing, and Spark knows its size when it plans the joins.
     """
     path = f"{shared_dir(df.sparkSession)}/step-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
