@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from tracemill.llm import chain_dedup, decontaminate, exact_dedup, jaccard_join, packing, substring_dedup, warc
+from tracemill.llm import chain_dedup, decontaminate, exact_dedup, jaccard_join, language_id, license_scan, packing, substring_dedup, warc
 
 QUERIES = {
+    "op1_license_scan": license_scan.op1_license_scan,
+    "op2_language_id": language_id.op2_language_id,
     "op3_ngram_jaccard_join": jaccard_join.op3_ngram_jaccard_join,
     "op4_substring_chain_dedup": chain_dedup.op4_substring_chain_dedup,
     "op5_benchmark_decontamination": decontaminate.op5_benchmark_decontamination,

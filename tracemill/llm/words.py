@@ -33,9 +33,12 @@ def _slices(data: np.ndarray):
         start = end
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of all words of ``texts``, and where each text's words begin (one more entry for the end)."""
-    raw = [t.lower().encode("utf-8", "replace") for t in texts]
+def word_hashes(texts: list[str], ascii_case: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words of ``texts``, and where each text's words begin (one more entry for the end).
+
+    ``ascii_case`` lower-cases A to Z only.
+    """
+    raw = [t.encode("utf-8", "replace").lower() if ascii_case else t.lower().encode("utf-8", "replace") for t in texts]
     bounds = np.concatenate([[0], np.cumsum([len(r) + 1 for r in raw])])
     data = np.frombuffer(b" ".join(raw) + b" ", np.uint8) if raw else np.zeros(0, np.uint8)
     hashes, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
