@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tracemill.llm import chain_dedup, decontaminate, exact_dedup, jaccard_join, language_id, license_scan, packing, substring_dedup, warc
+from tracemill.llm import chain_dedup, decontaminate, exact_dedup, jaccard_join, language_id, license_scan, packing, recurrent_lm, substring_dedup, warc
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_substring_chain_dedup": chain_dedup.op4_substring_chain_dedup,
     "op5_benchmark_decontamination": decontaminate.op5_benchmark_decontamination,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op7_recurrent_lm": recurrent_lm.op7_recurrent_lm,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_warc": warc.op9_warc,
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,

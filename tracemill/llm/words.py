@@ -23,27 +23,27 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _slices(data: np.ndarray):
+def _slices(data: np.ndarray, in_word: np.ndarray):
     start = 0
     while start < len(data):
         end = min(len(data), start + SLICE)
-        while end < len(data) and _IN_WORD[data[end]]:
+        while end < len(data) and in_word[data[end]]:
             end += 1
         yield start, data[start:end]
         start = end
 
 
-def word_hashes(texts: list[str], ascii_case: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[str], ascii_case: bool = False, in_word: np.ndarray = _IN_WORD) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of all words of ``texts``, and where each text's words begin (one more entry for the end).
 
-    ``ascii_case`` lower-cases A to Z only.
+    ``ascii_case`` lower-cases A to Z only; ``in_word`` tells which bytes belong to words.
     """
     raw = [t.encode("utf-8", "replace").lower() if ascii_case else t.lower().encode("utf-8", "replace") for t in texts]
     bounds = np.concatenate([[0], np.cumsum([len(r) + 1 for r in raw])])
     data = np.frombuffer(b" ".join(raw) + b" ", np.uint8) if raw else np.zeros(0, np.uint8)
     hashes, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    for offset, part in _slices(data):
-        inside = _IN_WORD[part]
+    for offset, part in _slices(data, in_word):
+        inside = in_word[part]
         if not inside.any():
             continue
         edge = np.diff(inside.astype(np.int8), prepend=0)
