@@ -44,7 +44,7 @@ PACKED = PIECES + ", settled boolean, sequence_id long, offset long"
 #: Texts of these characters alone split alike with the pattern below and with the tokenizer's own.
 _UNUSUAL = re.compile("[^\n\t\r -~À-ÖØ-öø-ɏ]")
 #: Runs of white space, where parts do not simply begin at a space or line end.
-_SPACED = re.compile(r"\s\s|^\s")
+_SPACED = re.compile(r"\s\s|^\s| \Z")
 _SPLIT = re.compile(r"'(?:[st]|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 
 
