@@ -96,8 +96,8 @@ def test_features_hash_ignores_order(spark):
 
 def test_recording_attributes(spark):
     tags = lambda task, qa: one(spark, recordings.tags(F.lit(task), F.lit(qa), {"t1": ["a"]}))
-    assert tags("t1", "pass") == ["a", "q_high"]
-    assert tags("t9", "warn") == ["q_review"]
+    assert tags("t1", "pass") == ["a", "is_good"]
+    assert tags("t9", "warn") == ["is_doubtful"]
     assert one(spark, recordings.device(F.lit(3), "even", "odd")) == "odd"
     assert one(spark, recordings.operator(F.lit(5), ["x", "y", "z"])) == "z"
     assert one(spark, recordings.param_keys(F.lit("--a 1 / --b / --a 2 / IN"))) == ["--a", "--b", "IN"]

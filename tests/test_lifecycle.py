@@ -79,11 +79,16 @@ def test_export_selection(table):
     assert ids(invalid_only=True) == [(2,)]
 
 
-def test_limits_and_pages(spark, monkeypatch):
+def test_limits_and_pages(spark):
     df = spark.range(100).select(F.col("id").alias("recording_id"), F.lit("2026-01-01").cast("timestamp_ntz").alias("at"))
     assert rows(lake.recording_limit(df, 3)) == rows(df.filter("recording_id < 3"))
-    monkeypatch.setattr(lake, "TOP_K", 5)
-    assert lake.recording_limit(df, 30).agg(F.max("recording_id")).first()[0] == 29
+    many = spark.range(25_000).select(((F.col("id") * 92_233_720_368_547) - 2**60).alias("recording_id"))
+    for n in (0, 1, 30, 9_999, 10_001, 24_999, 25_000, 30_000):
+        got = lake.recording_limit(many, n)
+        assert got.agg(F.count("recording_id"), F.max("recording_id")).first() == (
+            min(n, 25_000), (min(n, 25_000) - 1) * 92_233_720_368_547 - 2**60 if n else None)
+    ties = spark.range(10).select(F.lit(7).cast("bigint").alias("recording_id"))
+    assert lake.recording_limit(ties, 4).count() == 4
     assert [r.recording_id for r in lake.page(df, 2, "at", "recording_id").collect()] == list(range(40, 60))
     assert rows(lake.with_page(df, "at", "recording_id").groupBy("page").count()) == [(p, 20) for p in range(5)]
 
@@ -133,13 +138,17 @@ def lab(table):
 def test_export_modes(table):
     episodes, frames = lab(table)
     chosen = episodes.filter("recording_id > 4").select("recording_id")
-    out = export.export_dataset(chosen, episodes, frames)
+    info = table([("d", 30, 3, 2)], "dataset string, fps int, chunks_size int, cameras int")
+    out = export.export_dataset(chosen, episodes, frames, info=info)
     assert rows(out["frames"], "index", "recording_id", "task_index") == [(i, 5 + i // 2, 2 if i // 2 % 2 == 0 else 1) for i in range(8)]
     assert out["info"].first().total_tasks == 3
-    dagger = export.export_dataset(chosen, episodes, frames, mode="dagger", dagger_type="teleop")
+    assert out["info"].first().total_chunks == 2
+    two = export.export_dataset(chosen, episodes, frames, info=info, limit=2)
+    assert rows(two["episodes"], "recording_id") == [(5,), (6,)]
+    dagger = export.export_dataset(chosen, episodes, frames, mode="dagger", dagger_type="teleop", info=info)
     assert rows(dagger["frames"], "index", "task_index") == rows(out["frames"], "index", "task_index")
     with pytest.raises(ValueError):
-        export.export_dataset(chosen, episodes, frames, mode="other")
+        export.export_dataset(chosen, episodes, frames, mode="other", info=info)
 
 
 def test_build_gate(table):
@@ -147,10 +156,29 @@ def test_build_gate(table):
     recordings = episodes.select("recording_id", F.lit("pass").alias("qa"), F.lit("t").alias("task"))
     tasks = table([("d", 0, "unknown")], "dataset string, task_index bigint, task string")
     leaked = table([(3,)], "recording_id bigint")
-    built = build.build_dataset(recordings, episodes, frames, tasks, leaked, n=7, ratio=0.5, qas=["pass"])
+    info = table([("d", 30, 3, 2)], "dataset string, fps int, chunks_size int, cameras int")
+    built = build.build_dataset(recordings, episodes, frames, tasks, leaked, info, n=7, ratio=0.5, qas=["pass"])
     assert built["episodes"].filter("recording_id = 3").isEmpty()
     assert built["episodes"].count() == 7
     build.require_pass(built["verdict"])
-    lost = build.build_dataset(recordings, episodes, frames.filter("recording_id <> 5"), tasks, leaked, n=7, ratio=0.5)
+    lost = build.build_dataset(recordings, episodes, frames.filter("recording_id <> 5"), tasks, leaked, info, n=7, ratio=0.5)
     with pytest.raises(build.GateError):
         build.require_pass(lost["verdict"])
+
+
+def test_several_requests_for_one_dataset(table):
+    history = table([("d", 8, "v8", "active", 1, "", "u"), ("d", 9, "v9", "draft", 2, "", "u"), ("d", 10, "v10", "draft", 3, "", "u"),
+                     ("e", 1, "first", "active", 1, "", "u")], VERSIONS)
+    wanted = table([("d", "v9"), ("d", "v10"), ("e", "none")], "dataset string, version string")
+    states = {r.version: r.status for r in versions.publish(history, wanted).collect()}
+    assert states == {"v8": "archived", "v9": "draft", "v10": "active", "first": "active"}
+    back = versions.rollback(history, wanted, "me").filter("creator = 'me'")
+    assert rows(back, "seq", "version", "recordings") == [(11, "v11", 2), (12, "v12", 3)]
+    runs = table([], "run_id string, pipeline string, name string, target string, status string, trigger string, by string, at timestamp_ntz")
+    jobs = table([("d", "split", 4, ""), ("d", "filter", 5, ""), ("e", "split", 6, "n"), ("e", "zip", 7, "n")],
+                 "dataset string, operator string, recordings bigint, note string")
+    drafts, records = versions.process(history, runs, jobs, "me", "2026-01-01 00:00:00")
+    made = drafts.filter("creator = 'me'")
+    assert rows(made, "dataset", "seq", "version", "recordings") == [
+        ("d", 11, "v11", 5), ("d", 12, "v12", 4), ("e", 2, "first.1", 6), ("e", 3, "first.2", 7)]
+    assert records.select("run_id").distinct().count() == 4

@@ -10,9 +10,10 @@ import pytest
 
 import __spark_entry__ as entry
 from tools.compare import TABLES, rows_of
+from workload import registry
 
 SF = "/root/testdata/sf0.001"
-ORACLES = entry.oracle_sql()
+ORACLES = registry.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +26,7 @@ def db():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_rows(spark, db, name):
-    df = entry.queries()[name](spark, SF)
+    df = registry.QUERIES[name](spark, SF)
     got = [tuple(r) for r in df.collect()]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not re.search("CartesianProduct|BroadcastNestedLoopJoin|Python|Pandas", plan)
@@ -45,5 +46,9 @@ def test_every_survey_id_has_a_query():
     assert [w for w in wanted if w not in entry.queries()] == []
 
 
+def test_every_query_has_sql():
+    assert sorted(registry.QUERIES) == sorted(ORACLES)
+
+
 def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0

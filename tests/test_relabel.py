@@ -16,6 +16,9 @@ EPISODES = """dataset string, recording_id bigint, episode_index bigint, length
     task_id_map map<string,string>, dagger_type string"""
 
 
+INFO = "dataset string, fps int, chunks_size int, cameras int"
+
+
 def by_hand(frames, notes, words, fps):
     out = {}
     for (d, r, f, t) in frames:
@@ -44,7 +47,8 @@ def test_relabel_by_annotation(table, monkeypatch, spread):
     words = [("d", 0, "unknown"), ("d", 1, "a"), ("d", 2, "b"), ("d", 3, "c")]
     docs = [(d, r, [(s, e, "native", name) for s, e, name in a]) for (d, r), a in notes.items()]
     out = relabel.relabel_by_annotation(
-        table(frames, FRAMES), table(docs, NOTES), table(words, "dataset string, task_index bigint, task string"), fps=10)
+        table(frames, FRAMES), table(docs, NOTES), table(words, "dataset string, task_index bigint, task string"),
+        table([("d", 10, 1, 1)], INFO))
     wanted = by_hand(frames, notes, {"a": 1, "b": 2, "c": 3, "unknown": 0}, 10)
     assert sorted(tuple(r) for r in out.select("dataset", "recording_id", "frame_index", "task_index").collect()) == wanted
 
@@ -97,12 +101,13 @@ def test_dagger_subset(table):
     episodes = table([
         ("d", 1, 0, 1, ["擦: wipe"], None, "teleop"), ("d", 2, 1, 2, ["x"], None, "policy"),
         ("d", 3, 2, 9, ["move", "unknown"], None, "teleop")], EPISODES)
-    out = indices.dagger_subset(frames, episodes, "teleop")
+    out = indices.dagger_subset(frames, episodes, "teleop", table([("d", 30, 1, 2)], INFO))
     assert rows(out["tasks"], "task_index", "task") == [(0, "unknown"), (1, "move"), (2, "wipe")]
     assert rows(out["frames"], "index", "episode_index", "recording_id", "task_index") == [
         (0, 0, 1, 2), (1, 1, 3, 1), (2, 1, 3, 1), (3, 1, 3, 1)]
     info = out["info"].first()
     assert (info.total_episodes, info.total_frames, info.total_tasks, info.dagger_type) == (2, 4, 3, "teleop")
+    assert (info.total_chunks, info.total_videos, info.fps) == (2, 4, 30)
     with pytest.raises(ValueError, match="no episode"):
         indices.filter_dagger(episodes, "other")
 
@@ -111,9 +116,27 @@ def test_files_follow_their_episode(table):
     files = table([("d", f"data/chunk-000/episode_{e:06d}.parquet", f"http://x/chunk-000/episode_{e:06d}") for e in (0, 3, 4)],
                   "dataset string, path string, download_url string")
     kept = table([("d", 3, 1), ("d", 0, 0)], "dataset string, old_episode_index bigint, episode_index bigint")
-    out = indices.renumber_files(files, kept, chunks_size=1)
+    out = indices.renumber_files(files, kept, table([("d", 30, 1, 2)], INFO))
     assert rows(out, "path", "download_url") == [
         ("data/chunk-000/episode_000000.parquet", "http://x/chunk-000/episode_000000"),
         ("data/chunk-001/episode_000001.parquet", "http://x/chunk-001/episode_000001")]
     semi = indices.files_of(files, kept.withColumn("episode_index", F.col("old_episode_index")))
     assert semi.count() == 2
+
+
+def test_each_dataset_has_its_own_rate(table):
+    """The same second is another frame where the camera runs at half the rate."""
+    frames = table([(d, 1, f, 0) for d in "ab" for f in range(40)], FRAMES)
+    notes = table([(d, 1, [(1.0, 1.1, "", "x")]) for d in "ab"], NOTES)
+    info = table([("a", 30, 10, 1), ("b", 15, 10, 1)], INFO)
+    out = relabel.frame_actions(frames, relabel.annotation_actions(notes), info).filter("task = 'x'")
+    assert rows(out, "dataset", "frame_index") == [("a", f) for f in (30, 31, 32, 33)] + [("b", f) for f in (15, 16, 17)]
+
+
+def test_relabel_reads_the_frames_once(spark, table):
+    frames = table([("a", 1, 0, 0)], FRAMES).withColumn("mark", F.lit("only here"))
+    info = table([("a", 30, 10, 1)], INFO)
+    notes = table([("a", 1, [(0.0, 1.0, "", "x")])], NOTES)
+    words = table([("a", 1, "x")], "dataset string, task_index bigint, task string")
+    plan = relabel.relabel_by_annotation(frames, notes, words, info)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("only here") == 1

@@ -1,7 +1,5 @@
 """Splits, recipes and sampling weights."""
 
-import random
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,23 +14,6 @@ def episodes(table):
     return table([(d, 1000 * i + e, e, 10 + e) for i, (d, n) in enumerate([("a", 300), ("b", 40), ("c", 1)]) for e in range(n)], EPISODES)
 
 
-@pytest.mark.parametrize("seed", [0, 42, 2**40 + 7])
-def test_sequence_equals_the_python_generator(spark, seed):
-    rng = random.Random(seed)
-    wanted = [rng.random() for _ in range(25)]
-    got = split.draw_sequence(spark, 25, seed, per_task=7).orderBy("position").collect()
-    assert [r.position for r in got] == list(range(25))
-    assert [r.draw for r in got] == wanted
-
-
-def test_split_by_sequence_restarts_for_every_dataset(table):
-    out = split.split_by_sequence(episodes(table), 0.7, 5)
-    for name, n in (("a", 300), ("b", 40), ("c", 1)):
-        rng = random.Random(5)
-        wanted = [(e, "train" if rng.random() < 0.7 else "val") for e in range(n)]
-        assert sorted(tuple(r) for r in out.filter(F.col("dataset") == name).select("episode_index", "split").collect()) == wanted
-
-
 def test_split_is_complete_disjoint_and_renumbered(table):
     sided = split.split_by_hash(episodes(table), 0.8)
     assert sided.count() == 341
@@ -57,8 +38,6 @@ def _grouped(df):
 def test_ratio_must_lie_between(table, ratio):
     with pytest.raises(ValueError):
         split.split_by_hash(episodes(table), ratio)
-    with pytest.raises(ValueError):
-        split.split_by_sequence(episodes(table), ratio)
 
 
 def test_split_manifest_skips_empty_sides_and_done_datasets(table):

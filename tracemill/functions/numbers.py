@@ -77,9 +77,10 @@ def version_number(version: Column) -> Column:
     return F.when(digits != "", digits).try_cast("bigint")
 
 
-def following_version(version: Column) -> Column:
-    """``v(n+1)``; a name that is no number gets ``.1`` appended."""
+def following_version(version: Column, step: Column | None = None) -> Column:
+    """``v(n+1)``; a name that is no number gets ``.1`` appended. ``step`` counts further than 1."""
+    step = F.lit(1) if step is None else step
     number = version_number(version)
     return F.when(
-        number.isNotNull(), F.concat(F.lit("v"), (number + 1).cast("string"))
-    ).otherwise(F.concat(version, F.lit(".1")))
+        number.isNotNull(), F.concat(F.lit("v"), (number + step).cast("string"))
+    ).otherwise(F.concat(version, F.lit("."), step.cast("string")))

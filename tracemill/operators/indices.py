@@ -78,34 +78,40 @@ def files_of(files: DataFrame, episodes: DataFrame) -> DataFrame:
     return keyed.join(episodes.select("dataset", "episode_index"), ["dataset", "episode_index"], "left_semi")
 
 
-def renumber_files(files: DataFrame, renumbered: DataFrame, chunks_size: int) -> DataFrame:
+def renumber_files(files: DataFrame, renumbered: DataFrame, info: DataFrame) -> DataFrame:
     """New path and URL for every file of a kept episode.
 
-    ``renumbered`` maps old_episode_index to episode_index per dataset.
+    ``renumbered`` maps old_episode_index to episode_index per dataset; ``info`` has the
+    ``chunks_size`` of each dataset.
     """
     keyed = files.withColumn("old_episode_index", episode_from_path(F.col("path")))
-    moved = keyed.join(renumbered, ["dataset", "old_episode_index"])
+    sizes = info.select("dataset", F.col("chunks_size").alias("_size"))
+    moved = keyed.join(renumbered, ["dataset", "old_episode_index"]).join(sizes, "dataset")
     for column in ("path", "download_url"):
         if column in files.columns:
-            moved = moved.withColumn(column, episode_path(F.col(column), F.col("episode_index"), chunks_size))
-    return moved.drop("old_episode_index")
+            moved = moved.withColumn(column, episode_path(F.col(column), F.col("episode_index"), F.col("_size")))
+    return moved.drop("old_episode_index", "_size")
 
 
-def dataset_info(episodes: DataFrame, keys=("dataset",), chunks_size: int = 1000, cameras: int = 3, length: str = "length") -> DataFrame:
-    """Recomputed counts of a dataset, from its episode rows."""
+def dataset_info(episodes: DataFrame, info: DataFrame, keys=("dataset",), length: str = "length") -> DataFrame:
+    """Recomputed counts of a dataset, from its episode rows.
+
+    The ``chunks_size``, ``fps`` and ``cameras`` of each dataset are those of ``info``.
+    """
+    counts = episodes.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("total_episodes"),
+        F.coalesce(F.sum(length), F.lit(0)).alias("total_frames"),
+    )
     return (
-        episodes.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("total_episodes"),
-            F.coalesce(F.sum(length), F.lit(0)).alias("total_frames"),
-        )
-        .withColumn("total_chunks", F.ceil(F.col("total_episodes") / chunks_size).cast("bigint"))
-        .withColumn("total_videos", F.col("total_episodes") * cameras)
+        counts.join(info.select("dataset", "chunks_size", "fps", "cameras"), "dataset")
+        .withColumn("total_chunks", F.ceil(F.col("total_episodes") / F.col("chunks_size")).cast("bigint"))
+        .withColumn("total_videos", F.col("total_episodes") * F.col("cameras"))
+        .drop("cameras")
     )
 
 
 def dagger_subset(
-    frames: DataFrame, episodes: DataFrame, dagger_type: str, chunks_size: int = 1000, cameras: int = 3
+    frames: DataFrame, episodes: DataFrame, dagger_type: str, info: DataFrame
 ) -> dict[str, DataFrame]:
     """Episodes of one DAgger type as a dataset of their own.
 
@@ -124,11 +130,11 @@ def dagger_subset(
     counts = numbered.groupBy(*EPISODE).agg(F.count(F.lit(1)).alias("n_frames"))
     present = renumbered.join(counts, list(EPISODE), "left").fillna(0, ["n_frames"])
     words = vocabulary.groupBy("dataset").agg(F.count(F.lit(1)).alias("total_tasks"))
-    info = (
-        dataset_info(present, chunks_size=chunks_size, cameras=cameras, length="n_frames")
+    counted = (
+        dataset_info(present, info, length="n_frames")
         .join(words, "dataset")
         .withColumn("dagger_type", F.lit(dagger_type))
     )
-    return {"info": info, "tasks": vocabulary, "episodes": renumbered, "frames": numbered}
+    return {"info": counted, "tasks": vocabulary, "episodes": renumbered, "frames": numbered}
 
 

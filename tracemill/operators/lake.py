@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracemill.functions.numbers import frames_to_hours, minutes
-from tracemill.operators.positions import sorted_position
+from tracemill.operators.positions import nth_smallest, sorted_position
 
 
 def _all(conditions) -> Column:
@@ -117,18 +117,13 @@ def export_selection(
     return recordings.filter(_all(conditions))
 
 
-#: Above this, a limit is cut by position instead of by one top-k heap.
-TOP_K = 10_000
-
-
 def recording_limit(recordings: DataFrame, n: int) -> DataFrame:
-    """The first n recordings by id."""
-    if n <= TOP_K:
-        return recordings.orderBy("recording_id").limit(n)
-    return (
-        sorted_position(recordings, [], ["recording_id"], "_place")
-        .filter(F.col("_place") < n).drop("_place")
-    )
+    """The first n recordings by id; of rows that share the last id taken, any."""
+    last, before = nth_smallest(recordings, "recording_id", n)
+    if last is None:
+        return recordings if n > 0 else recordings.limit(0)
+    at_end = recordings.filter(F.col("recording_id") == last).limit(n - before)
+    return recordings.filter(F.col("recording_id") < last).unionByName(at_end)
 
 
 def newest_first(df: DataFrame, at: str, tie: str) -> DataFrame:

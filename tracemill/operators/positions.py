@@ -164,3 +164,28 @@ def smallest(df: DataFrame, by: str, tie: str, quota: Column | int, keys=(), bit
         .filter(F.col("_rank") <= quota)
         .drop("_block", "_offset", "_rank")
     )
+
+
+def nth_smallest(df: DataFrame, column: str, n: int, bins: int = 1024) -> tuple[int | None, int]:
+    """The n-th smallest value of an integer column, and how many rows lie below it.
+
+    Rows are counted per equal-width bin between the smallest and the largest value, and
+    again inside the bin that holds place n, until a bin is one value wide. Each round
+    brings at most ``bins`` counts to the driver. The value is null if fewer rows have one.
+    """
+    low, high, rows = df.agg(F.min(column), F.max(column), F.count(column)).first()
+    if n < 1 or rows <= n:
+        return None, rows
+    before = 0
+    while low < high:
+        width = -(-(high - low + 1) // bins)
+        inside = df.filter(F.col(column).between(low, high))
+        # decimals: the distance of two 64-bit values may need one bit more
+        place = F.floor((F.col(column).cast("decimal(20,0)") - F.lit(low)) / F.lit(width)).cast("int")
+        counts = dict(inside.groupBy(place.alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect())
+        for number in sorted(counts):
+            if before + counts[number] >= n:
+                low, high = low + number * width, min(high, low + (number + 1) * width - 1)
+                break
+            before += counts[number]
+    return low, before

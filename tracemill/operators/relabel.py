@@ -15,7 +15,7 @@ from tracemill.operators.positions import sorted_position
 
 EPISODE = ("dataset", "recording_id")
 
-#: Frames per generated array while an action is spread over its frames.
+#: Frames of a block; actions and frames meet by block, so a long episode is no hot key.
 SPREAD = 4_096
 
 
@@ -81,74 +81,71 @@ def _indexed(rows: DataFrame, vocabulary: DataFrame) -> DataFrame:
     )
 
 
-def frame_winners(spans: DataFrame, keys, value: str) -> DataFrame:
-    """Per frame the value of the covering span with the highest ``pos``.
+def with_rate(actions: DataFrame, info: DataFrame) -> DataFrame:
+    """Frame range of each action by the ``fps`` of its dataset."""
+    rates = info.select("dataset", F.col("fps").cast("double").alias("_fps"))
+    return (
+        actions.join(rates, "dataset")
+        .withColumn("first", F.greatest(first_frame(F.col("start_time"), F.col("_fps")), F.lit(0)))
+        .withColumn("last", last_frame(F.col("end_time"), F.col("_fps")))
+        .drop("start_time", "end_time", "_fps")
+    )
+
+
+def block_actions(spans: DataFrame, keys, value: str) -> DataFrame:
+    """Per episode and block of ``SPREAD`` frames the actions that touch it, in their order.
 
-    ``spans`` has keys, pos, first, last (both ends included) and the value. The
-    spans are spread over their frames and reduced per frame on the map side, so
-    the work is spread by frame even when one episode holds most of the data.
+    An action has one row per block, not per frame, and a block has the few actions
+    annotated for it. An action that ends far beyond any episode is cut at 2^31 frames.
     """
-    blocks = spans.filter(F.col("first") <= F.col("last")).withColumn(
-        "_block", F.explode(F.sequence(F.floor(F.col("first") / SPREAD), F.floor(F.col("last") / SPREAD)))
+    last = F.least("last", F.lit(2**31 - 1))
+    blocks = spans.filter(F.col("first") <= last).withColumn(
+        "_block", F.explode(F.sequence(F.floor(F.col("first") / SPREAD), F.floor(last / SPREAD)))
     )
-    low = F.greatest("first", F.col("_block") * SPREAD)
-    high = F.least("last", F.col("_block") * SPREAD + (SPREAD - 1))
-    return (
-        blocks.select(*keys, "pos", value, F.explode(F.sequence(low, high)).alias("frame_index"))
-        .groupBy(*keys, "frame_index")
-        .agg(F.max_by(value, "pos").alias(value))
+    return blocks.groupBy(*keys, "_block").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "first", "last", value))).alias("_actions")
     )
 
 
-def episode_ends(frames: DataFrame, keys=EPISODE) -> DataFrame:
-    """Index of the last frame per episode."""
-    return frames.groupBy(*keys).agg(F.max("frame_index").alias("_end"))
+def _last_covering(value: str):
+    """The value of the last action of the block that covers the frame."""
+    at = F.col("frame_index")
+    covering = F.filter("_actions", lambda a: (a["first"] <= at) & (at <= a["last"]))
+    return F.try_element_at(covering, F.lit(-1))[value]
 
 
-def action_spans(actions: DataFrame, ends: DataFrame, fps: int, keys=EPISODE) -> DataFrame:
-    """Frame range of each action, cut to the frames the episode has."""
-    rate = F.lit(float(fps))
-    return (
-        actions.join(ends, list(keys))
-        .withColumn("first", F.greatest(first_frame(F.col("start_time"), rate), F.lit(0)))
-        .withColumn("last", F.least(last_frame(F.col("end_time"), rate), F.col("_end")))
-        .drop("start_time", "end_time", "_end")
-    )
+def _with_block(frames: DataFrame) -> DataFrame:
+    return frames.withColumn("_block", F.floor(F.col("frame_index") / SPREAD))
 
 
-def frame_actions(frames: DataFrame, actions: DataFrame, fps: int, keys=EPISODE) -> DataFrame:
+def frame_actions(frames: DataFrame, actions: DataFrame, info: DataFrame, keys=EPISODE) -> DataFrame:
     """Frames with the name of the last action covering them, null where none does."""
-    spans = action_spans(actions, episode_ends(frames, keys), fps, keys)
-    return frames.join(frame_winners(spans, keys, "task"), [*keys, "frame_index"], "left")
+    blocks = block_actions(with_rate(actions, info), keys, "task")
+    return (
+        _with_block(frames).join(blocks, [*keys, "_block"], "left")
+        .withColumn("task", _last_covering("task")).drop("_block", "_actions")
+    )
 
 
 def relabel_by_annotation(
-    frames: DataFrame, annotations: DataFrame, vocabulary: DataFrame, fps: int = 30,
+    frames: DataFrame, annotations: DataFrame, vocabulary: DataFrame, info: DataFrame,
     prefer: str = "action_english",
 ) -> DataFrame:
     """Task index of each frame from the annotation of its episode.
 
-    The last action covering a frame wins, both ends included. A frame no action
-    covers gets 0, also when the annotation is empty. Episodes without annotation
-    keep their labels.
+    The last action covering a frame wins, both ends included; times count in frames
+    of the dataset's own ``fps``. A frame no action covers gets 0, also when the
+    annotation is empty. Episodes without annotation keep their labels.
     """
-    ends = episode_ends(frames)
     actions = _indexed(annotation_actions(annotations, EPISODE, prefer), vocabulary)
-    annotated = annotations.select(*EPISODE).join(ends, list(EPISODE))
-    base = annotated.select(
-        *EPISODE,
-        F.lit(-1).alias("pos"),
-        F.lit(0).cast("bigint").alias("task_index"),
-        F.lit(0).cast("bigint").alias("first"),
-        F.col("_end").alias("last"),
-    )
-    spans = base.unionByName(action_spans(actions, ends, fps))
-    winners = frame_winners(spans, EPISODE, "task_index").withColumnRenamed("task_index", "_new")
-    return (
-        frames.join(winners, [*EPISODE, "frame_index"], "left")
-        .withColumn("task_index", F.coalesce("_new", "task_index"))
-        .drop("_new")
-    )
+    blocks = block_actions(with_rate(actions, info), EPISODE, "task_index")
+    annotated = annotations.select(*EPISODE, F.lit(True).alias("_annotated"))
+    found = (
+        _with_block(frames).withColumnRenamed("task_index", "_old")
+        .join(blocks, [*EPISODE, "_block"], "left").join(annotated, list(EPISODE), "left")
+    )
+    label = F.when(F.col("_annotated"), F.coalesce(_last_covering("task_index"), F.lit(0))).otherwise(F.col("_old"))
+    return found.withColumn("task_index", label.cast("bigint")).drop("_old", "_block", "_actions", "_annotated")
 
 
 def relabel_by_prompt(frames: DataFrame, episodes: DataFrame, vocabulary: DataFrame) -> DataFrame:

@@ -2,18 +2,14 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracemill.functions.numbers import hash32, share
 from tracemill.operators.indices import dataset_info, fix_indices, reindex_episodes
-from tracemill.operators.positions import dense_position, smallest
+from tracemill.operators.positions import smallest
 from tracemill.operators.relabel import EPISODE
 
-DRAWS_PER_TASK = 1_000_000
-
 
 def _checked(ratio: float) -> float:
     if not 0.0 < ratio < 1.0:
@@ -34,57 +30,14 @@ def split_by_hash(episodes: DataFrame, ratio: float, seed: int = 42) -> DataFram
     return episodes.withColumn("split", _side(draw < F.lit(_checked(ratio) * 2**32)))
 
 
-def draw_sequence(spark: SparkSession, n: int, seed: int, per_task: int = DRAWS_PER_TASK) -> DataFrame:
-    """(position, draw): the first n numbers of Python's seeded generator.
-
-    Each task seeds the generator and skips to its own range, so the sequence
-    never exists as a whole anywhere.
-    """
-    key = [seed & 0xFFFFFFFF] if seed < 2**32 else [seed & 0xFFFFFFFF, seed >> 32]
-
-    def produce(batches):
-        for batch in batches:
-            for start in batch["id"] * per_task:
-                source = np.random.RandomState(key)
-                left = int(start)
-                while left > 0:
-                    step = min(left, per_task)
-                    source.random_sample(step)
-                    left -= step
-                size = min(per_task, n - int(start))
-                yield pd.DataFrame({
-                    "position": np.arange(start, start + size, dtype="int64"),
-                    "draw": source.random_sample(size),
-                })
-
-    ranges = max(1, -(-n // per_task))
-    return spark.range(0, ranges, 1, ranges).mapInPandas(produce, "position bigint, draw double")
-
-
-def split_by_sequence(episodes: DataFrame, ratio: float, seed: int = 42) -> DataFrame:
-    """The draws of Python's generator, seeded anew for every dataset.
-
-    The i-th episode of every dataset gets the i-th number.
-    """
-    _checked(ratio)
-    placed = dense_position(episodes, ["dataset"], ["episode_index"], "position")
-    most = placed.agg(F.max("position")).first()[0]
-    draws = draw_sequence(episodes.sparkSession, 0 if most is None else most + 1, abs(seed))
-    return (
-        placed.join(draws, "position")
-        .withColumn("split", _side(F.col("draw") < ratio))
-        .drop("position", "draw")
-    )
-
-
 def split_episodes(sided: DataFrame) -> DataFrame:
     """Episodes of both sides, numbered anew on each side."""
     return reindex_episodes(sided, ("dataset", "split"), keep_old=True)
 
 
-def split_metadata(sided: DataFrame, chunks_size: int = 100, cameras: int = 3) -> DataFrame:
+def split_metadata(sided: DataFrame, info: DataFrame) -> DataFrame:
     """Counts and split range of each side. A side without episodes has no row."""
-    return dataset_info(sided, ("dataset", "split"), chunks_size, cameras).withColumn(
+    return dataset_info(sided, info, ("dataset", "split")).withColumn(
         "range", F.concat(F.lit("0:"), F.col("total_episodes").cast("string"))
     )
 

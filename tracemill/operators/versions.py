@@ -7,7 +7,7 @@ changes any number of datasets.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracemill.functions.numbers import following_version, version_number
@@ -27,13 +27,14 @@ def publish(versions: DataFrame, requests: DataFrame) -> DataFrame:
     """Make the requested draft the active version of its dataset.
 
     A request that names no draft changes nothing. Otherwise every active version
-    of the dataset is archived, so at most one stays active.
+    of the dataset is archived, so at most one stays active. Of several requested
+    drafts the newest becomes active.
     """
-    drafts = versions.filter(F.col("status") == DRAFT).select("dataset", "version")
-    valid = requests.select("dataset", F.col("version").alias("_wanted")).join(
-        drafts.withColumnRenamed("version", "_wanted"), ["dataset", "_wanted"], "left_semi"
+    drafts = versions.filter(F.col("status") == DRAFT).select("dataset", F.col("version").alias("_wanted"), "seq")
+    valid = drafts.join(
+        requests.select("dataset", F.col("version").alias("_wanted")), ["dataset", "_wanted"], "left_semi"
     )
-    chosen = valid.groupBy("dataset").agg(F.max("_wanted").alias("_wanted"))
+    chosen = valid.groupBy("dataset").agg(F.max_by("_wanted", "seq").alias("_wanted"))
     status = (
         F.when(F.col("_wanted").isNull(), F.col("status"))
         .when((F.col("version") == F.col("_wanted")) & (F.col("status") == DRAFT), ACTIVE)
@@ -51,18 +52,35 @@ def next_versions(versions: DataFrame) -> DataFrame:
     )
 
 
+def _numbered(requests: DataFrame, *order: str) -> DataFrame:
+    """Requests of a dataset numbered from 0 in the column ``_turn``; a dataset has a handful."""
+    turns = Window.partitionBy("dataset").orderBy(*order)
+    return requests.withColumn("_turn", F.row_number().over(turns) - 1)
+
+
 def rollback(versions: DataFrame, requests: DataFrame, creator: str) -> DataFrame:
-    """Append a draft v(max + 1) that copies the requested version."""
+    """Append a draft v(max + 1) that copies the requested version.
+
+    Several requests for one dataset give one draft each, the older version first.
+    """
     source = requests.select("dataset", F.col("version").alias("_from")).join(
-        versions.select("dataset", F.col("version").alias("_from"), "recordings"), ["dataset", "_from"]
+        versions.select("dataset", F.col("version").alias("_from"), F.col("seq").alias("_old"), "recordings"),
+        ["dataset", "_from"],
     )
-    added = source.join(next_versions(versions), "dataset").select(
-        "dataset", "seq", "version", F.lit(DRAFT).alias("status"), "recordings",
+    added = _numbered(source, "_old").join(next_versions(versions), "dataset").select(
+        "dataset", (F.col("seq") + F.col("_turn")).alias("seq"), _later("version", "_turn").alias("version"),
+        F.lit(DRAFT).alias("status"), "recordings",
         F.concat(F.lit("rolled back from "), "_from").alias("note"), F.lit(creator).alias("creator"),
     )
     return versions.unionByName(added)
 
 
+def _later(version: str, turn: str) -> Column:
+    """The version ``turn`` steps after ``v<number>``."""
+    number = version_number(F.col(version)) + F.col(turn)
+    return F.concat(F.lit("v"), number.cast("string"))
+
+
 def newest(versions: DataFrame) -> DataFrame:
     return versions.groupBy("dataset").agg(
         F.max_by("version", "seq").alias("version"), F.max("seq").alias("seq")
@@ -72,14 +90,15 @@ def newest(versions: DataFrame) -> DataFrame:
 def process(versions: DataFrame, runs: DataFrame, requests: DataFrame, creator: str, at) -> tuple[DataFrame, DataFrame]:
     """Run an operator on datasets: a new draft each, and a run record each.
 
-    ``requests`` is (dataset, operator, recordings, note).
+    ``requests`` is (dataset, operator, recordings, note). Several requests for one
+    dataset give a draft each, in the order of operator, recordings and note.
     """
-    drafted = requests.join(newest(versions), "dataset").withColumn(
-        "version", following_version(F.col("version"))
+    drafted = _numbered(requests, "operator", "recordings", "note").join(newest(versions), "dataset").withColumn(
+        "version", following_version(F.col("version"), F.col("_turn") + 1)
     )
     note = F.coalesce(F.nullif(F.trim("note"), F.lit("")), F.concat(F.lit("processed by "), "operator"))
     added = drafted.select(
-        "dataset", (F.col("seq") + 1).alias("seq"), "version", F.lit(DRAFT).alias("status"),
+        "dataset", (F.col("seq") + 1 + F.col("_turn")).alias("seq"), "version", F.lit(DRAFT).alias("status"),
         "recordings", note.alias("note"), F.lit(creator).alias("creator"),
     )
     records = drafted.select(

@@ -17,7 +17,7 @@ class GateError(ValueError):
 
 def build_dataset(
     recordings: DataFrame, episodes: DataFrame, frames: DataFrame, tasks: DataFrame,
-    evaluation: DataFrame, *, n: int, ratio: float, seed: int = 42, quotas: DataFrame | None = None,
+    evaluation: DataFrame, info: DataFrame, *, n: int, ratio: float, seed: int = 42, quotas: DataFrame | None = None,
     by: str = "task", **filters,
 ) -> dict[str, DataFrame]:
     """Filter, sample by recipe, remove evaluation data, split, check.
@@ -38,7 +38,7 @@ def build_dataset(
     checks = quality.doctor_checks(names, mine, rows, tasks)
     return {
         "episodes": numbered,
-        "info": split.split_metadata(numbered),
+        "info": split.split_metadata(numbered, info),
         "frames": split.split_frames(rows, numbered),
         "doctor": quality.doctor_report(checks),
         "verdict": quality.doctor_verdict(checks),
@@ -53,7 +53,7 @@ def require_pass(verdict: DataFrame) -> None:
 
 
 def standard_run(
-    manifest: DataFrame, episodes: DataFrame, frames: DataFrame, tasks: DataFrame, rules, config,
+    manifest: DataFrame, episodes: DataFrame, frames: DataFrame, tasks: DataFrame, info: DataFrame, rules, config,
     ratio: float = 0.95, seed: int = 42,
 ) -> dict[str, DataFrame]:
     """Split, weights, verification, integrity and text check, one table per stage."""
@@ -61,7 +61,7 @@ def standard_run(
     grouped = sampling.frames_per_dataset(frames).withColumn("grp", match_group(F.col("dataset"), rules))
     weights = sampling.sampling_weights(grouped, config)
     return {
-        "split": split.split_metadata(sided),
+        "split": split.split_metadata(sided, info),
         "weights": weights,
         "verify": sampling.verify_weights(grouped, weights, config),
         "integrity": quality.frame_integrity(manifest, episodes, frames),

@@ -14,14 +14,14 @@ from workload.q_stats import members, r
 VIEWS["fx_covered"] = """
 SELECT f.dataset, f.recording_id, f.frame_index, f.task_index, a.pos, a.action,
   row_number() OVER (PARTITION BY f.dataset, f.recording_id, f.frame_index ORDER BY a.pos DESC) AS rn
-FROM fx_motion_frames f LEFT JOIN fx_actions a ON a.recording_id = f.recording_id AND a.dataset = f.dataset
-  AND f.frame_index BETWEEN floor(a.start_time * 30) AND ceil(a.end_time * 30)"""
+FROM fx_motion_frames f JOIN fx_settings c ON c.dataset = f.dataset LEFT JOIN fx_actions a ON a.recording_id = f.recording_id AND a.dataset = f.dataset
+  AND f.frame_index BETWEEN floor(a.start_time * c.fps) AND ceil(a.end_time * c.fps)"""
 
 
 @query("J5", "SELECT dataset, recording_id, frame_index, action AS task FROM fx_covered WHERE rn = 1")
 def j5(spark, d):
     actions = relabel.annotation_actions(v.annotations(spark, d))
-    return relabel.frame_actions(v.motion_frames(spark, d), actions, v.FPS).drop("task_index")
+    return relabel.frame_actions(v.motion_frames(spark, d), actions, v.settings(spark, d)).drop("task_index")
 
 
 @query("DOM6", """SELECT c.dataset, c.recording_id, c.frame_index, CASE WHEN c.recording_id % 10 = 0 THEN c.task_index ELSE coalesce(w.idx, 0) END AS task_index
@@ -30,7 +30,7 @@ def j5(spark, d):
 def dom6(spark, d):
     notes = v.annotations(spark, d)
     words = relabel.task_vocabulary(relabel.annotation_actions(notes))
-    return relabel.relabel_by_annotation(v.motion_frames(spark, d), notes, words, v.FPS)
+    return relabel.relabel_by_annotation(v.motion_frames(spark, d), notes, words, v.settings(spark, d))
 
 
 @query("W3", """SELECT dataset, CAST(0 AS BIGINT) AS task_index, 'unknown' AS task FROM fx_datasets UNION ALL
@@ -148,24 +148,19 @@ def dom2(spark, d):
     return sided(spark, d).select("dataset", "recording_id", "episode_index", "split")
 
 
-@query("DOM2_sequence")
-def dom2_sequence(spark, d):
-    return split.split_by_sequence(v.episodes(spark, d), 0.9).select("dataset", "recording_id", "episode_index", "split")
-
-
-@query("DOM3", """SELECT dataset, split, count(*) AS total_episodes, CAST(sum(length) AS BIGINT) AS total_frames, CAST(ceil(count(*) / 100.0) AS BIGINT) AS total_chunks,
-  count(*) * 3 AS total_videos, concat('0:', CAST(count(*) AS VARCHAR)) AS range FROM fx_sided GROUP BY 1, 2""")
+@query("DOM3", """SELECT dataset, split, count(*) AS total_episodes, CAST(sum(length) AS BIGINT) AS total_frames, any_value(c.chunks_size) AS chunks_size, any_value(c.fps) AS fps, CAST(ceil(count(*) / any_value(c.chunks_size)) AS BIGINT) AS total_chunks,
+  count(*) * any_value(c.cameras) AS total_videos, concat('0:', CAST(count(*) AS VARCHAR)) AS range FROM fx_sided JOIN fx_settings c USING (dataset) GROUP BY 1, 2""")
 def dom3(spark, d):
-    return split.split_metadata(sided(spark, d))
+    return split.split_metadata(sided(spark, d), v.settings(spark, d))
 
 
-@query("DOM3_files", """SELECT n.dataset, n.split, n.recording_id, concat(n.dataset, '/data/chunk-', lpad(CAST(n.episode_index // 100 AS VARCHAR), 3, '0'),
-  '/episode_', lpad(CAST(n.episode_index AS VARCHAR), 6, '0'), '.parquet') AS path FROM fx_numbered n""")
+@query("DOM3_files", """SELECT n.dataset, n.split, n.recording_id, concat(n.dataset, '/data/chunk-', lpad(CAST(n.episode_index // c.chunks_size AS VARCHAR), 3, '0'),
+  '/episode_', lpad(CAST(n.episode_index AS VARCHAR), 6, '0'), '.parquet') AS path FROM fx_numbered n JOIN fx_settings c USING (dataset)""")
 def dom3_files(spark, d):
     episodes = materialise(sided(spark, d))
     renumbered = split.split_episodes(episodes).select("dataset", "split", "old_episode_index", "episode_index")
     own = F.concat("dataset", F.format_string("/data/chunk-%03d/episode_%06d.parquet", F.floor(F.col("episode_index") / 100), F.col("episode_index")))
-    return indices.renumber_files(episodes.select("dataset", "recording_id", own.alias("path")), renumbered, 100).select(
+    return indices.renumber_files(episodes.select("dataset", "recording_id", own.alias("path")), renumbered, v.settings(spark, d)).select(
         "dataset", "split", "recording_id", "path")
 
 
@@ -205,23 +200,23 @@ def dom5_recordings(spark, d):
  SELECT f.dataset, f.recording_id, f.frame_index, s.ni AS episode_index, CAST(s.start + f.frame_index AS BIGINT) AS index, coalesce(w.task_index, 0) AS task_index
  FROM fx_frames f JOIN starts s ON s.recording_id = f.recording_id LEFT JOIN words w ON w.dataset = f.dataset AND w.task = s.english[1]""")
 def dom10(spark, d):
-    out = indices.dagger_subset(v.placed_frames(spark, d), v.raw_episodes(spark, d), "teleop")["frames"]
+    out = indices.dagger_subset(v.placed_frames(spark, d), v.raw_episodes(spark, d), "teleop", v.settings(spark, d))["frames"]
     return out.select("dataset", "recording_id", "frame_index", "episode_index", "index", "task_index")
 
 
-@query("DOM10_info", """SELECT e.dataset, count(*) AS total_episodes, CAST(coalesce(sum(l.n), 0) AS BIGINT) AS total_frames, CAST(ceil(count(*) / 1000.0) AS BIGINT) AS total_chunks,
-  count(*) * 3 AS total_videos, any_value(w.k) AS total_tasks, 'teleop' AS dagger_type FROM fx_english e LEFT JOIN fx_lengths l ON l.recording_id = e.recording_id
+@query("DOM10_info", """SELECT e.dataset, count(*) AS total_episodes, CAST(coalesce(sum(l.n), 0) AS BIGINT) AS total_frames, any_value(c.chunks_size) AS chunks_size, any_value(c.fps) AS fps, CAST(ceil(count(*) / any_value(c.chunks_size)) AS BIGINT) AS total_chunks,
+  count(*) * any_value(c.cameras) AS total_videos, any_value(w.k) AS total_tasks, 'teleop' AS dagger_type FROM fx_english e LEFT JOIN fx_lengths l ON l.recording_id = e.recording_id
   JOIN (SELECT dataset, count(DISTINCT task) FILTER (task <> 'unknown') + 1 AS k FROM (SELECT dataset, unnest(english) AS task FROM fx_english WHERE dagger_type = 'teleop') x GROUP BY dataset) w
-    ON w.dataset = e.dataset WHERE dagger_type = 'teleop' GROUP BY e.dataset""")
+    ON w.dataset = e.dataset JOIN fx_settings c ON c.dataset = e.dataset WHERE dagger_type = 'teleop' GROUP BY e.dataset""")
 def dom10_info(spark, d):
-    return indices.dagger_subset(v.frames(spark, d).withColumn("frame_index", F.lit(0).cast("bigint")), v.raw_episodes(spark, d), "teleop")["info"]
+    return indices.dagger_subset(v.frames(spark, d).withColumn("frame_index", F.lit(0).cast("bigint")), v.raw_episodes(spark, d), "teleop", v.settings(spark, d))["info"]
 
 
-WEIGHTS = {"prompt": {"t1": 2.0, "t2": 0.5}, "tag": {"sk_pick": 0.0, "sk_pour": 1.5}}
+WEIGHTS = {"prompt": {"t1": 2.0, "t2": 0.5}, "tag": {"do_grasp": 0.0, "do_fill": 1.5}}
 VIEWS["fx_recipe_counts"] = """
 SELECT 'prompt' AS side, task AS class, count(*) AS available, count(*) * CASE task WHEN 't1' THEN 2.0 WHEN 't2' THEN 0.5 ELSE 1.0 END::DOUBLE AS scaled FROM fx_recordings WHERE qa = 'pass' GROUP BY task
-UNION ALL SELECT 'tag', tag, count(*), count(*) * CASE tag WHEN 'sk_pick' THEN 0.0 WHEN 'sk_pour' THEN 1.5 ELSE 1.0 END::DOUBLE FROM
- (SELECT unnest(tags) AS tag FROM fx_recordings WHERE qa = 'pass') t WHERE starts_with(tag, 'sk_') GROUP BY tag"""
+UNION ALL SELECT 'tag', tag, count(*), count(*) * CASE tag WHEN 'do_grasp' THEN 0.0 WHEN 'do_fill' THEN 1.5 ELSE 1.0 END::DOUBLE FROM
+ (SELECT unnest(tags) AS tag FROM fx_recordings WHERE qa = 'pass') t WHERE starts_with(tag, 'do_') GROUP BY tag"""
 VIEWS["fx_recipe"] = """
 SELECT side, class, available, share, (SELECT min(t) FROM (SELECT CAST(floor(min(available / share)) AS BIGINT) AS t FROM
    (SELECT side, available, scaled / sum(scaled) OVER (PARTITION BY side) AS share FROM fx_recipe_counts) c WHERE share > 0.001 GROUP BY side) m) AS total
@@ -233,7 +228,7 @@ def recipe(spark, d):
 
     rows = lake.query_recordings(v.recordings(spark, d), qas=["pass"])
     prompts = lake.facet_counts(rows, "task").select(F.col("task").alias("class"), F.col("episodes").alias("available"))
-    tags = lake.tag_counts(rows).filter(F.col("tag").startswith("sk_")).select(F.col("tag").alias("class"), F.col("episodes").alias("available"))
+    tags = lake.tag_counts(rows).filter(F.col("tag").startswith("do_")).select(F.col("tag").alias("class"), F.col("episodes").alias("available"))
     return rows, split.recipe_plan(prompts, tags, WEIGHTS)
 
 
@@ -277,7 +272,7 @@ def dom14(spark, d):
     from tracemill.operators import lake
 
     selected = lake.export_selection(v.recordings(spark, d), tasks=["t1", "t2"])
-    return export_frames(export.export_dataset(selected, v.raw_episodes(spark, d), v.placed_frames(spark, d)))
+    return export_frames(export.export_dataset(selected, v.raw_episodes(spark, d), v.placed_frames(spark, d), info=v.settings(spark, d)))
 
 
 @query("DOM14_annotated", """SELECT c.dataset, c.recording_id, c.frame_index, s.ep AS episode_index, CAST(s.start + c.frame_index AS BIGINT) AS index,
@@ -290,7 +285,7 @@ def dom14_annotated(spark, d):
     frames = v.motion_frames(spark, d)
     users = v.table(spark, d, "events").select(*v._motion_keys()).distinct()
     episodes = users.withColumn("episode_index", F.col("recording_id")).withColumn("length", F.lit(0).cast("bigint"))
-    return export_frames(export.export_dataset(users, episodes, frames, mode="annotated", annotations=v.annotations(spark, d)))
+    return export_frames(export.export_dataset(users, episodes, frames, mode="annotated", annotations=v.annotations(spark, d), info=v.settings(spark, d)))
 
 
 @query("SET2_frames", """SELECT 'all' AS dataset, f.recording_id, f.frame_index, s.ep AS episode_index, CAST(s.start + f.frame_index AS BIGINT) AS index FROM fx_frames f
@@ -312,11 +307,11 @@ def built(spark, d):
     evaluation = members(spark, d).filter(F.col("dataset_type") != "train")
     return build.build_dataset(
         v.recordings(spark, d), v.episodes(spark, d), v.frames(spark, d).withColumn("frame_index", F.lit(0).cast("bigint")),
-        v.tasks(spark, d), evaluation, n=2000, ratio=0.9, qas=["pass", "warn"])
+        v.tasks(spark, d), evaluation, v.settings(spark, d), n=2000, ratio=0.9, qas=["pass", "warn"])
 
 
-@query("VER6", """SELECT dataset, split, count(*) AS total_episodes, CAST(sum(length) AS BIGINT) AS total_frames, CAST(ceil(count(*) / 100.0) AS BIGINT) AS total_chunks,
-  count(*) * 3 AS total_videos, concat('0:', CAST(count(*) AS VARCHAR)) AS range FROM fx_built GROUP BY 1, 2""")
+@query("VER6", """SELECT dataset, split, count(*) AS total_episodes, CAST(sum(length) AS BIGINT) AS total_frames, any_value(c.chunks_size) AS chunks_size, any_value(c.fps) AS fps, CAST(ceil(count(*) / any_value(c.chunks_size)) AS BIGINT) AS total_chunks,
+  count(*) * any_value(c.cameras) AS total_videos, concat('0:', CAST(count(*) AS VARCHAR)) AS range FROM fx_built JOIN fx_settings c USING (dataset) GROUP BY 1, 2""")
 def ver6(spark, d):
     return built(spark, d)["info"]
 

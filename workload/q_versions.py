@@ -1,5 +1,7 @@
 """Versions, lineage, pipelines and runs, taxonomy, whole runs."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from tracemill.functions.recordings import usage_kind
@@ -128,17 +130,20 @@ def agg17_children(spark, d):
 
 @query("VER7", """SELECT 'split' AS stage, concat(dataset, '|', split) AS name, CAST(count(*) AS DOUBLE) AS value FROM fx_sided GROUP BY dataset, split
   UNION ALL SELECT 'weights', dataset, round(weight, 6) FROM fx_sampling
+  UNION ALL SELECT 'verify', grp, round(coalesce(sum(s) / (SELECT sum(frames * weight) FROM fx_sampling), 0), 6) FROM
+    (SELECT g.grp, coalesce(g.frames * w.weight, 0) AS s FROM fx_grouped g LEFT JOIN fx_sampling w ON w.dataset = g.dataset) q GROUP BY grp
   UNION ALL SELECT 'integrity', d.dataset, CAST(coalesce(n, 0) AS DOUBLE) FROM fx_datasets d LEFT JOIN fx_data_frames f ON f.dataset = d.dataset
   UNION ALL SELECT 'text', dataset, CAST(count(*) FILTER (regexp_matches(task, '[一-鿿]')) AS DOUBLE) FROM fx_tasks GROUP BY dataset""")
 def ver7(spark, d):
-    out = build.standard_run(v.manifest(spark, d), v.episodes(spark, d), v.frames(spark, d), v.tasks(spark, d), v.RULES, v.CONFIG, ratio=0.9)
+    out = build.standard_run(v.manifest(spark, d), v.episodes(spark, d), v.frames(spark, d), v.tasks(spark, d), v.settings(spark, d), v.RULES, v.CONFIG, ratio=0.9)
     rows = [
         out["split"].select(F.lit("split").alias("stage"), F.concat_ws("|", "dataset", "split").alias("name"), F.col("total_episodes").cast("double").alias("value")),
         out["weights"].select(F.lit("weights").alias("stage"), F.col("dataset").alias("name"), r(F.col("weight")).alias("value")),
+        out["verify"].select(F.lit("verify").alias("stage"), F.col("grp").alias("name"), r(F.col("frame_share")).alias("value")),
         out["integrity"].select(F.lit("integrity").alias("stage"), F.col("dataset").alias("name"), F.col("data_frames").cast("double").alias("value")),
         out["text"].select(F.lit("text").alias("stage"), F.col("dataset").alias("name"), F.col("chinese_tasks").cast("double").alias("value")),
     ]
-    return rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3])
+    return reduce(lambda a, b: a.unionByName(b), rows)
 
 
 @query("VER7_dagger", """SELECT 'integrity' AS stage, d.dataset AS name, coalesce(n, 0) AS value FROM fx_datasets d LEFT JOIN fx_data_frames f ON f.dataset = d.dataset

@@ -12,16 +12,17 @@ from tracemill.operators.positions import dense_position, shifted
 from tracemill.session import shared_dir
 from workload.registry import VIEWS
 
-FPS = 30
+#: fps, chunk size and cameras differ by dataset, as a lake of many robots has them.
+SETTINGS_SQL = """CASE WHEN {0} % 3 = 0 THEN 15 ELSE 30 END AS fps, CASE WHEN {0} % 2 = 0 THEN 100 ELSE 40 END AS chunks_size, 2 + {0} % 3 AS cameras"""
 RULES = [("pen", ["PenHolder"]), ("pick", ["PickPlace", "Wipe"]), ("scoop", ["ScoopNuts"]),
          ("late", ["Wipe", "drawer"]), ("empty_group", ["NoSuchKeyword"])]
 CONFIG = {"pen": (0.1, 1.0, True), "pick": (2.0, 0.57), "scoop": (1.0, 0.0), "late": (1.0, 0.7),
           "empty_group": (1.0, 1.0)}
-TASK_TAGS = {"t1": ["sc_whiteboard", "sk_wipe"], "t2": ["sc_desk", "sk_pick", "sk_place"],
-             "t3": ["sc_plant", "sk_pour", "sk_pick"]}
-TAG_DEFS = [("sc_whiteboard", "scene"), ("sc_desk", "scene"), ("sc_plant", "scene"),
-            ("sk_wipe", "skill"), ("sk_pick", "skill"), ("sk_place", "skill"), ("sk_pour", "skill"),
-            ("q_high", "quality"), ("q_review", "quality")]
+TASK_TAGS = {"t1": ["at_desk", "do_clean", "do_lay"], "t2": ["at_bench", "do_grasp"],
+             "t3": ["at_board", "do_fill"]}
+TAG_DEFS = [("at_board", "scene"), ("at_desk", "scene"), ("at_bench", "scene"),
+            ("do_clean", "skill"), ("do_grasp", "skill"), ("do_lay", "skill"), ("do_fill", "skill"),
+            ("is_good", "quality"), ("is_doubtful", "quality")]
 DIMENSIONS = ["scene", "skill"]
 OPERATORS = ("op_a", "op_b", "op_c")
 DEVICES = ("dev_a", "dev_b")
@@ -98,8 +99,8 @@ SELECT o_orderkey AS recording_id, o_custkey % 24 AS ds,
   o_orderdate AS collected_at,
   CASE WHEN o_orderkey % 2 = 0 THEN 'dev_a' ELSE 'dev_b' END AS device,
   CASE o_orderkey % 3 WHEN 0 THEN 'op_a' WHEN 1 THEN 'op_b' ELSE 'op_c' END AS operator,
-  list_append(CASE o_orderkey % 3 WHEN 0 THEN ['sc_whiteboard', 'sk_wipe'] WHEN 1 THEN ['sc_desk', 'sk_pick', 'sk_place']
-    ELSE ['sc_plant', 'sk_pour', 'sk_pick'] END, CASE WHEN o_orderstatus IN ('F', 'P') THEN 'q_review' ELSE 'q_high' END) AS tags
+  list_append(CASE o_orderkey % 3 WHEN 0 THEN ['at_desk', 'do_clean', 'do_lay'] WHEN 1 THEN ['at_bench', 'do_grasp']
+    ELSE ['at_board', 'do_fill'] END, CASE WHEN o_orderstatus IN ('F', 'P') THEN 'is_doubtful' ELSE 'is_good' END) AS tags
 FROM orders"""
 
 
@@ -397,3 +398,19 @@ VIEWS["fx_counts"] = "SELECT dataset, count(*) AS frames FROM fx_frames GROUP BY
 def info(spark, d) -> DataFrame:
     """Frame count of each dataset as its metadata states it."""
     return raw_episodes(spark, d).groupBy("dataset").agg(F.sum("length").alias("frames"))
+
+
+VIEWS["fx_settings"] = f"""
+SELECT dataset, {SETTINGS_SQL.format('ds')} FROM fx_datasets UNION ALL
+SELECT concat('set', CAST(k AS VARCHAR)), {SETTINGS_SQL.format('k')} FROM (SELECT DISTINCT user_id % 3 AS k FROM events) e"""
+
+
+def settings(spark, d) -> DataFrame:
+    """fps, chunk size and cameras as the info of each dataset has them."""
+    sets = table(spark, d, "events").select((F.col("user_id") % 3).alias("ds")).distinct()
+    rows = datasets(spark, d).select("dataset", "ds").unionByName(
+        sets.select(F.concat(F.lit("set"), F.col("ds").cast("string")).alias("dataset"), "ds"))
+    odd = F.col("ds") % 3
+    return rows.select(
+        "dataset", F.when(odd == 0, 15).otherwise(30).alias("fps"),
+        F.when(F.col("ds") % 2 == 0, 100).otherwise(40).alias("chunks_size"), (2 + odd).alias("cameras"))
