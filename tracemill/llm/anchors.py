@@ -35,17 +35,54 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[:-rest], out[rest:]) if rest else out
 
 
-def anchor_runs(data: np.ndarray, ends: np.ndarray, width: int):
-    """Runs of windows with the same anchor: ``anchor, first, last, owner, content``.
+def range_hash(hashes: np.ndarray, start: np.ndarray, end: np.ndarray, longest: int) -> np.ndarray:
+    """Hash of the bytes from ``start`` to ``end``, from the gram hashes that cover them, and of their number."""
+    out = (end - start).astype(np.uint64)
+    for step in range(0, longest, GRAM):
+        out = mix(out * np.uint64(31) + hashes[np.clip(np.minimum(start + step, end - GRAM), 0, len(hashes) - 1)])
+    return out
 
-    ``data`` holds several strings one after the other, ``ends`` where each ends. The
-    windows of a run begin at ``first`` to ``last``; ``owner`` is the number of the string
-    and ``content`` a hash of all bytes of the run's windows and their number.
+
+class Runs:
+    """Runs of windows with the same anchor in strings that stand one after the other.
+
+    The windows of a run begin at ``first`` to ``last``; ``owner`` is the number of the string,
+    ``anchor`` the hash of the anchor and ``at`` its place. A window that begins more than
+    ``half`` bytes before its anchor holds the bytes from there to the anchor's end; any other
+    holds the ``half`` bytes and more behind the anchor. ``left`` and ``right`` are the hashes of
+    these longer strings, which equal windows share just as well, for runs that have such windows.
     """
+
+    def __init__(self, data: np.ndarray, ends: np.ndarray, width: int):
+        self.width, self.half = width, (width - GRAM) // 2
+        self.hashes = gram_hashes(data) if len(data) >= width else np.zeros(0, np.uint64)
+        self.at, self.first, self.last, self.owner = _runs_of(self.hashes, len(data), ends, width)
+        self.anchor = self.hashes[self.at].view(np.int64)
+        self.has_left = self.first < self.at - self.half
+        self.has_right = self.last >= self.at - self.half
+        self.left = self._hash(self.at - self.half - 1, self.at + GRAM)
+        self.right = self._hash(self.at, self.at + width - self.half)
+
+    def _hash(self, start, end):
+        return range_hash(self.hashes, start, end, self.width).view(np.int64) if len(self.at) else self.at
+
+    def keep(self, left: np.ndarray, right: np.ndarray):
+        """The runs cut to their left or right windows, where only one side is wanted: ``anchor, first,
+        last, owner`` and a hash of all bytes of the windows."""
+        left, right = left & self.has_left, right & self.has_right
+        first = np.where(left, self.first, np.maximum(self.first, self.at - self.half))
+        last = np.where(right, self.last, np.minimum(self.last, self.at - self.half - 1))
+        take = np.flatnonzero(left | right)
+        first, last = first[take], last[take]
+        content = range_hash(self.hashes, first, last + self.width, 2 * self.width) if len(take) else first
+        return self.anchor[take], first, last, self.owner[take], content.view(np.int64)
+
+
+def _runs_of(hashes: np.ndarray, size: int, ends: np.ndarray, width: int):
+    """``at, first, last, owner`` of all runs."""
     none = np.zeros(0, np.int64)
-    if len(data) < width or width < 3 * GRAM:
-        return none, none, none, none, none
-    hashes = gram_hashes(data)
+    if size < width:
+        return none, none, none, none
     place = np.arange(len(hashes), dtype=np.uint64)
     least = sliding_min((hashes & ~_LOW) | (place & _LOW), width - GRAM + 1)
     start = place[: len(least)]
@@ -53,11 +90,8 @@ def anchor_runs(data: np.ndarray, ends: np.ndarray, width: int):
     owner = np.searchsorted(ends, start.astype(np.int64), side="right")
     whole = np.flatnonzero(start.astype(np.int64) + width <= ends[np.minimum(owner, len(ends) - 1)])
     if not len(whole):
-        return none, none, none, none, none
+        return none, none, none, none
     chosen, owner = chosen[whole], owner[whole]
     new = np.flatnonzero(np.concatenate([[True], (np.diff(chosen) != 0) | (np.diff(owner) != 0) | (np.diff(whole) != 1)]))
     first, last = whole[new], whole[np.concatenate([new[1:], [len(whole)]]) - 1]
-    content = (last - first).astype(np.uint64)
-    for step in range(0, 2 * width, GRAM):  # grams that cover the run from its start and to its end
-        content = mix(content * np.uint64(31) + hashes[np.minimum(first + step, last + width - GRAM)])
-    return hashes[chosen[new]].view(np.int64), first, last, owner[new], content.view(np.int64)
+    return chosen[new], first, last, owner[new]

@@ -12,12 +12,25 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
 from tracemill.llm.bloom import BLOCKS, CELLS, cells_hit
+from tracemill.llm.words import mix
 
 #: Hashes that one task compares.
 PER_PART = 1 << 20
+#: Bytes of a hash that are sent; the part stands for the highest ones. Two hashes that only
+#: differ in the others both pass, which costs work and loses nothing.
+KEPT = 5
 BLOBS = "part int, hashes binary"
 
 
+def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
+    return ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
+def _short(part: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """What a filter holds of a hash: its part and its ``KEPT`` lowest bytes, spread over 64 bits."""
+    return mix((part.astype(np.uint64) << np.uint64(8 * KEPT)) | low).view(np.int64)
+
+
 def blobs(hashes: np.ndarray, owners: np.ndarray, parts: int) -> pd.DataFrame:
     """The hashes of a batch by part; the lowest bit tells that two owners of the batch have it."""
     hashes = hashes.view(np.uint64) & ~np.uint64(1)
@@ -28,19 +41,24 @@ def blobs(hashes: np.ndarray, owners: np.ndarray, parts: int) -> pd.DataFrame:
     starts = np.flatnonzero(np.concatenate([[True], np.diff(hashes) != 0]))
     several = np.minimum.reduceat(owners, starts) != np.maximum.reduceat(owners, starts)
     hashes = hashes[starts] | several.astype(np.uint64)
-    part = ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    part = _part(hashes, parts)
+    low = hashes.view(np.uint8).reshape(-1, 8)[:, :KEPT]
     cuts = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(part)]])
     return pd.DataFrame({"part": part[cuts[:-1]].astype("int32"),
-                         "hashes": [hashes[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]})
+                         "hashes": [low[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]})
 
 
 def _in_several(frame: pd.DataFrame) -> pd.DataFrame:
-    every = np.sort(np.concatenate([np.frombuffer(b, np.uint64) for b in frame["hashes"]]))
+    raw = np.frombuffer(b"".join(frame["hashes"]), np.uint8).reshape(-1, KEPT)
+    every = np.zeros((len(raw), 8), np.uint8)
+    every[:, :KEPT] = raw
+    every = np.sort(every.view(np.uint64).ravel())
     bare = every >> np.uint64(1)
     starts = np.flatnonzero(np.concatenate([[True], np.diff(bare) != 0]))
     count = np.diff(np.append(starts, len(bare)))
     several = np.bitwise_or.reduceat(every & np.uint64(1), starts).astype(bool)
-    return pd.DataFrame({"hash": (bare[starts[(count > 1) | several]] << np.uint64(1)).view(np.int64)})
+    low = bare[starts[(count > 1) | several]] << np.uint64(1)
+    return pd.DataFrame({"hash": _short(np.full(len(low), frame["part"].iloc[0]), low)})
 
 
 def common_filter(batch_blobs: DataFrame) -> Broadcast:
@@ -53,13 +71,15 @@ def common_filter(batch_blobs: DataFrame) -> Broadcast:
 class Filter:
     """Probes the filter of :func:`common_filter` for whole arrays of hashes."""
 
-    def __init__(self, rows):
+    def __init__(self, rows, parts: int):
+        self.parts = parts
         self.bits = np.zeros((BLOCKS, CELLS // 8), np.uint8)
         for block, cells in rows:
             self.bits[block] = np.frombuffer(cells, np.uint8)
 
     def __call__(self, hashes: np.ndarray) -> np.ndarray:
-        hashes = hashes & ~np.int64(1)
+        bare = hashes.view(np.uint64) & ~np.uint64(1)
+        hashes = _short(_part(bare, self.parts), bare & np.uint64((1 << 8 * KEPT) - 1))
         block = np.mod(hashes, BLOCKS)
         found = np.ones(len(hashes), bool)
         for shift in (16, 40):

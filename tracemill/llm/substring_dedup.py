@@ -1,7 +1,8 @@
 """Removal of byte strings that an earlier document has, by suffix arrays over shards.
 
 1. Equal texts enter once, under the smallest id. Every window of ``width`` bytes chooses
-   an anchor; anchors of one document only cannot lie in a common window and are set aside.
+   an anchor. The anchor and the bytes that follow (or precede) it in all windows that begin
+   near (or far) before it must be found in two documents; other windows are set aside.
 2. The runs of windows that share an anchor go to the shard of the anchor, equal runs only
    once with the smallest id. An anchor with very many different runs is spread: its windows
    go to the shard of their own hash one by one.
@@ -26,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracemill.llm.anchors import anchor_runs
+from tracemill.llm.anchors import Runs
 from tracemill.llm.bloom import cells_hit, only_ids, probe
 from tracemill.llm.common import spread_join, table
 from tracemill.llm.exact_dedup import drop_copies
@@ -37,7 +38,7 @@ from tracemill.session import materialise
 
 WIDTH = 50
 #: Bytes of runs that one shard's suffix array holds, and runs of one anchor from which it is spread.
-SHARD = 2 << 20
+SHARD = 1 << 20
 SPREAD = 8192
 #: Never part of UTF-8.
 END = 255
@@ -46,37 +47,37 @@ END = 255
 def _encoded(frame: pd.DataFrame):
     """The texts of a batch in parts: ids, joined bytes and where each text ends."""
     texts, ids = frame["text"].tolist(), frame["id"].to_numpy()
-    for a, b in batches(texts):
+    for a, b in batches(texts, 1 << 19):
         raw = [t.encode("utf-8", "replace") for t in texts[a:b]]
         yield ids[a:b], np.frombuffer(b"".join(raw), np.uint8), np.cumsum([len(r) for r in raw])
 
 
-def _anchor_blobs(width: int, parts: int):
+def _key_blobs(width: int, parts: int):
     def emit(frames):
         for frame in frames:
             found, owners = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for ids, data, ends in _encoded(frame):
-                anchors, _, _, owner, _ = anchor_runs(data, ends, width)
-                found.append(anchors)
-                owners.append(ids[owner])
+                runs = Runs(data, ends, width)
+                for key, has in ((runs.left, runs.has_left), (runs.right, runs.has_right)):
+                    found.append(key[has])
+                    owners.append(ids[runs.owner[has]])
             yield blobs(np.concatenate(found), np.concatenate(owners), parts)
 
     return emit
 
 
-def _runs(width: int, filters):
+def _runs(width: int, filters, parts: int):
     """Runs of windows with a common anchor; equal runs of a batch carry their bytes once."""
     kept: dict = {}
 
     def emit(frames):
         for frame in frames:
-            known = kept.get("filter") or kept.setdefault("filter", Filter(filters.value))
+            known = kept.get("filter") or kept.setdefault("filter", Filter(filters.value, parts))
             for ids, data, ends in _encoded(frame):
                 begins = ends - np.diff(ends, prepend=0)
-                anchors, first, last, owner, content = anchor_runs(data, ends, width)
-                take = np.flatnonzero(known(anchors))
-                anchors, first, last, owner, content = (x[take] for x in (anchors, first, last, owner, content))
-                carries = np.zeros(len(take), bool)
+                runs = Runs(data, ends, width)
+                anchors, first, last, owner, content = runs.keep(known(runs.left), known(runs.right))
+                carries = np.zeros(len(anchors), bool)
                 carries[np.unique(content, return_index=True)[1]] = True
                 raw = data.tobytes()
                 yield pd.DataFrame({
@@ -146,10 +147,10 @@ def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     named = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     once = drop_copies(named.filter("id IS NOT NULL"), "id", "text", smallest=True)
     size = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, math.ceil(size / (width - 14) * 2 / PER_PART))
-    filters = common_filter(once.mapInPandas(_anchor_blobs(width, parts), BLOBS))
+    parts = max(1, math.ceil(size / 10 / PER_PART))
+    filters = common_filter(once.mapInPandas(_key_blobs(width, parts), BLOBS))
     placed = materialise(once.mapInPandas(
-        _runs(width, filters), "run long, anchor long, doc_id long, start long, bytes binary"))
+        _runs(width, filters, parts), "run long, anchor long, doc_id long, start long, bytes binary"))
     distinct = materialise(placed.groupBy("run").agg(
         F.min("anchor").alias("anchor"), F.min("doc_id").alias("doc_id"), F.max("bytes").alias("bytes"),
         F.when(F.min("doc_id") == F.max("doc_id"), 1).otherwise(2).alias("docs")))
