@@ -44,8 +44,8 @@ BLOCK = 256
 def choose_bands(threshold: float, recall: float, hashes: int = HASHES) -> tuple[int, int]:
     """Bands and rows: the most rows for which enough bands fit into ``hashes`` functions."""
     for rows in range(hashes, 0, -1):
-        miss = 1 - threshold ** rows
-        bands = math.ceil(math.log(1 - recall) / math.log(miss)) if miss > 0 else 1
+        shared = threshold ** rows
+        bands = 1 if shared == 1 else math.ceil(math.log1p(-recall) / math.log1p(-shared))
         if bands * rows <= hashes:
             return bands, rows
     raise ValueError("no number of rows reaches this recall; allow more hash functions")
