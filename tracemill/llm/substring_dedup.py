@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracemill.llm.anchors import Runs
-from tracemill.llm.bloom import cells_hit, only_ids, probe
+from tracemill.llm.bloom import only_ids
 from tracemill.llm.common import spread_join, table
 from tracemill.llm.exact_dedup import drop_copies
 from tracemill.llm.shared import BLOBS, PER_PART, Filter, blobs, common_filter
@@ -155,18 +155,18 @@ def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.min("anchor").alias("anchor"), F.min("doc_id").alias("doc_id"), F.max("bytes").alias("bytes"),
         F.when(F.min("doc_id") == F.max("doc_id"), 1).otherwise(2).alias("docs")))
     hot = materialise(distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > spread).select("anchor"))
-    marked = probe(distinct.withColumn("offset", F.lit(0)), "anchor", cells_hit(hot, "anchor", 1), "maybe_hot")
-    maybe = marked.filter("maybe_hot").join(hot.withColumn("hot", F.lit(True)), "anchor", "left")
-    normal = marked.filter("NOT maybe_hot").unionByName(maybe.filter("hot IS NULL").drop("hot"))
-    windows = maybe.filter("hot").drop("hot").withColumn(
-        "offset", F.explode(F.sequence(F.lit(0), F.octet_length("bytes") - width))).withColumn(
-        "bytes", F.expr(f"substring(bytes, offset + 1, {width})")).withColumn("anchor", F.xxhash64("bytes"))
-    units = normal.unionByName(windows).select("run", "anchor", "offset", "doc_id", "docs", "bytes")
+    alone = F.array(F.struct(F.lit(0).alias("offset"), F.col("bytes"), F.col("anchor")))
+    window = lambda at: F.substring(F.col("bytes"), at + 1, F.lit(width))
+    each = F.transform(F.sequence(F.lit(0), F.octet_length("bytes") - width), lambda at: F.struct(
+        at.alias("offset"), window(at).alias("bytes"), F.xxhash64(window(at)).alias("anchor")))
+    marked = distinct.join(hot.withColumn("hot", F.lit(True)), "anchor", "left")
+    units = marked.select("run", "doc_id", "docs", F.explode(F.when(F.col("hot"), each).otherwise(alone)).alias("unit")).select(
+        "run", "doc_id", "docs", "unit.*")
     total = distinct.agg(F.sum(F.octet_length("bytes") + 1)).first()[0] or 0
     shards = max(1, math.ceil(total / shard))
     solved = units.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int")).groupBy("shard").applyInPandas(
         _shard(width), "run long, low long, high long, least long")
-    answers = solved.groupBy("run").agg(F.collect_list(F.struct("low", "high", "least")).alias("answers"))
+    answers = materialise(solved.groupBy("run").agg(F.collect_list(F.struct("low", "high", "least")).alias("answers")))
     told = placed.select("run", "doc_id", "start").join(answers, "run")  # hot runs: Spark splits skewed partitions
     return told.select("doc_id", "start", F.explode("answers").alias("a")).filter("a.least < doc_id").select(
         "doc_id", (F.col("start") + F.col("a.low")).alias("low"), (F.col("start") + F.col("a.high") + width).alias("high"))
