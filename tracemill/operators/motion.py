@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracemill.operators.positions import running_start, shifted, sorted_position
+from tracemill.operators.positions import shifted
 
 LAG_STEPS = 8
 JITTER_LIMIT = 0.03
@@ -83,20 +83,39 @@ def histogram(signal: DataFrame, keys, value: str, bins: int = BINS) -> DataFram
     )
 
 
-def upper_median(signal: DataFrame, keys, value: str) -> DataFrame:
+def _bin_of_place(rows: DataFrame, ranges: DataFrame, keys, value: str, bins: int) -> DataFrame:
+    """Per key the bin between ``low`` and ``high`` that holds ``place``, as a narrower range."""
+    inside = rows.join(ranges, keys).filter(F.col(value).between(F.col("low"), F.col("high")))
+    counts = inside.groupBy(*keys, bin_of(F.col(value), F.col("low"), F.col("high"), bins).alias("bin")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(value).alias("low"), F.max(value).alias("high"), F.min("place").alias("place"))
+    earlier = Window.partitionBy(*keys).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    return (
+        counts.withColumn("_before", before)
+        .filter((F.col("_before") <= F.col("place")) & (F.col("place") < F.col("_before") + F.col("_n")))
+        .select(*keys, "low", "high", (F.col("place") - F.col("_before")).alias("place"))
+    )
+
+
+def upper_median(signal: DataFrame, keys, value: str, bins: int = 1024) -> DataFrame:
     """Value at place n // 2 of the sorted signal of each key.
 
-    Equal values are counted first; the distinct ones are then range-sorted, so
-    a long signal is spread over partitions rather than sorted in one task.
+    Twice the values are counted per bin, and only the bin that holds the place goes on;
+    the distinct values of the last bin, about a millionth of them, are ordered. Nothing
+    is written, and a long signal is never sorted.
     """
     keys = list(keys)
-    counts = signal.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
-    placed = sorted_position(counts, keys, [value], "_place")
-    starts = running_start(placed, keys, "_place", "_c", "_from")
-    totals = placed.groupBy(*keys).agg(F.sum("_c").alias("_n"))
-    middle = F.floor(F.col("_n") / 2)
+    rows = signal.filter(F.col(value).isNotNull()).select(*keys, value)
+    ranges = rows.groupBy(*keys).agg(
+        F.min(value).alias("low"), F.max(value).alias("high"), F.floor(F.count(F.lit(1)) / 2).alias("place"))
+    for _ in range(2):
+        ranges = _bin_of_place(rows, ranges, keys, value, bins)
+    last = rows.join(ranges, keys).filter(F.col(value).between(F.col("low"), F.col("high"))).groupBy(*keys, value).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("place").alias("place"))
+    earlier = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
     return (
-        starts.join(totals, keys)
-        .filter((F.col("_from") <= middle) & (middle < F.col("_from") + F.col("_c")))
+        last.withColumn("_before", before)
+        .filter((F.col("_before") <= F.col("place")) & (F.col("place") < F.col("_before") + F.col("_n")))
         .select(*keys, F.col(value).alias("median"))
     )

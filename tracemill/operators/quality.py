@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -125,7 +127,7 @@ def missing_fields(rows: DataFrame, required) -> DataFrame:
     return counts.select("dataset", F.explode(entries).alias("e")).select("dataset", "e.*")
 
 
-def time_steps(frames: DataFrame, keys, position: str, seconds: str, fps: float) -> DataFrame:
+def time_steps(frames: DataFrame, keys, position: str, seconds: str, fps: Column | float) -> DataFrame:
     """Per episode: time stamps that do not rise, and jumps above 1.5 frames."""
     step = F.col(seconds) - F.col("_previous")
     return (
@@ -134,7 +136,7 @@ def time_steps(frames: DataFrame, keys, position: str, seconds: str, fps: float)
         .agg(
             F.count(F.lit(1)).alias("frames"),
             F.count_if(step <= 0).alias("not_rising"),
-            F.count_if(step > 1.5 / fps).alias("jumps"),
+            F.count_if(step > F.lit(1.5) / fps).alias("jumps"),
         )
     )
 
@@ -186,10 +188,49 @@ def doctor_verdict(checks: DataFrame) -> DataFrame:
     )
 
 
+def _rule(rows: DataFrame, name: str, otherwise: str) -> DataFrame:
+    """(dataset, rule, status, bad, n) from rows with ``bad`` and ``n``."""
+    status = F.when(F.col("bad") == 0, "pass").otherwise(otherwise)
+    return rows.select("dataset", F.lit(name).alias("rule"), status.alias("status"),
+                       F.col("bad").cast("bigint").alias("bad"), F.col("n").cast("bigint").alias("n"))
+
+
+def sensor_checks(
+    manifest: DataFrame, *, files: DataFrame | None = None, stamps: DataFrame | None = None,
+    vectors: DataFrame | None = None, cameras: DataFrame | None = None, exempt=(),
+) -> DataFrame:
+    """The rules on files and sensor data, for the tables that are given.
+
+    ``files`` is (dataset, path); ``stamps`` (dataset, recording_id, frame_index, seconds, fps);
+    ``vectors`` (dataset, vector); ``cameras`` (dataset, camera, height, width).
+    """
+    found = []
+    if files is not None:
+        absent = missing_files(manifest.select("dataset"), files).groupBy("dataset").agg(F.count(F.lit(1)).alias("bad"))
+        found.append(_rule(manifest.select("dataset").join(absent, "dataset", "left").fillna(0, ["bad"]).withColumn(
+            "n", F.lit(len(REQUIRED_FILES))), "required_files", "fail"))
+    if stamps is not None:
+        steps = time_steps(stamps, ["dataset", "recording_id"], "frame_index", "seconds", F.col("fps"))
+        found.append(_rule(steps.groupBy("dataset").agg(
+            F.count_if((F.col("not_rising") > 0) | (F.col("jumps") > 0)).alias("bad"), F.count(F.lit(1)).alias("n")),
+            "time_steps", "warn"))
+    if vectors is not None:
+        found.append(_rule(frozen_dimensions(vectors, ["dataset"], "vector", exempt).groupBy("dataset").agg(
+            F.count_if(F.col("frozen")).alias("bad"), F.count(F.lit(1)).alias("n")), "frozen_action", "warn"))
+    if cameras is not None:
+        sizes = camera_resolution(cameras).select("dataset", "unexpected", "ok")
+        counts = cameras.groupBy("dataset").agg(F.count(F.lit(1)).alias("n")).join(sizes, "dataset")
+        found.append(_rule(counts.withColumn(
+            "bad", F.when(F.col("ok"), 0).otherwise(F.greatest("unexpected", F.lit(1)))), "camera_resolution", "fail"))
+    if not found:
+        raise ValueError("no table to check")
+    return reduce(DataFrame.unionByName, found)
+
+
 def doctor_checks(
-    manifest: DataFrame, episodes: DataFrame, frames: DataFrame, tasks: DataFrame
+    manifest: DataFrame, episodes: DataFrame, frames: DataFrame, tasks: DataFrame, sensors: DataFrame | None = None,
 ) -> DataFrame:
-    """The rules that need no sensor data, as (dataset, rule, status, bad, n)."""
+    """All rules as (dataset, rule, status, bad, n); ``sensors`` are the rows of :func:`sensor_checks`."""
     counts = episode_lengths(episodes, frames).groupBy("dataset").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(~F.col("matches")).alias("bad")
     )
@@ -208,4 +249,5 @@ def doctor_checks(
         F.when(F.col("chinese_tasks") == 0, "pass").otherwise("warn").alias("status"),
         F.lit(None).cast("bigint").alias("bad"), F.lit(None).cast("bigint").alias("n"),
     )
-    return lengths.unionByName(files).unionByName(text)
+    own = lengths.unionByName(files).unionByName(text)
+    return own if sensors is None else own.unionByName(sensors)

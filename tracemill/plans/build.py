@@ -18,7 +18,7 @@ class GateError(ValueError):
 def build_dataset(
     recordings: DataFrame, episodes: DataFrame, frames: DataFrame, tasks: DataFrame,
     evaluation: DataFrame, info: DataFrame, *, n: int, ratio: float, seed: int = 42, quotas: DataFrame | None = None,
-    by: str = "task", **filters,
+    by: str = "task", sensors: DataFrame | None = None, **filters,
 ) -> dict[str, DataFrame]:
     """Filter, sample by recipe, remove evaluation data, split, check.
 
@@ -35,7 +35,8 @@ def build_dataset(
     numbered = split.split_episodes(split.split_by_hash(mine, ratio, seed))
     rows = frames.join(numbered.select(*EPISODE), list(EPISODE), "left_semi")
     names = mine.select("dataset").distinct()
-    checks = quality.doctor_checks(names, mine, rows, tasks)
+    checks = quality.doctor_checks(
+        names, mine, rows, tasks, None if sensors is None else sensors.join(names, "dataset", "left_semi"))
     return {
         "episodes": numbered,
         "info": split.split_metadata(numbered, info),

@@ -137,12 +137,30 @@ CHECKS = """SELECT d.dataset, 'frame_integrity' AS rule, CASE WHEN coalesce(b, 0
   LEFT JOIN (SELECT dataset, count(*) AS n, count(*) FILTER (NOT matches) AS b FROM fx_length_check GROUP BY dataset) c ON c.dataset = d.dataset
   UNION ALL SELECT e.dataset, 'file_count', CASE WHEN count(*) = count(l.recording_id) THEN 'pass' ELSE 'fail' END, count(*) - count(l.recording_id), count(*) FROM fx_episodes e
   LEFT JOIN fx_length_check l ON l.recording_id = e.recording_id GROUP BY e.dataset
-  UNION ALL SELECT dataset, 'english_tasks', CASE WHEN count(*) FILTER (regexp_matches(task, '[一-鿿]')) = 0 THEN 'pass' ELSE 'warn' END, NULL, NULL FROM fx_tasks GROUP BY dataset"""
+  UNION ALL SELECT dataset, 'english_tasks', CASE WHEN count(*) FILTER (regexp_matches(task, '[一-鿿]')) = 0 THEN 'pass' ELSE 'warn' END, NULL, NULL FROM fx_tasks GROUP BY dataset
+  UNION ALL SELECT dataset, 'required_files', CASE WHEN ds % 8 = 7 THEN 'fail' ELSE 'pass' END, CASE WHEN ds % 8 = 7 THEN 1 ELSE 0 END, 5 FROM fx_datasets
+  UNION ALL SELECT dataset, 'time_steps', CASE WHEN sum(j) = 0 THEN 'pass' ELSE 'warn' END, CAST(sum(j) AS BIGINT), count(*) FROM
+    (SELECT f.dataset, f.recording_id, CASE WHEN any_value(d.ds) % 8 = 5 AND count(*) > 3 THEN 1 ELSE 0 END AS j FROM fx_frames f JOIN fx_datasets d ON d.dataset = f.dataset GROUP BY 1, 2) s GROUP BY dataset
+  UNION ALL SELECT f.dataset, 'frozen_action', CASE WHEN any_value(d.ds) % 8 = 3 THEN 'warn' ELSE 'pass' END, CASE WHEN any_value(d.ds) % 8 = 3 THEN 1 ELSE 0 END, 2
+    FROM fx_frames f JOIN fx_datasets d ON d.dataset = f.dataset GROUP BY f.dataset
+  UNION ALL SELECT d.dataset, 'camera_resolution', CASE WHEN d.ds % 8 = 1 THEN 'fail' ELSE 'pass' END, CASE WHEN d.ds % 8 = 1 THEN 1 ELSE 0 END, c.cameras FROM fx_datasets d JOIN fx_settings c ON c.dataset = d.dataset"""
 VIEWS["fx_checks"] = CHECKS
 
 
 def checks(spark, d):
-    return quality.doctor_checks(v.manifest(spark, d), v.raw_episodes(spark, d), v.frames(spark, d), v.tasks(spark, d))
+    """Each sensor rule fails for every eighth dataset, another one for each rule."""
+    sets, settings = v.datasets(spark, d), v.settings(spark, d)
+    turn = F.col("ds") % 8
+    files = sets.select("dataset", "ds", F.explode(F.array(*[F.lit(p) for p in quality.REQUIRED_FILES])).alias("path"))
+    stamps = v.placed_frames(spark, d).join(sets, "dataset").join(settings, "dataset").withColumn(
+        "seconds", F.col("frame_index") / F.col("fps") + F.when((turn == 5) & (F.col("frame_index") >= 3), 1.0).otherwise(0.0))
+    moves = F.when(turn == 3, F.lit(0.0)).otherwise(F.col("frame_index").cast("double"))
+    vectors = stamps.select("dataset", F.array(F.col("state").cast("double"), moves).alias("vector"))
+    cameras = sets.join(settings, "dataset").select("dataset", F.explode(F.sequence(F.lit(1), F.col("cameras"))).alias("camera"), "ds").select(
+        "dataset", "camera", F.when((turn == 1) & (F.col("camera") == 1), 480).otherwise(240).alias("height"), F.lit(320).alias("width"))
+    sensors = quality.sensor_checks(
+        v.manifest(spark, d), files=files.filter((turn != 7) | (F.col("path") != "meta/tasks.jsonl")), stamps=stamps, vectors=vectors, cameras=cameras)
+    return quality.doctor_checks(v.manifest(spark, d), v.raw_episodes(spark, d), v.frames(spark, d), v.tasks(spark, d), sensors)
 
 
 @query("QC9", """SELECT *, CASE WHEN pct >= 99 THEN 'ok' WHEN pct >= 85 THEN 'warn' ELSE 'bad' END AS colour FROM (SELECT *,
