@@ -76,3 +76,20 @@ def test_smallest_is_exact(table):
     for key, n in (("hot", 10), ("cold", 25)):
         wanted = sorted(i for _, i in sorted((h, i) for k, i, h in data if k == key)[:n])
         assert sorted(r.i for r in per_key.filter(F.col("k") == key).collect()) == wanted
+
+
+def test_sparse_ids(spark):
+    """Ids spread over 2^60: every row is a block of its own."""
+    df = spark.range(5000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 7).cast("string"))).alias("k"),
+        (F.xxhash64("id") / 8).cast("bigint").alias("x"), (F.col("id") % 5).alias("v"))
+    placed = {(r.k, r.x): r.place for r in dense_position(df, ["k"], ["x"], "place").collect()}
+    started = {(r.k, r.x): (r.v, r.start) for r in running_start(df, ["k"], "x", "v", "start").collect()}
+    groups = {}
+    for k, x in placed:
+        groups.setdefault(k, []).append(x)
+    for k, xs in groups.items():
+        total = 0
+        for place, x in enumerate(sorted(xs)):
+            assert placed[k, x] == place and started[k, x][1] == total
+            total += started[k, x][0]
