@@ -181,3 +181,20 @@ def test_merging_manifests(table):
     b = table([("y", 5.0)], "dataset string, weight double")
     assert rows(writers.merge_manifests(a, b)) == [("x", 1.0), ("y", 5.0)]
     assert rows(writers.seed_manifest(b)) == [("y", 1.0)]
+
+
+def test_steps_are_deleted_with_their_block(spark):
+    import os
+
+    from tracemill.session import materialise, shared_dir, temporary_steps
+
+    def steps():
+        return {f for f in os.listdir(shared_dir(spark).removeprefix("file:")) if f.startswith("step-")}
+
+    before = steps()
+    with temporary_steps(spark):
+        assert materialise(spark.range(5)).count() == 5
+        assert len(steps() - before) == 1
+    assert steps() == before
+    materialise(spark.range(1))
+    assert len(steps() - before) == 1

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,6 +47,28 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+#: Folders of steps written inside :func:`temporary_steps`.
+_WRITTEN: ContextVar[list[str] | None] = ContextVar("written steps", default=None)
+
+
+@contextmanager
+def temporary_steps(spark: SparkSession):
+    """Delete the steps written inside the block when it ends.
+
+    Write the result inside the block: what reads a step later does not find it.
+    """
+    written: list[str] = []
+    token = _WRITTEN.set(written)
+    try:
+        yield
+    finally:
+        _WRITTEN.reset(token)
+        context = spark.sparkContext
+        for path in written:
+            folder = context._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write a step to the shared folder and go on from the written table.
 
@@ -52,5 +76,7 @@ def materialise(df: DataFrame) -> DataFrame:
     loses nothing, and Spark knows its size when it plans the joins.
     """
     path = f"{shared_dir(df.sparkSession)}/step-{uuid.uuid4().hex}"
+    if (written := _WRITTEN.get()) is not None:
+        written.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
