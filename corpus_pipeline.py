@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tracemill.llm import decontaminate, exact_dedup, jaccard_join, language_id, packing
 from tracemill.llm.common import table
-from tracemill.session import shared_dir
+from tracemill.session import shared_dir, temporary_steps
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,6 +56,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     base = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for number, (_, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.option("compression", "zstd").parquet(f"{base}/{number}")
+        with temporary_steps(spark):
+            stage(spark, docs, sf_dir).write.option("compression", "zstd").parquet(f"{base}/{number}")
         docs = spark.read.parquet(f"{base}/{number}")
     return docs
