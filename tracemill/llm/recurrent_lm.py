@@ -36,7 +36,7 @@ CLASSES = 48
 HIDDEN = 16
 #: Tokens of a window, lanes that run side by side, rounds of averaging, and the step size.
 STEPS = 16
-LANES = 256
+LANES = 512
 ROUNDS = 2
 RATE = 0.01
 #: Tokens whose counts all tasks know, 12 bytes each.
@@ -111,7 +111,11 @@ def initial(vocabulary: Vocabulary) -> dict[str, np.ndarray]:
 
 
 def _sigmoid(x):
-    return 1 / (1 + np.exp(-x))
+    """Of an array that may be overwritten."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def _cell(from_input, state, weights):
@@ -123,25 +127,34 @@ def _cell(from_input, state, weights):
     return keep, reset, new, from_state[:, 2 * HIDDEN:], new + keep * (state - new)
 
 
-def _log_softmax(x):
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+def _softmax_at(scores, column):
+    """Log probability of one column per row, and all probabilities; overwrites ``scores``."""
+    rows = np.arange(len(scores))
+    scores -= scores.max(1, keepdims=True)
+    chosen = scores[rows, column]
+    np.exp(scores, out=scores)
+    total = scores.sum(1)
+    return chosen - np.log(total), scores, total
+
+
+def _error(exponents, total, column):
+    """Gradient of the negative log probability by the scores."""
+    exponents /= total[:, None]
+    exponents[np.arange(len(exponents)), column] -= 1
+    return exponents
 
 
 def _output(states, target, weights, vocabulary, gradients=None):
     """Log probability of each target; adds to ``gradients`` and returns those of the states too."""
     which = vocabulary.word_class[target]
-    by_class = _log_softmax(states @ weights["classes"] + weights["class_bias"])
-    rows = np.arange(len(target))
-    logs = by_class[rows, which]
+    logs, exponents, total = _softmax_at(states @ weights["classes"] + weights["class_bias"], which)
     back = None
     if gradients is not None:
-        error = np.exp(by_class)
-        error[rows, which] -= 1
+        error = _error(exponents, total, which)
         gradients["classes"] += states.T @ error
         gradients["class_bias"] += error.sum(0)
         back = error @ weights["classes"].T
-    order = np.argsort(which, kind="stable")
+    order = np.argsort(which.astype(np.uint16), kind="stable")
     cuts = np.searchsorted(which[order], np.arange(len(vocabulary.class_at)))
     for c in np.flatnonzero(np.diff(cuts)).tolist():
         a, b = vocabulary.class_at[c], vocabulary.class_at[c + 1]
@@ -149,11 +162,10 @@ def _output(states, target, weights, vocabulary, gradients=None):
             continue
         own = order[cuts[c]:cuts[c + 1]]
         held, word = states[own], target[own] - a
-        in_class = _log_softmax(held @ weights["words"][a:b].T + weights["word_bias"][a:b])
-        logs[own] += in_class[np.arange(len(own)), word]
+        in_class, exponents, total = _softmax_at(held @ weights["words"][a:b].T + weights["word_bias"][a:b], word)
+        logs[own] += in_class
         if gradients is not None:
-            error = np.exp(in_class)
-            error[np.arange(len(own)), word] -= 1
+            error = _error(exponents, total, word)
             gradients["words"][a:b] += error.T @ held
             gradients["word_bias"][a:b] += error.sum(0)
             back[own] += error @ weights["words"][a:b]
