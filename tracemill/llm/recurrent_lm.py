@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from tracemill.llm.common import table
 from tracemill.llm.words import batches, word_hashes
+from tracemill.operators.positions import nth_smallest
 from tracemill.session import materialise
 
 #: Words the network knows by name, classes they fall into, and the size of its state.
@@ -349,7 +350,9 @@ def score_documents(docs: DataFrame, training, id_col: str = "doc_id", text_col:
     counts = materialise(learned_from.mapInPandas(_count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")))
     total, distinct = counts.agg(F.sum("n"), F.count("n")).first()
     total = total or 0
-    top = counts.orderBy(F.desc("n"), "token").limit(FREQUENT).toPandas()
+    # all tokens more frequent than the one at place FREQUENT; a top-k would bring one list per task to the driver
+    place, _ = nth_smallest(counts.select((-F.col("n")).alias("place")), "place", FREQUENT)
+    top = (counts if place is None else counts.filter(F.col("n") > -place)).toPandas()
     vocabulary = Vocabulary(top["token"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64), total, distinct)
     weights = train(learned_from, vocabulary)
     shared = context.broadcast((weights, vocabulary))
