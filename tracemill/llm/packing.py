@@ -33,9 +33,9 @@ from tracemill.session import materialise
 CAPACITY = 2048
 END = 0
 #: Pieces that one task packs together.
-GROUP = 16384
+GROUP = 4096
 #: Bins filled to this share are final in the rounds before the last.
-SETTLE = 0.98
+SETTLE = 0.995
 #: Victims in a row that cannot be emptied before a group's search ends.
 PATIENCE = 64
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
