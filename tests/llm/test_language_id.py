@@ -38,7 +38,7 @@ def model(spark, *more):
 
 def test_spans_and_scripts(spark):
     mixed = "the thing with the other thing with the Hund und die Katze und der Hund собака и кошка большая"
-    docs = spark.createDataFrame([(1, mixed), (2, "кошка"), (3, "..!"), (4, None)], "doc_id long, text string")
+    docs = spark.createDataFrame([(1, mixed), (2, "кошка"), (3, "..! ² ½ Ⅷ 7"), (4, None)], "doc_id long, text string")
     got = {r.doc_id: r for r in language_id.identify(docs, model(spark), switch=2.0).collect()}
     assert [s.lang for s in got[1].spans] == ["en", "de", "ru"]
     assert got[1].spans[0].low == 0 and got[1].spans[-1].high == len(mixed.split())

@@ -33,7 +33,7 @@ SWITCH = 12.0
 SCRIPT_SHARE = 0.001
 #: Characters labelled in one go.
 CHUNK = 1 << 24
-_LETTER = re.compile(r"[^\W\d_]")
+_ASCII_LETTER = re.compile("[A-Za-z]")
 SCRIPTS = 12
 
 
@@ -182,7 +182,7 @@ def _predict(model: Model, switch: float, with_spans: bool):
             out = []
             for a, b in batches([t or "" for t in texts], CHUNK):
                 part = [t or "" for t in texts[a:b]]
-                lettered = [bool(_LETTER.search(t)) for t in part]
+                lettered = [bool(_ASCII_LETTER.search(t)) or any(map(str.isalpha, t)) for t in part]
                 if not model.languages:
                     out += [("und", 0.0, [])] * (b - a)
                     continue
