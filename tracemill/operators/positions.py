@@ -28,20 +28,16 @@ def _sum_before(keys, order: str, value: str) -> Column:
 def block_offsets(df: DataFrame, keys, block: Column, value: Column) -> DataFrame:
     """(keys, _block, _offset): sum of ``value`` over all earlier blocks of the key.
 
-    ``block`` is an integer. With sparse ids a key may have as many blocks as rows, so the
-    blocks are summed in groups of 2^16 blocks, and the groups of a key in groups again: no
-    ordered window sees more than 2^16 rows of a key.
+    ``block`` is an integer. With sparse ids a key may have as many blocks as rows, so blocks
+    are summed in groups of 2^24 first: no ordered window sees more than 2^24 sums of a key.
     """
     keys = list(keys)
     sums = df.groupBy(*keys, block.cast("bigint").alias("_block")).agg(F.sum(value).alias("_sum"))
-    sums = sums.withColumn("_group", F.shiftright("_block", 16))
-    groups = sums.groupBy(*keys, "_group").agg(F.sum("_sum").alias("_sum")).withColumn("_top", F.shiftright("_group", 16))
-    tops = groups.groupBy(*keys, "_top").agg(F.sum("_sum").alias("_sum")).select(
-        *keys, "_top", _sum_before(keys, "_top", "_sum").alias("_from_top"))
-    starts = groups.select(*keys, "_group", "_top", _sum_before([*keys, "_top"], "_group", "_sum").alias("_from_group")).join(
-        tops, [*keys, "_top"]).select(*keys, "_group", (F.col("_from_top") + F.col("_from_group")).alias("_start"))
+    sums = sums.withColumn("_group", F.shiftright("_block", 24))
+    groups = sums.groupBy(*keys, "_group").agg(F.sum("_sum").alias("_sum")).select(
+        *keys, "_group", _sum_before(keys, "_group", "_sum").alias("_start"))
     inside = sums.select(*keys, "_block", "_group", _sum_before([*keys, "_group"], "_block", "_sum").alias("_inside"))
-    return inside.join(starts, [*keys, "_group"]).select(
+    return inside.join(groups, [*keys, "_group"]).select(
         *keys, "_block", (F.col("_start") + F.col("_inside")).alias("_offset"))
 
 
