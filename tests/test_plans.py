@@ -26,3 +26,10 @@ def test_profile_reads_two_columns_of_the_frames(spark):
 
 def test_hash_split_does_not_move_frames(spark):
     assert "lineitem" not in plan(spark, "DOM2")
+
+
+def test_frames_are_read_no_more_than_their_derivation_needs(spark):
+    """Once for the numbering and once for the lengths of the episodes, and once for relabelling."""
+    for name, table, most in (("W2", "l_linenumber", 3), ("DOM4", "l_linenumber", 3), ("J5", "user_id", 5)):
+        scans = [x for x in plan(spark, name).split("\n") if "FileScan parquet" in x and table in x.split("Batched")[0]]
+        assert len(scans) <= most, (name, len(scans))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tracemill.functions import recordings as rec
@@ -147,11 +147,9 @@ def frames(spark, d) -> DataFrame:
 
 
 def placed_frames(spark, d) -> DataFrame:
-    """Frames with their position in the episode."""
-    block = F.col("l_linenumber") * F.lit(1 << 32) + F.floor(F.col("l_partkey") / 4096)
-    rows = dense_position(
-        _lines(spark, d), ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"], "frame_index", block=block
-    )
+    """Frames with their position in the episode; an order has a handful of lines."""
+    inside = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    rows = _lines(spark, d).withColumn("frame_index", (F.row_number().over(inside) - 1).cast("bigint"))
     return _frame_columns(rows, "frame_index")
 
 
