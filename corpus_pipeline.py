@@ -16,7 +16,7 @@ from tracemill.session import shared_dir, temporary_steps
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents most of whose letters are in one known language."""
+    """Documents with letters, a good part of them in one known language."""
     return language_id.keep_known(docs)
 
 

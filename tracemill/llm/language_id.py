@@ -220,9 +220,12 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
         _predict(model, switch, with_spans), f"doc_id {dict(docs.dtypes)[id_col]}, lang_pred string, score double" + spans)
 
 
-def keep_known(docs: DataFrame, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text",
+def keep_known(docs: DataFrame, least: float = 0.25, id_col: str = "doc_id", text_col: str = "text",
                lang_col: str = "lang") -> DataFrame:
-    """``docs`` without those of no language, or with less than ``least`` of their letters in one."""
+    """``docs`` without those of no language, or with less than ``least`` of their letters in one.
+
+    Texts of two or three languages stay; a text scattered over more has no language to be used in.
+    """
     model = fit(docs.filter(fold(id_col) != 0), text_col, lang_col)
     label = _predict(model, SWITCH, False)
     place = docs.columns.index(text_col)
