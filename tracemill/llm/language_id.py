@@ -32,7 +32,7 @@ SWITCH = 12.0
 #: Share of a language's words from which a script counts as its own.
 SCRIPT_SHARE = 0.001
 #: Characters labelled in one go.
-CHUNK = 1 << 24
+CHUNK = 1 << 23
 _ASCII_LETTER = re.compile("[A-Za-z]")
 SCRIPTS = 12
 

@@ -69,7 +69,7 @@ class ByteBpe:
     other text goes through the tokenizer itself.
     """
 
-    def __init__(self, path: str, remember: int = 800_000):
+    def __init__(self, path: str, remember: int = 250_000):
         import tiktoken
         from tokenizers import Tokenizer
 

@@ -13,7 +13,7 @@ _IN_WORD = np.zeros(256, bool)
 _IN_WORD[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 _POWERS = np.cumprod(np.full(4096, 0x9E3779B97F4A7C15, np.uint64))
 #: Bytes hashed in one go; a longer text is cut between words.
-SLICE = 1 << 20
+SLICE = 1 << 18
 
 
 def mix(h: np.ndarray) -> np.ndarray:
