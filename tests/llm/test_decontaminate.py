@@ -37,6 +37,57 @@ def test_finds_what_brute_force_finds(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({d for d, _ in docs} - {d for d, _ in wanted})
 
 
+def test_finds_questions_alone_and_halves(spark):
+    """What has half of the question's n-grams is a leak, whatever it scores; checked against brute force."""
+    rng = random.Random(8)
+    common, rare = [f"c{i}" for i in range(12)], [f"r{i}" for i in range(4000)]
+    some = lambda n, p: [rng.choice(common if rng.random() < p else rare) for _ in range(n)]
+    items = [(i, " ".join(some(rng.randint(10, 90), 0.8)) + ". " + " ".join(some(rng.randint(3, 60), 0.1)) + ".") for i in range(30)]
+    items.append((30, " ".join(some(200, 0.5)) + "."))
+    short = "why so? " + " ".join(some(20, 0.1)) + "."  # two words alone are no leak
+    texts = ["", "why", "why so", "so why so many", " ".join(short.split()[:15])]
+    for _, item in items:
+        question = question_and_answer(item)[0].split()
+        whole = item.split()
+        half = len(question) // 2 + 4
+        parts = [question, whole[:len(whole) // 2], question[:half], question[-half:]]
+        parts.append(question[:half // 2] + some(400, 0.5) + question[half // 2:half + 4])  # in two places
+        texts += [" ".join(some(rng.randint(0, 150), 0.5) + p + some(rng.randint(0, 150), 0.5)) for p in parts]
+    docs = list(enumerate(texts))
+
+    def grams(words, n):
+        return {tuple(words[k:k + n]) for k in range(len(words) - n + 1)}
+
+    bare = lambda t: t.replace(".", " ").replace("?", " ").split()
+    wanted = {}
+    for d, text in docs:
+        for i, item in items:
+            question = bare(question_and_answer(item)[0])
+            own = grams(question, min(5, len(question)))
+            share = len(own & grams(bare(text), min(5, len(question)))) / len(own)
+            if share >= 0.5:
+                wanted[d, i] = share
+    wanted[4, 31] = 1.0
+    items.append((31, short))
+    got = leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"),
+                shard=8).collect()
+    found = {(r.doc_id, r.item_id): r for r in got}
+    assert found.keys() == wanted.keys() and len(got) == len(found)
+    assert all(abs(found[p].question_overlap - share) < 1e-9 for p, share in wanted.items())
+    assert min(r.score for r in got) < 0.5 and all(0 < r.score <= 1 + 1e-9 for r in got)
+
+
+def test_best_passage_is_what_the_search_finds(spark):
+    items, docs = corpus(4)
+    frame = pd.DataFrame(items, columns=["item_id", "text"]).assign(key=lambda f: f["item_id"].astype(str))
+    postings = index_postings(spark.createDataFrame(frame)).toPandas()
+    low, high = Index(postings, frame, 0.05, 0.0), Index(postings, frame, 2.0, 0.0)
+    ids, texts = [d for d, _ in docs], [t for _, t in docs]
+    searched, direct = (sorted(decontaminate.find_leaks(index, ids, texts)) for index in (low, high))
+    assert [r[:3] for r in searched] == [r[:3] for r in direct] and searched
+    assert all(abs(a[3] - b[3]) < 1e-9 for a, b in zip(searched, direct))
+
+
 @pytest.mark.parametrize("block", [1, 2, 16])
 def test_search_returns_all_above_the_threshold(spark, monkeypatch, block):
     monkeypatch.setattr(decontaminate, "POSTING_BLOCK", block)

@@ -10,8 +10,13 @@ Postings are cut into blocks of units with the largest weight of each. The words
 that together weigh no more than ``SLACK`` cannot bring it to the threshold; the block maxima
 of the other words, summed for all passages of a batch at once, bound every score from above.
 A passage that the bound lets through is searched by block-max WAND, which returns all units
-at or above the threshold. An item found this way is a leak if the document also has enough
-of the word n-grams of its question; the n-grams of its answer are reported beside it.
+at or above the threshold. Beside this, the n-grams of the questions are indexed, and every item
+of whose question a document has enough n-grams is found by them, whatever its score: a question
+without its answer, or part of an item, may stay below any threshold. An item found either way is
+a leak if the document has enough of the word n-grams of its question, so all such items are
+reported; the n-grams of its answer and the best score of a passage are reported beside it. A
+question of fewer than ``NGRAM`` words says nothing alone: here the n-grams of the whole item count
+for finding it.
 
 Defined cases: a null text, a text without words and an item without words match nothing; an
 item of one sentence is all question and has no answer (overlap null); items with equal id
@@ -38,7 +43,7 @@ from tracemill.session import materialise
 UNIT = 64
 NGRAM = 5
 K1, B = 1.2, 0.75
-#: Share of a unit's own score that a passage must reach.
+#: Share of a unit's own score from which the search returns it; what is a leak does not depend on it.
 THRESHOLD = 0.6
 #: Share of a unit's own score that its lightest words are left out for in the bound.
 SLACK = 0.25
@@ -95,6 +100,7 @@ class Index:
         self.unit_key, self.n_units = names["key"].tolist(), len(names)
         self.items = {k: (i, *question_and_answer(t or "")) for k, i, t in zip(items["key"], items["item_id"], items["text"])}
         essential = self._essential(unit, weight)
+        self._index_grams()
         order = np.lexsort((unit, term))
         self.unit, self.weight, term, essential = unit[order], weight[order], term[order], essential[order]
         self.terms, first = np.unique(term, return_index=True)
@@ -108,6 +114,68 @@ class Index:
         self.bound = np.maximum.reduceat(self.weight[essential], start) if len(start) else np.zeros(0)
         self.bound_block = cell % self.n_blocks
         self.bound_at = np.searchsorted(cell // self.n_blocks, np.arange(len(self.terms) + 1))
+        # postings by unit, and the units of each item
+        self.by_unit = np.argsort(self.unit, kind="stable")
+        self.unit_at = np.searchsorted(self.unit[self.by_unit], np.arange(self.n_units + 1))
+        self.units_of: dict[str, list[int]] = {}
+        for u, k in enumerate(self.unit_key):
+            self.units_of.setdefault(k, []).append(u)
+
+    def _index_grams(self) -> None:
+        """The distinct n-grams of all questions, or whole items where these are short, with the numbers of
+        their items, by the n of :func:`overlap`."""
+        self.item_keys, self.n_grams, by_n = list(self.items), np.zeros(len(self.items), np.int64), {}
+        for number, key in enumerate(self.item_keys):
+            own, _ = word_hashes([self.items[key][1]])
+            if len(own) < NGRAM:
+                own, _ = word_hashes([" ".join(self.items[key][1:])])
+            if len(own):
+                n = min(NGRAM, len(own))
+                grams = np.unique(shingle_hashes(own, n))
+                self.n_grams[number] = len(grams)
+                by_n.setdefault(n, []).append((grams, np.full(len(grams), number)))
+        self.grams = {}
+        for n, parts in by_n.items():
+            gram, item = (np.concatenate(c) for c in zip(*parts))
+            order = np.argsort(gram, kind="stable")
+            known, first = np.unique(gram[order], return_index=True)
+            maybe = np.zeros(1 << 20, bool)
+            maybe[known & np.uint64(0xFFFFF)] = True
+            self.grams[n] = known, np.append(first, len(gram)), item[order], maybe
+
+    def asked(self, words: np.ndarray, at: np.ndarray, least: float) -> list[tuple[int, str]]:
+        """All texts and items where the text has at least ``least`` of the n-grams indexed for the item."""
+        out = []
+        for n, (known, first, item, maybe) in self.grams.items():
+            grams = shingle_hashes(words, n)
+            place = np.flatnonzero(maybe[grams & np.uint64(0xFFFFF)])
+            found = np.minimum(np.searchsorted(known, grams[place]), len(known) - 1)
+            text = np.searchsorted(at, place, side="right") - 1
+            same = (known[found] == grams[place]) & (place + n <= at[np.minimum(text + 1, len(at) - 1)])
+            once = np.unique(text[same] * len(known) + found[same])  # an n-gram counts once in a text
+            text, found = once // len(known), once % len(known)
+            sizes = first[found + 1] - first[found]
+            entry = np.repeat(first[found] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())
+            pair, count = np.unique(np.repeat(text, sizes) * len(self.items) + item[entry], return_counts=True)
+            for p in pair[count >= least * self.n_grams[pair % len(self.items)] - 1e-9].tolist():
+                out.append((p // len(self.items), self.item_keys[p % len(self.items)]))
+        return out
+
+    def best_passage(self, key: str, term: np.ndarray) -> tuple[float, int]:
+        """Largest score of a unit of the item in a passage of a text of these terms, and where the passage begins."""
+        best = (0.0, 0)
+        block = np.arange(len(term)) // UNIT
+        for unit in self.units_of.get(key, []):
+            entries = self.by_unit[self.unit_at[unit]:self.unit_at[unit + 1]]
+            own = np.searchsorted(self.at, entries, side="right") - 1  # ascends, as postings are in the order of terms
+            slot = np.minimum(np.searchsorted(own, term), len(own) - 1)
+            has = np.zeros((-(-len(term) // UNIT) + 1, len(own)), bool)
+            hit = own[slot] == term
+            has[block[hit], slot[hit]] = True
+            scores = (has[:-1] | has[1:]) @ self.weight[entries]
+            if len(scores) and scores.max() > best[0]:
+                best = (float(scores.max()), int(scores.argmax()) * UNIT)
+        return best
 
     def _essential(self, unit: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """Postings left when each unit's lightest words of together at most ``slack`` are set aside."""
@@ -219,6 +287,9 @@ def find_leaks(index: Index, ids: list, texts: list[str], least: float = OVERLAP
             key = (doc, index.unit_key[unit])
             if score > best.get(key, (0.0, 0))[0]:
                 best[key] = (score, int(low - at[doc]))
+    for doc, key in index.asked(words, at, least):
+        if (doc, key) not in best:
+            best[doc, key] = index.best_passage(key, term[at[doc]:at[doc + 1]])
     out = []
     for (doc, key), (score, start) in best.items():
         item, question, answer = index.items[key]
