@@ -6,6 +6,7 @@ import pytest
 
 from tests.llm.conftest import ROWS
 from tracemill.llm import suffix_array as sa
+from tracemill.llm.anchors import Runs, leftmost_min
 from tracemill.llm.substring_dedup import dedup, smallest_ids
 
 
@@ -71,6 +72,42 @@ def test_equals_brute_force(spark, spread):
             assert all(a.high < b.low for a, b in zip(got[i].spans, got[i].spans[1:]))
 
 
+def test_leftmost_min_does_not_depend_on_the_place():
+    rng = np.random.default_rng(9)
+    values = rng.integers(0, 3, 13000).astype(np.uint64) << np.uint64(12)
+    values[4000:4300] = values[8100:8300] = 0
+    for width in (2, 12, 35):
+        assert leftmost_min(values, width).tolist() == [i + int(values[i:i + width].argmin()) for i in range(len(values) - width + 1)]
+
+
+def test_equal_windows_have_equal_keys_wherever_they_stand():
+    """Repeated bytes around the places where the low bits of a place start anew."""
+    region = b"abc" + b"=" * 60 + bytes(range(97, 122)) + b"* * * * * * * * * * * * * * * * * * * * * * * * * * * * * *"
+    keys = []
+    for before in (0, 4000, *range(4010, 4100, 7), 8150):
+        data = np.frombuffer(b"\xff" * before + region, np.uint8)
+        runs = Runs(data, np.array([before, before + len(region)]), 50)
+        mine = runs.owner == 1
+        keys.append([(int(a - before), int(f - before), int(last - before)) for a, f, last in
+                     zip(runs.at[mine], runs.first[mine], runs.last[mine])])
+    assert all(k == keys[0] for k in keys)
+
+
+def test_repeated_bytes_equal_brute_force(spark):
+    rng = random.Random(10)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    runs = ["=" * 60, "* " * 40, "0" * 90, "-+-" * 25, " " * 60]
+    rows = []
+    for k in range(60):  # each region once near the start of a text, once around a multiple of 4096 of it
+        region = letters(3) + runs[k % 5] + letters(30)
+        rows += [(k, letters(rng.randrange(40)) + region + letters(20)),
+                 (100 + k, letters(4096 * rng.randint(1, 2) - rng.randrange(len(region))) + region + letters(20))]
+    wanted, texts = by_hand(rows)
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(60, "doc_id")
+    got = {r.doc_id: bytes(r.kept) for r in dedup(table, shard=20000).collect()}
+    assert {i: got.get(i, text) for i, text in texts.items()} == wanted
+
+
 def test_edge_rows(edge, empty):
     wanted, _ = by_hand([(i, t) for i, t, _ in ROWS])
     got = {r.doc_id: hashlib.sha256(r.kept).digest() for r in dedup(edge).collect()}

@@ -1,8 +1,8 @@
 """Content-chosen anchors of byte strings.
 
 Every window of ``width`` bytes chooses one of the ``GRAM``-byte strings inside it, the
-one with the smallest hash. Equal windows choose equal anchors wherever they stand, so
-windows that are alike always meet under the hash of their anchor.
+one with the smallest hash, and the first of equal ones. Equal windows choose equal anchors at
+equal places inside them wherever they stand, so windows that are alike always meet under the hash of their anchor.
 """
 
 from __future__ import annotations
@@ -35,6 +35,22 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[:-rest], out[rest:]) if rest else out
 
 
+def leftmost_min(values: np.ndarray, width: int) -> np.ndarray:
+    """Place of the smallest value of every ``width`` in a row, but for its 12 lowest bits; of equal ones the first.
+
+    Equal runs of values choose alike wherever they stand: runs in which the 12 lowest bits of the
+    place start anew are compared by themselves.
+    """
+    place = np.arange(len(values), dtype=np.uint64)
+    least = sliding_min((values & ~_LOW) | (place & _LOW), width)
+    start = place[: len(least)]
+    chosen = (start + ((least - start) & _LOW)).astype(np.int64)
+    across = np.flatnonzero((start & _LOW) + np.uint64(width) > _LOW + np.uint64(1))
+    for some in np.array_split(across, len(across) * width // (1 << 20) + 1):
+        chosen[some] = some + (values[some[:, None] + np.arange(width)] & ~_LOW).argmin(axis=1)
+    return chosen
+
+
 def range_hash(hashes: np.ndarray, start: np.ndarray, end: np.ndarray, longest: int) -> np.ndarray:
     """Hash of the bytes from ``start`` to ``end``, from the gram hashes that cover them, and of their number."""
     out = (end - start).astype(np.uint64)
@@ -83,12 +99,10 @@ def _runs_of(hashes: np.ndarray, size: int, ends: np.ndarray, width: int):
     none = np.zeros(0, np.int64)
     if size < width:
         return none, none, none, none
-    place = np.arange(len(hashes), dtype=np.uint64)
-    least = sliding_min((hashes & ~_LOW) | (place & _LOW), width - GRAM + 1)
-    start = place[: len(least)]
-    chosen = (start + ((least - start) & _LOW)).astype(np.int64)
-    owner = np.searchsorted(ends, start.astype(np.int64), side="right")
-    whole = np.flatnonzero(start.astype(np.int64) + width <= ends[np.minimum(owner, len(ends) - 1)])
+    chosen = leftmost_min(hashes, width - GRAM + 1)
+    start = np.arange(len(chosen))
+    owner = np.searchsorted(ends, start, side="right")
+    whole = np.flatnonzero(start + width <= ends[np.minimum(owner, len(ends) - 1)])
     if not len(whole):
         return none, none, none, none
     chosen, owner = chosen[whole], owner[whole]
