@@ -140,3 +140,19 @@ def test_relabel_reads_the_frames_once(spark, table):
     words = table([("a", 1, "x")], "dataset string, task_index bigint, task string")
     plan = relabel.relabel_by_annotation(frames, notes, words, info)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("only here") == 1
+
+
+def test_far_ends_make_no_more_rows_than_the_episode_has_blocks(table, monkeypatch):
+    monkeypatch.setattr(relabel, "SPREAD", 4)
+    actions = table([("d", 1, p, 1.0, 1e12, f"w{p}") for p in range(50)] + [("d", 1, 50, 0.5, 1.0, "late"), ("d", 2, 0, -3.0, 1e300, "x"),
+                     ("d", 3, 0, 0.0, 1.0, "no frames"), ("d", 1, 51, 9.0, 2.0, "ends before it starts")],
+                    "dataset string, recording_id bigint, pos int, start_time double, end_time double, task string")
+    info, lengths = table([("d", 10, 1, 1)], INFO), table([("d", 1, 22), ("d", 2, 3)], "dataset string, recording_id bigint, n_frames bigint")
+    blocks = relabel.block_intervals(relabel.with_rate(actions, info), relabel.EPISODE, "task", lengths)
+    got = {(r.recording_id, r._block): [(s["first"], s["last"], s["value"]) for s in r._spans] for r in blocks.collect()}
+    assert got == {(1, 1): [(5, 7, "late")], (1, 2): [(8, 10, "late"), (11, 11, "w49")], (1, 3): [(12, 15, "w49")],
+                   (1, 4): [(16, 19, "w49")], (1, 5): [(20, 21, "w49")], (2, 0): [(0, 2, "x")]}
+    frames = table([("d", 1, f, 0) for f in range(22)], FRAMES)
+    labelled = relabel.frame_actions(frames, actions, info, lengths=lengths)
+    assert {r.frame_index: r.task for r in labelled.collect()} == {
+        f: None if f < 5 else "late" if f < 11 else "w49" for f in range(22)}

@@ -33,13 +33,14 @@ def episode_starts(frames: DataFrame, episodes: DataFrame, keys=("dataset",)) ->
     return running_start(materialise(placed), keys, "episode_index", "n_frames", "first_index")
 
 
-def fix_indices(frames: DataFrame, episodes: DataFrame, keys=("dataset",)) -> DataFrame:
+def fix_indices(frames: DataFrame, episodes: DataFrame, keys=("dataset",), starts: DataFrame | None = None) -> DataFrame:
     """Set ``episode_index`` and the running frame number ``index``.
 
     The running sum is taken over episodes, one row each; a frame adds its
     position in the episode, so frames are joined once and never sorted.
+    ``starts`` is what :func:`episode_starts` gave, where a caller needs it too.
     """
-    starts = episode_starts(frames, episodes, keys)
+    starts = episode_starts(frames, episodes, keys) if starts is None else starts
     kept = frames.drop("episode_index", "index", *[k for k in keys if k not in EPISODE])
     return (
         kept.join(starts.drop("n_frames"), list(EPISODE))

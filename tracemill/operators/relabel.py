@@ -92,60 +92,108 @@ def with_rate(actions: DataFrame, info: DataFrame) -> DataFrame:
     )
 
 
-def block_actions(spans: DataFrame, keys, value: str) -> DataFrame:
-    """Per episode and block of ``SPREAD`` frames the actions that touch it, in their order.
+def frame_counts(frames: DataFrame, keys=EPISODE) -> DataFrame:
+    """(keys, n_frames): how many frames each episode reaches, counted on the frames."""
+    return frames.groupBy(*keys).agg((F.max("frame_index") + 1).alias("n_frames"))
+
+
+def _paint(done, action):
+    """Lay one action over the disjoint intervals before it; what it covers of them goes."""
+    def interval(first, last, source):
+        return F.struct(first.alias("first"), last.alias("last"), source["value"].alias("value"))
+
+    left = F.transform(F.filter(done, lambda s: s["first"] < action["first"]),
+                       lambda s: interval(s["first"], F.least(s["last"], action["first"] - 1), s))
+    right = F.transform(F.filter(done, lambda s: s["last"] > action["last"]),
+                        lambda s: interval(F.greatest(s["first"], action["last"] + 1), s["last"], s))
+    return F.concat(left, F.array(interval(action["first"], action["last"], action)), right)
 
-    An action has one row per block, not per frame, and a block has the few actions
-    annotated for it. An action that ends far beyond any episode is cut at 2^31 frames.
-    """
-    last = F.least("last", F.lit(2**31 - 1))
-    blocks = spans.filter(F.col("first") <= last).withColumn(
-        "_block", F.explode(F.sequence(F.floor(F.col("first") / SPREAD), F.floor(last / SPREAD)))
-    )
-    return blocks.groupBy(*keys, "_block").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "first", "last", value))).alias("_actions")
-    )
 
+def block_intervals(spans: DataFrame, keys, value: str, lengths: DataFrame) -> DataFrame:
+    """Disjoint intervals ``_spans`` of each episode and block of ``SPREAD`` frames, sorted; the last action wins.
 
-def _last_covering(value: str):
-    """The value of the last action of the block that covers the frame."""
-    at = F.col("frame_index")
-    covering = F.filter("_actions", lambda a: (a["first"] <= at) & (at <= a["last"]))
-    return F.try_element_at(covering, F.lit(-1))[value]
+    ``lengths`` has ``n_frames`` of each episode: an action makes a row per block it touches, never
+    more than its episode has blocks, however far away it ends. Of actions that cover the same part
+    of a block only the last is kept before any list is made, so a block's list is bounded by its frames.
+    """
+    kind = spans.schema[value].dataType.simpleString()
+    ends = lengths.select(*keys, (F.col("n_frames") - 1).alias("_end"))
+    inside = spans.join(ends, list(keys)).withColumn("last", F.least("last", "_end")).filter(F.col("first") <= F.col("last"))
+    cut = inside.withColumn(
+        "_block", F.explode(F.sequence(F.floor(F.col("first") / SPREAD), F.floor(F.col("last") / SPREAD)))
+    ).select(
+        *keys, "_block", "pos", F.col(value).alias("value"),
+        F.greatest("first", F.col("_block") * SPREAD).alias("first"),
+        F.least("last", F.col("_block") * SPREAD + (SPREAD - 1)).alias("last"),
+    )
+    parts = cut.groupBy(*keys, "_block", "first", "last").agg(
+        F.max_by("value", "pos").alias("value"), F.max("pos").alias("pos"))
+    listed = parts.groupBy(*keys, "_block").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "first", "last", "value"))).alias("_actions"))
+    none = F.array().cast(f"array<struct<first: bigint, last: bigint, value: {kind}>>")
+    return listed.select(*keys, "_block", F.aggregate("_actions", none, _paint).alias("_spans"))
+
+
+def _at_frame():
+    """The value of the interval that holds the frame, found by binary search; null if none does."""
+    at, spans = F.col("frame_index"), F.coalesce(F.size("_spans"), F.lit(0))
+    steps = F.when(spans > 0, F.sequence(F.lit(1), F.ceil(F.log2(spans + 1)).cast("int"))).otherwise(
+        F.array().cast("array<int>"))
+
+    def halve(state, _):
+        middle = F.floor((state["low"] + state["high"]) / 2).cast("int")
+        right = F.get("_spans", middle)["first"] <= at
+        open_ = state["low"] < state["high"]
+        return F.struct(
+            F.when(open_ & right, middle + 1).otherwise(state["low"]).alias("low"),
+            F.when(open_ & ~right, middle).otherwise(state["high"]).alias("high"),
+        )
+
+    start = F.struct(F.lit(0).alias("low"), F.greatest(spans, F.lit(0)).alias("high"))
+    found = F.get("_spans", F.aggregate(steps, start, halve)["low"] - 1)
+    return F.when(at <= found["last"], found["value"])
 
 
 def _with_block(frames: DataFrame) -> DataFrame:
     return frames.withColumn("_block", F.floor(F.col("frame_index") / SPREAD))
 
 
-def frame_actions(frames: DataFrame, actions: DataFrame, info: DataFrame, keys=EPISODE) -> DataFrame:
-    """Frames with the name of the last action covering them, null where none does."""
-    blocks = block_actions(with_rate(actions, info), keys, "task")
+def frame_actions(
+    frames: DataFrame, actions: DataFrame, info: DataFrame, keys=EPISODE, lengths: DataFrame | None = None
+) -> DataFrame:
+    """Frames with the name of the last action covering them, null where none does.
+
+    ``lengths`` (keys, n_frames) is counted on the frames unless it is given.
+    """
+    lengths = frame_counts(frames, keys) if lengths is None else lengths
+    blocks = block_intervals(with_rate(actions, info), keys, "task", lengths)
     return (
         _with_block(frames).join(blocks, [*keys, "_block"], "left")
-        .withColumn("task", _last_covering("task")).drop("_block", "_actions")
+        .withColumn("task", _at_frame()).drop("_block", "_spans")
     )
 
 
 def relabel_by_annotation(
     frames: DataFrame, annotations: DataFrame, vocabulary: DataFrame, info: DataFrame,
-    prefer: str = "action_english",
+    prefer: str = "action_english", lengths: DataFrame | None = None,
 ) -> DataFrame:
     """Task index of each frame from the annotation of its episode.
 
     The last action covering a frame wins, both ends included; times count in frames
     of the dataset's own ``fps``. A frame no action covers gets 0, also when the
-    annotation is empty. Episodes without annotation keep their labels.
+    annotation is empty. Episodes without annotation keep their labels. ``lengths``
+    (dataset, recording_id, n_frames) is counted on the frames unless it is given.
     """
+    lengths = frame_counts(frames) if lengths is None else lengths
     actions = _indexed(annotation_actions(annotations, EPISODE, prefer), vocabulary)
-    blocks = block_actions(with_rate(actions, info), EPISODE, "task_index")
+    blocks = block_intervals(with_rate(actions, info), EPISODE, "task_index", lengths)
     annotated = annotations.select(*EPISODE, F.lit(True).alias("_annotated"))
     found = (
         _with_block(frames).withColumnRenamed("task_index", "_old")
         .join(blocks, [*EPISODE, "_block"], "left").join(annotated, list(EPISODE), "left")
     )
-    label = F.when(F.col("_annotated"), F.coalesce(_last_covering("task_index"), F.lit(0))).otherwise(F.col("_old"))
-    return found.withColumn("task_index", label.cast("bigint")).drop("_old", "_block", "_actions", "_annotated")
+    label = F.when(F.col("_annotated"), F.coalesce(_at_frame(), F.lit(0))).otherwise(F.col("_old"))
+    return found.withColumn("task_index", label.cast("bigint")).drop("_old", "_block", "_spans", "_annotated")
 
 
 def relabel_by_prompt(frames: DataFrame, episodes: DataFrame, vocabulary: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracemill.operators import relabel
-from tracemill.operators.indices import dagger_subset, dataset_info, fix_indices, reindex_episodes
+from tracemill.operators.indices import dagger_subset, dataset_info, episode_starts, fix_indices, reindex_episodes
 from tracemill.operators.lake import latest_annotation, recording_limit
 from tracemill.operators.relabel import EPISODE
 from tracemill.session import materialise
@@ -42,9 +42,10 @@ def export_dataset(
     else:
         raise ValueError(f"export mode {mode!r} is none of base, annotated, dagger")
     words = relabel.task_vocabulary(named.select("dataset", F.explode("tasks").alias("task")))
+    starts = episode_starts(rows, named)  # the frames are counted once, for the numbering and the labels
     if mode == "annotated":
         labelled = relabel.relabel_by_annotation(
-            rows, annotations.join(ids, "recording_id", "left_semi"), words, info, prefer
+            rows, annotations.join(ids, "recording_id", "left_semi"), words, info, prefer, starts
         )
     else:
         labelled = relabel.relabel_by_prompt(rows, named, words)
@@ -53,7 +54,7 @@ def export_dataset(
         "info": dataset_info(named, info).join(total, "dataset"),
         "tasks": words,
         "episodes": named,
-        "frames": fix_indices(labelled, named),
+        "frames": fix_indices(labelled, named, starts=starts),
     }
 
 

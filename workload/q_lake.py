@@ -11,24 +11,24 @@ COLUMNS = ["recording_id", "task", "type", "frames", "qa", "device", "operator"]
 SELECTED = "SELECT recording_id, task, type, frames, qa, device, operator FROM fx_recordings"
 
 
-@query("FLT1", SELECTED + """ WHERE task IN ('t1', 't2') AND list_has_any(tags, ['do_grasp', 'is_doubtful']) AND device = 'dev_a'
+@query("FLT1", SELECTED + """ WHERE task IN ('t1', 't2') AND list_has_any(tags, ['do_grasp', 'q_review']) AND device = 'dev_a'
   AND operator IN ('op_a', 'op_b') AND type IN ('normal', 'dagger') AND qa IN ('pass', 'warn')
   AND CAST(collected_at AS DATE) BETWEEN DATE '1996-01-01' AND DATE '2000-12-31'""")
 def flt1(spark, d):
     return lake.query_recordings(
-        v.recordings(spark, d), tasks=["t1", "t2"], tags=["do_grasp", "is_doubtful"], device="dev_a", operators=["op_a", "op_b"],
+        v.recordings(spark, d), tasks=["t1", "t2"], tags=["do_grasp", "q_review"], device="dev_a", operators=["op_a", "op_b"],
         types=["normal", "dagger"], qas=["pass", "warn"], first_day="1996-01-01", last_day="2000-12-31",
     ).select(*COLUMNS)
 
 
-@query("FLT2", SELECTED + " WHERE list_has_any(tags, ['do_fill', 'is_doubtful'])")
+@query("FLT2", SELECTED + " WHERE list_has_any(tags, ['do_fill', 'q_review'])")
 def flt2(spark, d):
-    return lake.query_recordings(v.recordings(spark, d), tags=["do_fill", "is_doubtful"]).select(*COLUMNS)
+    return lake.query_recordings(v.recordings(spark, d), tags=["do_fill", "q_review"]).select(*COLUMNS)
 
 
-@query("FLT3", SELECTED + " WHERE list_contains(tags, 'do_grasp') AND list_contains(tags, 'is_doubtful')")
+@query("FLT3", SELECTED + " WHERE list_contains(tags, 'do_grasp') AND list_contains(tags, 'q_review')")
 def flt3(spark, d):
-    return lake.query_recordings(v.recordings(spark, d), tags=["do_grasp", "is_doubtful"], tag_mode="all").select(*COLUMNS)
+    return lake.query_recordings(v.recordings(spark, d), tags=["do_grasp", "q_review"], tag_mode="all").select(*COLUMNS)
 
 
 @query("FLT4", SELECTED + " WHERE strftime(collected_at, '%Y-%m-%d') >= '1997-03-01' AND strftime(collected_at, '%Y-%m-%d') <= '1997-09-30'")

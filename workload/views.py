@@ -22,7 +22,7 @@ TASK_TAGS = {"t1": ["at_desk", "do_clean", "do_lay"], "t2": ["at_bench", "do_gra
              "t3": ["at_board", "do_fill"]}
 TAG_DEFS = [("at_board", "scene"), ("at_desk", "scene"), ("at_bench", "scene"),
             ("do_clean", "skill"), ("do_grasp", "skill"), ("do_lay", "skill"), ("do_fill", "skill"),
-            ("is_good", "quality"), ("is_doubtful", "quality")]
+            ("q_high", "quality"), ("q_review", "quality")]
 DIMENSIONS = ["scene", "skill"]
 OPERATORS = ("op_a", "op_b", "op_c")
 DEVICES = ("dev_a", "dev_b")
@@ -100,7 +100,7 @@ SELECT o_orderkey AS recording_id, o_custkey % 24 AS ds,
   CASE WHEN o_orderkey % 2 = 0 THEN 'dev_a' ELSE 'dev_b' END AS device,
   CASE o_orderkey % 3 WHEN 0 THEN 'op_a' WHEN 1 THEN 'op_b' ELSE 'op_c' END AS operator,
   list_append(CASE o_orderkey % 3 WHEN 0 THEN ['at_desk', 'do_clean', 'do_lay'] WHEN 1 THEN ['at_bench', 'do_grasp']
-    ELSE ['at_board', 'do_fill'] END, CASE WHEN o_orderstatus IN ('F', 'P') THEN 'is_doubtful' ELSE 'is_good' END) AS tags
+    ELSE ['at_board', 'do_fill'] END, CASE WHEN o_orderstatus IN ('F', 'P') THEN 'q_review' ELSE 'q_high' END) AS tags
 FROM orders"""
 
 
