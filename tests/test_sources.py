@@ -165,17 +165,6 @@ def test_reports(spark, table, tmp_path):
         writers.write_report(report, str(tmp_path / "x"), "xml")
 
 
-def test_snapshot(spark, table, tmp_path):
-    frames = table([("a/b", e, i) for e in range(3) for i in range(2)], "dataset string, episode_index bigint, index bigint")
-    episodes = table([("a/b", e) for e in range(3)], "dataset string, episode_index bigint")
-    path = str(tmp_path / "snap")
-    writers.write_snapshot({"frames": frames, "episodes": episodes}, path, chunks_size=2)
-    back = writers.read_snapshot(spark, path)
-    assert rows(back, "dataset", "episode_index", "index", "chunk") == sorted(
-        ("a/b", e, i, e // 2) for e in range(3) for i in range(2))
-    assert writers.read_snapshot(spark, path, "episodes", "dataset string, episode_index bigint").count() == 3
-
-
 def test_merging_manifests(table):
     a = table([("x", 1.0), ("y", 1.0)], "dataset string, weight double")
     b = table([("y", 5.0)], "dataset string, weight double")

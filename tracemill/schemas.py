@@ -13,7 +13,7 @@ TASK = "task_index bigint, task string"
 
 # annotation_data stays text: it may hold anything, see ``embedded_annotations``.
 EPISODE = """
-    episode_index bigint, length bigint, tasks array<string>, task_id_map map<string, string>,
+    episode_index bigint, recording_id bigint, length bigint, tasks array<string>, task_id_map map<string, string>,
     dagger_type string, annotation struct<recording_id: bigint, id: bigint, created_at: string,
     annotator_name: string, annotation_data: string>
 """

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from tracemill import schemas
 from tracemill.functions.paths import chunk_from_path, episode_from_path
 from tracemill.operators.positions import dense_position
+from tracemill.sources.snapshots import ROWS as FILE_ROWS
+from tracemill.sources.snapshots import committed_root
 
 # Fixed value: the annotation format with a flat list of actions.
 ANNOTATION_VERSION = "3.0.0"
@@ -56,26 +58,29 @@ def _found(reader, pattern: str):
 
 def read_info(spark: SparkSession, root: str) -> DataFrame:
     """One row per ``meta/info.json``. Combine with ``attach_info`` for the missing ones."""
+    root = committed_root(spark, root)
     rows = _found(spark.read.schema(schemas.INFO).option("multiLine", True), "info.json").json(root)
     return rows.select(_dataset(root, "/meta/info.json").alias("dataset"), "*")
 
 
 def _read_lines_as(spark, root, name, schema, skip_malformed) -> DataFrame:
+    """Lines of a metadata file; a long one goes on in ``<name>-1.jsonl`` and so on."""
     mode = "DROPMALFORMED" if skip_malformed else "FAILFAST"
-    rows = _found(spark.read.schema(schema).option("mode", mode), name).json(root)
-    return rows.select(_dataset(root, f"/meta/{name}").alias("dataset"), "*")
+    root = committed_root(spark, root)
+    rows = _found(spark.read.schema(schema).option("mode", mode), f"{name}{{,-[0-9]*}}.jsonl").json(root)
+    return rows.select(_dataset(root, f"/meta/{name}(-[0-9]+)?[.]jsonl").alias("dataset"), "*")
 
 
 def read_tasks(spark: SparkSession, root: str, skip_malformed: bool = False) -> DataFrame:
-    return _read_lines_as(spark, root, "tasks.jsonl", schemas.TASK, skip_malformed)
+    return _read_lines_as(spark, root, "tasks", schemas.TASK, skip_malformed)
 
 
 def read_episodes(spark: SparkSession, root: str, skip_malformed: bool = False) -> DataFrame:
-    return _read_lines_as(spark, root, "episodes.jsonl", schemas.EPISODE, skip_malformed)
+    return _read_lines_as(spark, root, "episodes", schemas.EPISODE, skip_malformed)
 
 
 def read_episode_stats(spark: SparkSession, root: str, skip_malformed: bool = False) -> DataFrame:
-    return _read_lines_as(spark, root, "episodes_stats.jsonl", schemas.EPISODE_STATS, skip_malformed)
+    return _read_lines_as(spark, root, "episodes_stats", schemas.EPISODE_STATS, skip_malformed)
 
 
 def read_numbered_lines(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -94,20 +99,46 @@ def read_numbered_lines(spark: SparkSession, root: str, name: str) -> DataFrame:
     return placed.select("dataset", (F.col("line") + 1).alias("line"), "value")
 
 
-def read_frames(spark: SparkSession, root: str, columns=()) -> DataFrame:
+class FeatureConflict(ValueError):
+    """Datasets state different types for one feature."""
+
+
+def feature_conflicts(info: DataFrame) -> DataFrame:
+    """(feature, kinds): features whose type differs, each type with a dataset that states it.
+
+    Sizes may differ, types may not. Taken from the info of the datasets, so no data file is opened.
+    """
+    stated = info.select("dataset", F.explode("features").alias("feature", "f")).groupBy("feature", "f.dtype").agg(
+        F.min("dataset").alias("dataset"))
+    kinds = stated.groupBy("feature").agg(F.array_sort(F.collect_list(F.struct("dtype", "dataset"))).alias("kinds"))
+    return kinds.filter(F.size("kinds") > 1)
+
+
+def read_frames(spark: SparkSession, root: str, columns=(), info: DataFrame | None = None) -> DataFrame:
     """Frames of all episode files, only the columns asked for.
 
-    ``episode_index`` and ``chunk`` come from the file name, ``frame_index`` is
-    the row position in the file.
+    ``episode_index`` and ``chunk`` come from the file name, ``frame_index`` is the row position in
+    the episode. Datasets may have different features: the footers of all files are read by parallel
+    tasks, and a column that a file lacks is null there. Columns of different types raise
+    :class:`FeatureConflict`, which names the datasets that ``info`` (or their info files) state.
     """
-    rows = _found(spark.read, "episode_*.parquet").parquet(root)
+    root = committed_root(spark, root)
+    try:
+        rows = _found(spark.read.option("mergeSchema", True), "episode_*.parquet").parquet(root)
+    except Exception as error:
+        if "CANNOT_MERGE" not in str(error):
+            raise
+        found = feature_conflicts(read_info(spark, root) if info is None else info).orderBy("feature").limit(20).collect()
+        stated = "; ".join(f"{r['feature']}: " + ", ".join(f"{k['dtype']} in {k['dataset']}" for k in r["kinds"]) for r in found)
+        raise FeatureConflict(f"features of different types: {stated or error}") from error
     path = _plain(F.col("_metadata.file_path"))
+    part = F.coalesce(F.nullif(F.regexp_extract(path, r"-(\d+)\.parquet$", 1), F.lit("")).cast("bigint"), F.lit(0))
     wanted = [c for c in columns if c not in ("episode_index", "frame_index")]
     return rows.select(
         _dataset(root, r"/data/chunk-\d+/[^/]*").alias("dataset"),
         chunk_from_path(path).alias("chunk"),
         episode_from_path(path).alias("episode_index"),
-        F.col("_metadata.row_index").alias("frame_index"),
+        (F.col("_metadata.row_index") + part * FILE_ROWS).alias("frame_index"),
         *wanted,
     )
 

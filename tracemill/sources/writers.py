@@ -1,4 +1,4 @@
-"""Write snapshots, manifests and reports."""
+"""Write manifests and reports."""
 
 from __future__ import annotations
 
@@ -63,24 +63,3 @@ def write_report(report: DataFrame, path: str, form: str = "csv", bom: bool = Fa
         writer.option("header", True).csv(path)
     else:
         raise ValueError(f"report form {form!r} is neither csv nor json")
-
-
-def write_snapshot(tables: dict[str, DataFrame], path: str, chunks_size: int = 1000) -> None:
-    """A dataset snapshot: frames as parquet by dataset, split and chunk; metadata as JSON.
-
-    The rebalance hint lets Spark split a chunk that is too large for one task
-    and join chunks that are too small.
-    """
-    frames = tables["frames"].withColumn("chunk", F.floor(F.col("episode_index") / chunks_size).cast("int"))
-    layout = [c for c in ("dataset", "split", "chunk") if c in frames.columns]
-    frames.hint("rebalance", *layout).write.mode("errorifexists").partitionBy(*layout).parquet(f"{path}/frames")
-    for name, table in tables.items():
-        if name != "frames":
-            table.write.mode("errorifexists").json(f"{path}/{name}")
-
-
-def read_snapshot(spark, path: str, name: str = "frames", schema: str | None = None) -> DataFrame:
-    if name == "frames":
-        return spark.read.parquet(f"{path}/frames")
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.json(f"{path}/{name}")
