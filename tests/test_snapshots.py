@@ -76,22 +76,22 @@ def test_unsplit_tables_and_long_episodes_go_on_in_further_files(spark, table, t
 def test_a_write_that_dies_leaves_the_former_version(spark, tables, tmp_path, monkeypatch):
     path = str(tmp_path / "snap")
     moved = []
-    real = snapshots._rename
+    real = snapshots._Store.rename
 
-    def dies(spark, source, target):
+    def dies(store, source, target):
         if len(moved) == 4:
             raise KeyboardInterrupt("killed")
         moved.append(target)
-        real(spark, source, target)
+        real(store, source, target)
 
-    monkeypatch.setattr(snapshots, "_rename", dies)
+    monkeypatch.setattr(snapshots._Store, "rename", dies)
     with pytest.raises(KeyboardInterrupt):
         write_snapshot(tables, path)
     assert len(moved) == 4 and glob.glob(f"{path}/v-*")
     for read in (readers.read_info, readers.read_frames, readers.read_episodes, readers.read_tasks):
         with pytest.raises(NotCommitted):
             read(spark, path)
-    monkeypatch.setattr(snapshots, "_rename", real)
+    monkeypatch.setattr(snapshots._Store, "rename", real)
     first = write_snapshot(tables, path)
     assert readers.read_frames(spark, path).count() == 15
 

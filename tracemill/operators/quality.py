@@ -197,7 +197,7 @@ def _rule(rows: DataFrame, name: str, otherwise: str) -> DataFrame:
 
 def sensor_checks(
     manifest: DataFrame, *, files: DataFrame | None = None, stamps: DataFrame | None = None,
-    vectors: DataFrame | None = None, cameras: DataFrame | None = None, exempt=(),
+    vectors: DataFrame | None = None, cameras: DataFrame | None = None, exempt=(), required=REQUIRED_FILES,
 ) -> DataFrame:
     """The rules on files and sensor data, for the tables that are given.
 
@@ -206,9 +206,9 @@ def sensor_checks(
     """
     found = []
     if files is not None:
-        absent = missing_files(manifest.select("dataset"), files).groupBy("dataset").agg(F.count(F.lit(1)).alias("bad"))
+        absent = missing_files(manifest.select("dataset"), files, required).groupBy("dataset").agg(F.count(F.lit(1)).alias("bad"))
         found.append(_rule(manifest.select("dataset").join(absent, "dataset", "left").fillna(0, ["bad"]).withColumn(
-            "n", F.lit(len(REQUIRED_FILES))), "required_files", "fail"))
+            "n", F.lit(len(required))), "required_files", "fail"))
     if stamps is not None:
         steps = time_steps(stamps, ["dataset", "recording_id"], "frame_index", "seconds", F.col("fps"))
         found.append(_rule(steps.groupBy("dataset").agg(

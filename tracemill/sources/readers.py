@@ -83,6 +83,16 @@ def read_episode_stats(spark: SparkSession, root: str, skip_malformed: bool = Fa
     return _read_lines_as(spark, root, "episodes_stats", schemas.EPISODE_STATS, skip_malformed)
 
 
+def read_file_names(spark: SparkSession, root: str, folder: str, names: str = "*") -> DataFrame:
+    """(dataset, path): files in one folder of every dataset; their contents are not read."""
+    root = committed_root(spark, root)
+    rows = _found(spark.read.format("binaryFile"), names).load(root).select(F.col("path"))
+    below = F.substring_index(_plain(F.col("path")), root.rstrip("/").split(":", 1)[-1].lstrip("/") + "/", -1)
+    pattern = rf"^(.*)/({folder}/[^/]+)$"
+    return rows.filter(below.rlike(pattern)).select(
+        F.regexp_extract(below, pattern, 1).alias("dataset"), F.regexp_extract(below, pattern, 2).alias("path"))
+
+
 def read_numbered_lines(spark: SparkSession, root: str, name: str) -> DataFrame:
     """(dataset, line, value) with the physical line number from 1.
 

@@ -24,6 +24,7 @@ from dataclasses import dataclass
 from functools import reduce
 from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,61 +47,72 @@ class GateError(ValueError):
     """What was staged must not be published."""
 
 
-def _path(spark: SparkSession, path: str):
-    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-
-
-def _files(spark: SparkSession, path: str):
-    return _path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    system = _files(spark, path)
-    if not system.exists(_path(spark, path)):
-        return None
-    stream = system.open(_path(spark, path))
-    try:
-        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    stream = _files(spark, path).create(_path(spark, path), True)
-    try:
-        stream.write(bytearray(text.encode()))
-    finally:
-        stream.close()
-
-
-def _listed(spark: SparkSession, path: str) -> Iterator[str]:
-    """Files below a folder, one after another."""
-    system, folder = _files(spark, path), _path(spark, path)
-    if not system.exists(folder):
-        return
-    found = system.listFiles(folder, True)
-    while found.hasNext():
-        yield found.next().getPath().toString()
-
-
-def _replaced(spark: SparkSession, source: str, target: str) -> None:
-    """Rename over what is there. Where a file system cannot do it in one step, the old file goes first."""
-    system = _files(spark, target)
-    if system.rename(_path(spark, source), _path(spark, target)):
-        return
-    system.delete(_path(spark, target), False)
-    if not system.rename(_path(spark, source), _path(spark, target)):
-        raise OSError(f"cannot rename {source} to {target}")
-
-
-def _rename(spark: SparkSession, source: str, target: str) -> None:
-    if not _files(spark, target).rename(_path(spark, source), _path(spark, target)):
-        raise OSError(f"cannot rename {source} to {target}")
+class _Store:
+    """The file system of a folder; classes are looked up once, as each look-up asks the JVM."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        context = spark.sparkContext
+        self._jvm = context._jvm
+        self._path = self._jvm.org.apache.hadoop.fs.Path
+        self.system = self._path(path).getFileSystem(context._jsc.hadoopConfiguration())
+
+    def path(self, name: str):
+        return self._path(name)
+
+    def read_text(self, name: str) -> str | None:
+        if not self.system.exists(self._path(name)):
+            return None
+        stream = self.system.open(self._path(name))
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def write_text(self, name: str, text: str) -> None:
+        stream = self.system.create(self._path(name), True)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+
+    def files(self, folder: str) -> Iterator[str]:
+        """Files below a folder, one folder after another; nothing but names is asked for."""
+        if not self.system.exists(self._path(folder)):
+            return
+        waiting = [self._path(folder)]
+        while waiting:
+            for found in self.system.listStatus(waiting.pop()):
+                if found.isDirectory():
+                    waiting.append(found.getPath())
+                else:
+                    yield found.getPath().toString()
+
+    def versions(self, folder: str) -> list[str]:
+        if not self.system.exists(self._path(folder)):
+            return []
+        names = [s.getPath().getName() for s in self.system.listStatus(self._path(folder)) if s.isDirectory()]
+        return [n for n in names if n.startswith("v-")]
+
+    def make(self, folder: str) -> None:
+        self.system.mkdirs(self._path(folder))
+
+    def delete(self, name: str) -> None:
+        self.system.delete(self._path(name), True)
+
+    def rename(self, source: str, target: str) -> None:
+        if not self.system.rename(self._path(source), self._path(target)):
+            raise OSError(f"cannot rename {source} to {target}")
+
+    def replace(self, source: str, target: str) -> None:
+        """Rename over what is there. Where a file system cannot do it in one step, the old file goes first."""
+        if not self.system.rename(self._path(source), self._path(target)):
+            self.delete(target)
+            self.rename(source, target)
 
 
 def commit_of(spark: SparkSession, path: str) -> dict | None:
     """What the commit file of a snapshot says, null without one."""
-    text = _read_text(spark, f"{path.rstrip('/')}/{COMMIT}")
+    text = _Store(spark, path).read_text(f"{path.rstrip('/')}/{COMMIT}")
     return None if text is None else json.loads(text)
 
 
@@ -115,20 +127,17 @@ def committed_root(spark: SparkSession, path: str) -> str:
     commit = commit_of(spark, path)
     if commit is not None:
         return f"{path}/{commit['version']}"
-    system, folder = _files(spark, path), _path(spark, path)
-    if system.exists(folder) and any(s.isDirectory() and s.getPath().getName().startswith("v-") for s in system.listStatus(folder)):
+    if _Store(spark, path).versions(path):
         raise NotCommitted(f"{path} has no committed version")
     return path
 
 
 def remove_uncommitted(spark: SparkSession, path: str) -> int:
     """Delete the versions that no commit names; not while a write is under way. Their number."""
-    commit, system = commit_of(spark, path), _files(spark, path)
-    keep = commit["version"] if commit else None
-    gone = [s.getPath() for s in system.listStatus(_path(spark, path))
-            if s.isDirectory() and s.getPath().getName().startswith("v-") and s.getPath().getName() != keep]
-    for folder in gone:
-        system.delete(folder, True)
+    commit, store = commit_of(spark, path), _Store(spark, path)
+    gone = [n for n in store.versions(path) if commit is None or n != commit["version"]]
+    for name in gone:
+        store.delete(f"{path.rstrip('/')}/{name}")
     return len(gone)
 
 
@@ -186,7 +195,7 @@ def metadata_lines(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, kinds)
 
 
-def _move_all(spark: SparkSession, moves: Iterator[tuple[str, str]]) -> int:
+def _move_all(store: _Store, moves: Iterator[tuple[str, str]]) -> int:
     """Rename files inside one file system, ``RENAMES`` at a time; nothing is held of those that are done."""
     made: set[str] = set()
     count, running = 0, set()
@@ -196,13 +205,13 @@ def _move_all(spark: SparkSession, moves: Iterator[tuple[str, str]]) -> int:
             if parent not in made:
                 if len(made) > 100_000:
                     made.clear()
-                _files(spark, parent).mkdirs(_path(spark, parent))
+                store.make(parent)
                 made.add(parent)
             if len(running) >= 2 * RENAMES:
                 done, running = wait(running, return_when=FIRST_COMPLETED)
                 for each in done:
                     each.result()
-            running.add(pool.submit(_rename, spark, source, target))
+            running.add(pool.submit(store.rename, source, target))
             count += 1
         for each in running:
             each.result()
@@ -215,6 +224,14 @@ def _parts(path: str, names) -> dict[str, str]:
     return {k: unquote(v) for k, v in found.items()}
 
 
+def _observed(counted: Observation, names) -> dict[str, int]:
+    """What was counted; a plan that Spark knows to be empty is cut away and counts nothing."""
+    try:
+        return {k: int(v) for k, v in counted.get.items()}
+    except Py4JJavaError:
+        return dict.fromkeys(names, 0)
+
+
 PLACE = ("__folder", "__chunk", "__episode", "__part")
 
 
@@ -245,14 +262,14 @@ def _stage_metadata(lines: DataFrame, staged: str, observed: Observation) -> Non
     dealt.drop("seq").write.partitionBy("folder", "file").text(f"{staged}/meta")
 
 
-def _moves(spark: SparkSession, staged: str, version: str) -> Iterator[tuple[str, str]]:
-    for source in _listed(spark, f"{staged}/frames"):
+def _moves(store: _Store, staged: str, version: str) -> Iterator[tuple[str, str]]:
+    for source in store.files(f"{staged}/frames"):
         if source.endswith(".parquet"):
             at = _parts(source, PLACE)
             episode, part = int(at["__episode"]), int(at["__part"])
             name = f"episode_{episode:06d}.parquet" if part == 0 else f"episode_{episode:06d}-{part}.parquet"
             yield source, f"{version}/{at['__folder']}/data/chunk-{int(at['__chunk']):03d}/{name}"
-    for source in _listed(spark, f"{staged}/meta"):
+    for source in store.files(f"{staged}/meta"):
         if source.endswith(".txt"):
             at = _parts(source, ("folder", "file"))
             yield source, f"{version}/{at['folder']}/meta/{at['file']}"
@@ -284,14 +301,15 @@ def write_snapshot(tables: dict[str, DataFrame], path: str, gate: Callable[[Stag
     frames, metadata = Observation(), Observation()
     _stage_frames(tables["frames"], tables["info"], staged, frames)
     _stage_metadata(metadata_lines(tables), staged, metadata)
-    counts = {k: int(v) for k, v in {**frames.get, **metadata.get}.items()}
+    counts = {**_observed(frames, ("frames", "unplaced")), **_observed(metadata, ("datasets", "episodes", "tasks"))}
     if counts["unplaced"]:
         raise GateError(f"{counts['unplaced']} frames have no frame_index")
-    files = _move_all(spark, _moves(spark, staged, version))
-    _files(spark, staged).delete(_path(spark, staged), True)
+    store = _Store(spark, path)
+    files = _move_all(store, _moves(store, staged, version))
+    store.delete(staged)
     if gate is not None:
         gate(Staged(spark, version, counts))
     commit = {"version": name, "files": files, **counts}
-    _write_text(spark, f"{path}/{COMMIT}-{name}", json.dumps(commit))
-    _replaced(spark, f"{path}/{COMMIT}-{name}", f"{path}/{COMMIT}")
+    store.write_text(f"{path}/{COMMIT}-{name}", json.dumps(commit))
+    store.replace(f"{path}/{COMMIT}-{name}", f"{path}/{COMMIT}")
     return commit

@@ -1,13 +1,16 @@
 """Relabelling, numbering, splitting, recipes, exports."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tracemill.functions.numbers import hash32
 from tracemill.operators import indices, relabel, split
 from tracemill.plans import build, export
 from tracemill.session import materialise
+from tracemill.sources import readers, stored
 from workload import views as v
-from workload.registry import VIEWS, query
+from workload.registry import ORACLES, VIEWS, query
 from workload.q_paths import files
 from workload.q_stats import members, r
 
@@ -122,6 +125,25 @@ def w2(spark, d):
     return out.select("dataset", "recording_id", "frame_index", "episode_index", "index")
 
 
+def kept_frames(spark, d, rows=None):
+    """The frames of the lake as a bucketed table."""
+    rows = materialise(v.placed_frames(spark, d)) if rows is None else rows
+    return stored.store_frames(rows, f"frames_{uuid.uuid4().hex}", stored.bucket_count(rows.count(), 100_000))
+
+
+@query("W2_stored", ORACLES["W2"])
+def w2_stored(spark, d):
+    out = indices.fix_indices(kept_frames(spark, d), v.episodes(spark, d))
+    return out.select("dataset", "recording_id", "frame_index", "episode_index", "index")
+
+
+@query("J5_stored", ORACLES["J5"])
+def j5_stored(spark, d):
+    actions = relabel.annotation_actions(v.annotations(spark, d))
+    frames = kept_frames(spark, d, materialise(v.motion_frames(spark, d)))
+    return relabel.frame_actions(frames, actions, v.settings(spark, d)).drop("task_index")
+
+
 @query("J7", """SELECT dataset, recording_id FROM fx_episodes WHERE dagger_type = 'policy'""")
 def j7(spark, d):
     kept = v.raw_episodes(spark, d).filter(F.col("dagger_type") == "policy")
@@ -172,6 +194,12 @@ def dom4(spark, d):
     return out.select("dataset", "split", "recording_id", "frame_index", "episode_index", "index")
 
 
+@query("DOM4_stored", ORACLES["DOM4"])
+def dom4_stored(spark, d):
+    out = split.split_frames(kept_frames(spark, d), numbered(spark, d))
+    return out.select("dataset", "split", "recording_id", "frame_index", "episode_index", "index")
+
+
 @query("DOM5", """SELECT dataset, count(*) AS original_total_episodes, count(*) FILTER (split = 'train') AS train_episodes_count,
   count(*) FILTER (split = 'val') AS val_episodes_count, CAST(0.9 AS DOUBLE) AS train_ratio FROM fx_sided GROUP BY dataset""")
 def dom5(spark, d):
@@ -296,27 +324,58 @@ def set2_frames(spark, d):
     return rows.select("dataset", "recording_id", "frame_index", "episode_index", "index")
 
 
+#: Recordings of each task that a build takes; the third task has fewer.
+QUOTAS = [("t1", 20), ("t2", 12), ("t3", 100000)]
 VIEWS["fx_built"] = f"""
 SELECT e.dataset, e.recording_id, e.length, CASE WHEN {HASH.replace('dataset', 'e.dataset').replace('episode_index', 'e.episode_index')} < 0.9 * 4294967296 THEN 'train' ELSE 'val' END AS split, e.episode_index
-FROM fx_episodes e JOIN (SELECT recording_id, row_number() OVER (ORDER BY CAST('0x' || substr(md5(concat_ws('/', CAST(recording_id AS VARCHAR), '42')), 1, 8) AS BIGINT), recording_id) AS n
-  FROM fx_recordings WHERE qa IN ('pass', 'warn') AND recording_id NOT IN (SELECT recording_id FROM fx_members WHERE dataset_type <> 'train')) s
-  ON s.recording_id = e.recording_id AND s.n <= 2000"""
+FROM fx_takes e JOIN (SELECT recording_id, task, row_number() OVER (PARTITION BY task ORDER BY CAST('0x' || substr(md5(concat_ws('/', CAST(recording_id AS VARCHAR), '42')), 1, 8) AS BIGINT), recording_id) AS n
+  FROM fx_take_recordings WHERE qa IN ('pass', 'warn') AND recording_id % 11 <> 0) s ON s.recording_id = e.recording_id
+  JOIN (VALUES {', '.join(f"('{t}', {n})" for t, n in QUOTAS)}) AS q(task, quota) ON q.task = s.task AND s.n <= q.quota"""
+VIEWS["fx_built_numbered"] = """
+SELECT dataset, split, concat(dataset, '_split/', split) AS folder, recording_id, length,
+  CAST(row_number() OVER (PARTITION BY dataset, split ORDER BY episode_index) - 1 AS BIGINT) AS episode_index FROM fx_built"""
 
 
 def built(spark, d):
-    evaluation = members(spark, d).filter(F.col("dataset_type") != "train")
-    return build.build_dataset(
-        v.recordings(spark, d), v.episodes(spark, d), v.frames(spark, d).withColumn("frame_index", F.lit(0).cast("bigint")),
-        v.tasks(spark, d), evaluation, v.settings(spark, d), n=2000, ratio=0.9, qas=["pass", "warn"])
+    """A build by quotas, with time stamps, an action and a camera in its frames and info."""
+    recordings = v.take_recordings(spark, d)
+    evaluation = recordings.filter(F.col("recording_id") % 11 == 0)
+    frames = v.take_frames(spark, d).join(v.take_settings(spark, d).select("dataset", "fps"), "dataset").select(
+        "dataset", "recording_id", "frame_index", "task_index", (F.col("frame_index") / F.col("fps")).alias("timestamp"),
+        F.array("state", F.col("state") / 2).alias("action"))
+    words = F.array(*[F.lit(t) for t in v.VOCABULARY])
+    tasks = v.take_settings(spark, d).select("dataset", F.posexplode(words).alias("task_index", "task"))
+    quotas = spark.createDataFrame(QUOTAS, "class string, quota int")
+    out = build.build_dataset(
+        recordings, v.takes(spark, d), frames, tasks, evaluation, v.take_settings(spark, d), n=0, ratio=0.9, quotas=quotas, qas=["pass", "warn"])
+    kinds = {"timestamp": ("double", [1]), "action": ("double", [2]), "cam": ("video", [240, 320, 3])}
+    entries = [F.struct(F.lit(k).alias("key"), F.struct(F.lit(t).alias("dtype"), F.lit(s).cast("array<bigint>").alias("shape")).alias("value"))
+               for k, (t, s) in kinds.items()]
+    out["info"] = out["info"].withColumn("features", F.map_from_entries(F.array(*entries)))
+    return out
+
+
+@query("VER6", """SELECT n.folder AS dataset, count(*) AS total_episodes, CAST(sum(length) AS BIGINT) AS total_frames, any_value(c.chunks_size) AS chunks_size, any_value(c.fps) AS fps,
+  CAST(ceil(count(*) / any_value(c.chunks_size)) AS BIGINT) AS total_chunks, count(*) * any_value(c.cameras) AS total_videos, concat('0:', CAST(count(*) AS VARCHAR)) AS range
+  FROM fx_built_numbered n JOIN fx_take_settings c ON c.dataset = n.dataset GROUP BY n.folder""")
+def ver6(spark, d):
+    """What a build committed: filter, leaks, quotas, split, staged files, doctor, commit, and the real reader."""
+    path = v.scratch(spark)
+    build.publish(built(spark, d), path)
+    info = readers.read_info(spark, path)
+    return info.select("dataset", "total_episodes", "total_frames", "chunks_size", "fps", "total_chunks", "total_videos",
+                       F.map_values("splits")[0].alias("range"))
 
 
-@query("VER6", """SELECT dataset, split, count(*) AS total_episodes, CAST(sum(length) AS BIGINT) AS total_frames, any_value(c.chunks_size) AS chunks_size, any_value(c.fps) AS fps, CAST(ceil(count(*) / any_value(c.chunks_size)) AS BIGINT) AS total_chunks,
-  count(*) * any_value(c.cameras) AS total_videos, concat('0:', CAST(count(*) AS VARCHAR)) AS range FROM fx_built JOIN fx_settings c USING (dataset) GROUP BY 1, 2""")
-def ver6(spark, d):
-    return built(spark, d)["info"]
+@query("VER6_frames", """SELECT n.folder AS dataset, n.episode_index, f.frame_index, f.recording_id, CAST(s.start + f.frame_index AS BIGINT) AS index FROM fx_take_frames f
+  JOIN fx_built_numbered n ON n.recording_id = f.recording_id JOIN (SELECT recording_id, coalesce(sum(length) OVER (PARTITION BY folder ORDER BY episode_index
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM fx_built_numbered) s ON s.recording_id = f.recording_id""")
+def ver6_frames(spark, d):
+    path = v.scratch(spark)
+    build.publish(built(spark, d), path)
+    return readers.read_frames(spark, path, ["recording_id", "index"]).drop("chunk")
 
 
-@query("VER6_gate", """SELECT dataset, CASE WHEN files <> rows THEN 'fail' ELSE 'warn' END AS status, CASE WHEN files <> rows THEN 'must fix' ELSE 'partly failing' END AS verdict
-  FROM (SELECT b.dataset, count(*) AS rows, count(l.n) AS files FROM fx_built b LEFT JOIN fx_lengths l ON l.recording_id = b.recording_id GROUP BY b.dataset) x""")
+@query("VER6_gate", "SELECT dataset, 'warn' AS status, 'partly failing' AS verdict FROM (SELECT DISTINCT dataset FROM fx_built) x")
 def ver6_gate(spark, d):
     return built(spark, d)["verdict"]

@@ -3,10 +3,11 @@
 from pyspark.sql import functions as F
 
 from tracemill.operators import split
-from tracemill.sources import readers, writers
+from tracemill.session import materialise
+from tracemill.sources import readers, snapshots, writers
 from workload import views as v
-from workload.q_domain import numbered
-from workload.registry import query
+from workload.q_domain import HASH
+from workload.registry import VIEWS, query
 
 
 @query("SRC1", "SELECT dataset, weight FROM fx_datasets")
@@ -31,23 +32,73 @@ def snk2_lines(spark, d):
     return writers.manifest_lines(v.manifest(spark, d))
 
 
-@query("SRC4", "SELECT dataset, recording_id, frame_index, task_index FROM fx_frames")
-def src4(spark, d):
-    """Frames written as a snapshot; only the needed columns are read back."""
+VIEWS["fx_take_sides"] = f"SELECT *, CASE WHEN {HASH} < 0.9 * 4294967296 THEN 'train' ELSE 'val' END AS split FROM fx_takes"
+VIEWS["fx_take_numbered"] = """
+SELECT dataset, split, concat(dataset, '_split/', split) AS folder, recording_id, length,
+  CAST(row_number() OVER (PARTITION BY dataset, split ORDER BY episode_index) - 1 AS BIGINT) AS episode_index FROM fx_take_sides"""
+
+
+def stored(spark, d, with_stats=False):
+    """Both sides of every dataset written as a snapshot: its path."""
     path = v.scratch(spark)
-    episodes = v.episodes(spark, d).select("recording_id", "episode_index")
-    writers.write_snapshot({"frames": v.placed_frames(spark, d).join(episodes, "recording_id")}, path)
-    return writers.read_snapshot(spark, path).select("dataset", "recording_id", "frame_index", "task_index")
+    sided = materialise(split.split_by_hash(v.takes(spark, d), 0.9))
+    episodes = materialise(split.split_episodes(sided))
+    frames = split.split_frames(v.take_frames(spark, d), episodes)
+    words = F.array(*[F.lit(t) for t in v.VOCABULARY])
+    tasks = v.take_settings(spark, d).select("dataset", F.posexplode(words).alias("task_index", "task"))
+    tables = {
+        "frames": frames, "episodes": episodes.withColumn("tasks", F.array(F.concat(F.lit("t"), (F.col("recording_id") % 3).cast("string")))),
+        "info": split.split_metadata(sided, v.take_settings(spark, d)), "tasks": tasks}
+    if with_stats:
+        tables["episode_stats"] = frames.groupBy("dataset", "split", "episode_index").agg(
+            F.struct(F.min("state").alias("min"), F.max("state").alias("max")).alias("stats"))
+    snapshots.write_snapshot(tables, path)
+    return path
+
+
+@query("SRC2_files", """SELECT n.folder AS dataset, count(*) AS total_episodes, CAST(sum(length) AS BIGINT) AS total_frames, CAST(ceil(count(*) / any_value(c.chunks_size)) AS BIGINT) AS total_chunks,
+  count(*) * any_value(c.cameras) AS total_videos, any_value(c.chunks_size) AS chunks_size, any_value(c.fps) AS fps, concat(any_value(n.split), ' 0:', CAST(count(*) AS VARCHAR)) AS range,
+  'double' AS state FROM fx_take_numbered n JOIN fx_take_settings c ON c.dataset = n.dataset GROUP BY n.folder""")
+def src2_files(spark, d):
+    info = readers.read_info(spark, stored(spark, d))
+    side = F.map_keys("splits")[0]
+    return info.select("dataset", "total_episodes", "total_frames", "total_chunks", "total_videos", "chunks_size", "fps",
+                       F.concat(side, F.lit(" "), F.element_at("splits", side)).alias("range"), F.col("features")["state"]["dtype"].alias("state"))
+
+
+@query("SRC3_tasks", """SELECT DISTINCT n.folder AS dataset, CAST(t.task_index AS BIGINT) AS task_index, t.task FROM fx_take_numbered n
+  CROSS JOIN (VALUES (0, 'unknown'), (1, 'pick the cup'), (2, '擦白板: wipe the board'), (3, 'pour water')) AS t(task_index, task)""")
+def src3_tasks(spark, d):
+    return readers.read_tasks(spark, stored(spark, d))
+
+
+@query("SRC3_episodes", "SELECT folder AS dataset, episode_index, recording_id, length, concat('t', CAST(recording_id % 3 AS VARCHAR)) AS task FROM fx_take_numbered")
+def src3_episodes(spark, d):
+    return readers.read_episodes(spark, stored(spark, d)).select("dataset", "episode_index", "recording_id", "length", F.col("tasks")[0].alias("task"))
+
+
+@query("SRC3_stats", """SELECT n.folder AS dataset, n.episode_index, min(f.state) AS low, max(f.state) AS high FROM fx_take_frames f
+  JOIN fx_take_numbered n ON n.recording_id = f.recording_id GROUP BY 1, 2""")
+def src3_stats(spark, d):
+    stats = readers.read_episode_stats(spark, stored(spark, d, with_stats=True))
+    found = F.from_json("stats", "min double, max double")
+    return stats.select("dataset", "episode_index", found["min"].alias("low"), found["max"].alias("high"))
+
+
+@query("SRC4", """SELECT n.folder AS dataset, n.episode_index // c.chunks_size AS chunk, n.episode_index, f.frame_index, f.task_index FROM fx_take_frames f
+  JOIN fx_take_numbered n ON n.recording_id = f.recording_id JOIN fx_take_settings c ON c.dataset = n.dataset""")
+def src4(spark, d):
+    """Episode files of a snapshot; only the needed columns are read."""
+    return readers.read_frames(spark, stored(spark, d), ["task_index"])
 
 
-@query("SNK1", """SELECT dataset, split, CAST(episode_index // 1000 AS INTEGER) AS chunk, count(*) AS frames FROM (
-  SELECT n.dataset, n.split, n.episode_index FROM fx_frames f JOIN fx_numbered n ON n.recording_id = f.recording_id) x GROUP BY 1, 2, 3""")
+@query("SNK1", """SELECT n.folder AS dataset, n.episode_index // c.chunks_size AS chunk, n.episode_index, f.frame_index, f.recording_id, f.task_index, f.state,
+  CAST(s.start + f.frame_index AS BIGINT) AS index FROM fx_take_frames f JOIN fx_take_numbered n ON n.recording_id = f.recording_id
+  JOIN fx_take_settings c ON c.dataset = n.dataset JOIN (SELECT recording_id, coalesce(sum(length) OVER (PARTITION BY folder ORDER BY episode_index
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM fx_take_numbered) s ON s.recording_id = f.recording_id""")
 def snk1(spark, d):
-    path = v.scratch(spark)
-    episodes = numbered(spark, d)
-    frames = split.split_frames(v.placed_frames(spark, d), episodes)
-    writers.write_snapshot({"frames": frames, "episodes": episodes}, path)
-    return writers.read_snapshot(spark, path).groupBy("dataset", "split", "chunk").agg(F.count(F.lit(1)).alias("frames"))
+    """All columns of all frames, written and read back; SRC2_files and SRC3_* compare the metadata."""
+    return readers.read_frames(spark, stored(spark, d), ["recording_id", "task_index", "state", "index"])
 
 
 @query("SNK3", "SELECT dataset, CAST(task_index AS VARCHAR) AS task_index, CAST(count(*) AS VARCHAR) AS frames FROM fx_frames GROUP BY dataset, task_index")

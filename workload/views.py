@@ -412,3 +412,49 @@ def settings(spark, d) -> DataFrame:
     return rows.select(
         "dataset", F.when(odd == 0, 15).otherwise(30).alias("fps"),
         F.when(F.col("ds") % 2 == 0, 100).otherwise(40).alias("chunks_size"), (2 + odd).alias("cameras"))
+
+
+#: Episodes of a few hundred frames: the lines of a supplier in the order of their numbers.
+TAKE_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_extendedprice")
+VIEWS["fx_take_frames"] = f"""
+SELECT {PATH_SQL.format('(l_suppkey % 24)')} AS dataset, l_suppkey AS recording_id,
+  CAST(row_number() OVER (PARTITION BY l_suppkey ORDER BY {', '.join(TAKE_ORDER)}) - 1 AS BIGINT) AS frame_index,
+  CAST(l_linenumber % 5 AS BIGINT) AS task_index, l_quantity AS state FROM lineitem"""
+VIEWS["fx_takes"] = """
+SELECT dataset, recording_id, CAST(row_number() OVER (PARTITION BY dataset ORDER BY recording_id) - 1 AS BIGINT) AS episode_index, length
+FROM (SELECT dataset, recording_id, count(*) AS length FROM fx_take_frames GROUP BY ALL) t"""
+VIEWS["fx_take_settings"] = f"SELECT DISTINCT {PATH_SQL.format('ds')} AS dataset, {SETTINGS_SQL.format('ds')} FROM (SELECT l_suppkey % 24 AS ds FROM lineitem) t"
+
+
+def take_frames(spark, d) -> DataFrame:
+    inside = Window.partitionBy("l_suppkey").orderBy(*TAKE_ORDER)
+    rows = table(spark, d, "lineitem").withColumn("frame_index", (F.row_number().over(inside) - 1).cast("bigint"))
+    return rows.select(
+        dataset_path(F.col("l_suppkey") % 24).alias("dataset"), F.col("l_suppkey").alias("recording_id"), "frame_index",
+        (F.col("l_linenumber") % 5).cast("bigint").alias("task_index"), F.col("l_quantity").alias("state"))
+
+
+def takes(spark, d) -> DataFrame:
+    rows = table(spark, d, "lineitem").groupBy(
+        dataset_path(F.col("l_suppkey") % 24).alias("dataset"), F.col("l_suppkey").alias("recording_id")).agg(F.count(F.lit(1)).alias("length"))
+    return dense_position(rows, ["dataset"], ["recording_id"], "episode_index")
+
+
+def take_settings(spark, d) -> DataFrame:
+    key = table(spark, d, "lineitem").select((F.col("l_suppkey") % 24).alias("ds")).distinct()
+    odd = F.col("ds") % 3
+    return key.select(
+        dataset_path(F.col("ds")).alias("dataset"), F.when(odd == 0, 15).otherwise(30).alias("fps"),
+        F.when(F.col("ds") % 2 == 0, 100).otherwise(40).alias("chunks_size"), (2 + odd).alias("cameras"))
+
+
+VIEWS["fx_take_recordings"] = """
+SELECT t.recording_id, t.dataset, concat('t', CAST(1 + recording_id % 3 AS VARCHAR)) AS task,
+  CASE WHEN recording_id % 5 < 3 THEN 'pass' WHEN recording_id % 5 = 3 THEN 'warn' ELSE 'fail' END AS qa FROM fx_takes t"""
+
+
+def take_recordings(spark, d) -> DataFrame:
+    key = F.col("recording_id")
+    return takes(spark, d).select(
+        key, "dataset", F.concat(F.lit("t"), (1 + key % 3).cast("string")).alias("task"),
+        F.when(key % 5 < 3, "pass").when(key % 5 == 3, "warn").otherwise("fail").alias("qa"))
