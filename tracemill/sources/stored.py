@@ -23,15 +23,16 @@ def bucket_count(rows: int, per_bucket: int = PER_BUCKET) -> int:
     return 1 << (wanted - 1).bit_length()
 
 
-def store_frames(frames: DataFrame, name: str, buckets: int) -> DataFrame:
-    """Write ``frames`` as the bucketed table ``name`` and read it back.
+def store_frames(frames: DataFrame, name: str, buckets: int, path: str | None = None) -> DataFrame:
+    """Write ``frames`` as the bucketed table ``name``, in ``path`` or in the warehouse, and read it back.
 
     One shuffle, by the bucket; an episode lies in one bucket, as it lies in one file.
     """
     spark = frames.sparkSession
     dealt = frames.repartition(buckets, *[F.col(c) for c in EPISODE])
     order = [*EPISODE, *[c for c in ("frame_index",) if c in frames.columns]]
-    dealt.write.bucketBy(buckets, *EPISODE).sortBy(*order).mode("errorifexists").format("parquet").saveAsTable(name)
+    writer = dealt.write.bucketBy(buckets, *EPISODE).sortBy(*order).mode("errorifexists").format("parquet")
+    (writer if path is None else writer.option("path", path)).saveAsTable(name)
     return stored_frames(spark, name)
 
 

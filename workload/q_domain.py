@@ -10,7 +10,7 @@ from tracemill.plans import build, export
 from tracemill.session import materialise
 from tracemill.sources import readers, stored
 from workload import views as v
-from workload.registry import ORACLES, VIEWS, query
+from workload.registry import VIEWS, query
 from workload.q_paths import files
 from workload.q_stats import members, r
 
@@ -128,16 +128,16 @@ def w2(spark, d):
 def kept_frames(spark, d, rows=None):
     """The frames of the lake as a bucketed table."""
     rows = materialise(v.placed_frames(spark, d)) if rows is None else rows
-    return stored.store_frames(rows, f"frames_{uuid.uuid4().hex}", stored.bucket_count(rows.count(), 100_000))
+    return stored.store_frames(rows, f"frames_{uuid.uuid4().hex}", stored.bucket_count(rows.count(), 100_000), v.scratch(spark))
 
 
-@query("W2_stored", ORACLES["W2"])
+@query("W2_stored", same="W2")
 def w2_stored(spark, d):
     out = indices.fix_indices(kept_frames(spark, d), v.episodes(spark, d))
     return out.select("dataset", "recording_id", "frame_index", "episode_index", "index")
 
 
-@query("J5_stored", ORACLES["J5"])
+@query("J5_stored", same="J5")
 def j5_stored(spark, d):
     actions = relabel.annotation_actions(v.annotations(spark, d))
     frames = kept_frames(spark, d, materialise(v.motion_frames(spark, d)))
@@ -194,7 +194,7 @@ def dom4(spark, d):
     return out.select("dataset", "split", "recording_id", "frame_index", "episode_index", "index")
 
 
-@query("DOM4_stored", ORACLES["DOM4"])
+@query("DOM4_stored", same="DOM4")
 def dom4_stored(spark, d):
     out = split.split_frames(kept_frames(spark, d), numbered(spark, d))
     return out.select("dataset", "split", "recording_id", "frame_index", "episode_index", "index")

@@ -9,8 +9,8 @@ ORACLES: dict[str, str] = {}
 VIEWS: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
-    """Register a query, with the SQL that gives the same rows where there is one."""
+def query(name: str, sql: str | None = None, same: str | None = None):
+    """Register a query, with the SQL that gives the same rows, or the query whose rows are the ``same``."""
 
     def add(fn):
         if name in QUERIES:
@@ -18,6 +18,8 @@ def query(name: str, sql: str | None = None):
         QUERIES[name] = fn
         if sql is not None:
             ORACLES[name] = with_views(sql)
+        elif same is not None:
+            ORACLES[name] = ORACLES[same]
         return fn
 
     return add
