@@ -13,16 +13,25 @@ ODD = ["", " ", "  a", "a  b\n\n c", "\n", "a\n", "don't we'll\n\n\nx", "tab\tx
 
 
 def reference(texts):
+    """The ids of the tokenizer as it comes, text by text."""
     whole = Tokenizer.from_file(packing.default_tokenizer())
-    whole.encode_special_tokens = True
-    return [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+    return [whole.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_ids_equal_the_tokenizers(spark):
     rng = random.Random(5)
     texts = ODD + [t or "" for _, t, _ in ROWS] + [
         "".join(rng.choice("ab é\n\t '’1_.!ßsStTre日") for _ in range(rng.randint(1, 60))) for _ in range(2000)]
-    encoder = packing.ByteBpe(packing.default_tokenizer(), remember=50)
+    texts += ["<|endoftext|>", "a<|endoftext|>b <|endoftext|> c", " <|endoftext|>\n", "<|endoftext|", "日 <|endoftext|> x"]
+    encoder = packing.ByteBpe(packing.default_tokenizer(), remember=5000)
+    assert [np.frombuffer(encoder.encode(t), "<u4").tolist() for t in texts] == reference(texts)
+
+
+def test_long_texts_are_encoded_in_parts(monkeypatch):
+    monkeypatch.setattr(packing, "PART", 7)
+    rng = random.Random(6)
+    texts = ["日" + "".join(rng.choice("ab é\n\t 日1_.!ß  <|\x1c\x85 ") for _ in range(400)) + " <|endoftext|> x" for _ in range(300)]
+    encoder = packing.ByteBpe(packing.default_tokenizer())
     assert [np.frombuffer(encoder.encode(t), "<u4").tolist() for t in texts] == reference(texts)
 
 

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracemill.llm.common import table
+from tracemill.llm.common import free_memory, table
 from tracemill.session import materialise
 
 CAPACITY = 2048
@@ -45,6 +45,11 @@ PACKED = PIECES + ", settled boolean, sequence_id long, offset long"
 _UNUSUAL = re.compile("[^\n\t\r -~À-ÖØ-öø-ɏ]")
 #: Runs of white space, where parts do not simply begin at a space or line end.
 _SPACED = re.compile(r"\s\s|^\s| \Z")
+#: A space between two words.
+_BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+#: Characters that the tokenizer gets at once, about; bytes of remembered words.
+PART = 1 << 16
+REMEMBER = 32 << 20
 _SPLIT = re.compile(r"'(?:[st]|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 
 
@@ -66,20 +71,21 @@ class ByteBpe:
 
     A text of usual characters is split at spaces and line ends, where a token always
     begins, and each part not met before is encoded with the vocabulary's ranks. Any
-    other text goes through the tokenizer itself.
+    other text, and one that holds an added token, goes through the tokenizer itself,
+    which is loaded when the first such text comes; long ones in parts that end at words.
     """
 
-    def __init__(self, path: str, remember: int = 250_000):
+    def __init__(self, path: str, remember: int = REMEMBER):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        self.path, self.whole = path, None
         symbols = _byte_of_symbol()
-        added = {t.content for t in self.whole.get_added_tokens_decoder().values()}
         with open(path, encoding="utf-8") as source:
-            vocabulary = json.load(source)["model"]["vocab"]
-        ranks = {bytes(symbols[c] for c in token): rank for token, rank in vocabulary.items() if token not in added}
+            file = json.load(source)
+        added = {t["content"] for t in file.get("added_tokens", [])}
+        self.added = re.compile("|".join(map(re.escape, sorted(added))) or r"(?!)")
+        ranks = {bytes(symbols[c] for c in token): rank for token, rank in file["model"]["vocab"].items() if token not in added}
+        del file
         merge = tiktoken.Encoding("bytes", pat_str=_SPLIT.pattern, mergeable_ranks=ranks,
                                   special_tokens={})._encode_single_piece
 
@@ -89,17 +95,36 @@ class ByteBpe:
         class Parts(dict):
             """By text between spaces; a part that begins a line keeps its line end, any other had a space before it."""
 
+            held = 0
+
             def __missing__(self, part):
-                if len(self) >= remember:
+                ids = encode(part if part[0] == "\n" else " " + part)
+                self.held += len(part) + len(ids) + 200  # about what an entry takes
+                if self.held > remember:
                     self.clear()
-                ids = self[part] = encode(part if part[0] == "\n" else " " + part)
+                    self.held = 0
+                self[part] = ids
                 return ids
 
         self.parts, self.part = Parts(), encode
 
+    def _by_tokenizer(self, text: str) -> bytes:
+        if self.whole is None:
+            from tokenizers import Tokenizer
+
+            self.whole = Tokenizer.from_file(self.path)
+        ids, start = [], 0
+        while start < len(text):
+            # before a single space between two words every split of the tokenizer has a border
+            border = _BETWEEN.search(text, start + PART) if len(text) - start > PART else None
+            end = border.start() if border else len(text)
+            ids.append(np.array(self.whole.encode(text[start:end], add_special_tokens=False).ids, "<u4").tobytes())
+            start = end
+        return b"".join(ids)
+
     def encode(self, text: str) -> bytes:
-        if _UNUSUAL.search(text):
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if _UNUSUAL.search(text) or self.added.search(text):
+            return self._by_tokenizer(text)
         if _SPACED.search(text):
             return self.part(text)
         first, *rest = text.replace("\n", " \n").split(" ")
@@ -125,6 +150,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
     end = np.array([END], "<u4").tobytes()
 
     def encode(batches):
+        free_memory()
         encoder = _encoder(path)
         for batch in batches:
             out = []
