@@ -113,3 +113,52 @@ def process(versions: DataFrame, runs: DataFrame, requests: DataFrame, creator:
 def published(versions: DataFrame) -> DataFrame:
     """Versions a job can refer to: all but drafts."""
     return versions.filter(F.col("status") != DRAFT)
+
+
+def accepted_changes(versions: DataFrame, changes: DataFrame) -> DataFrame:
+    """The changes that were made on the state they found, each with the ``seq`` it gets.
+
+    ``changes`` is (dataset, arrival, based_on, ...): ``based_on`` is the last seq its author had seen. In the
+    order of arrival a change is taken if that still is the last one, and becomes the next; any other
+    is stale and refused, its author has to look again. A dataset has a handful of changes.
+    """
+    heads = versions.groupBy("dataset").agg(F.max("seq").alias("_head"))
+    listed = changes.groupBy("dataset").agg(F.array_sort(F.collect_list(F.struct("arrival", "based_on"))).alias("_changes"))
+    none = F.struct(F.lit(0).cast("bigint").alias("taken"), F.array().cast("array<bigint>").alias("arrivals"))
+
+    def look(state, change):
+        fits = change["based_on"] == F.col("_head") + state["taken"]
+        return F.struct(
+            (state["taken"] + F.when(fits, 1).otherwise(0)).alias("taken"),
+            F.when(fits, F.array_append(state["arrivals"], change["arrival"].cast("bigint"))).otherwise(state["arrivals"]).alias("arrivals"))
+
+    taken = listed.join(heads, "dataset").select(
+        "dataset", "_head", F.posexplode(F.aggregate("_changes", none, look)["arrivals"]).alias("_place", "arrival"))
+    return changes.join(taken, ["dataset", "arrival"]).withColumn("seq", F.col("_head") + 1 + F.col("_place")).drop("_head", "_place")
+
+
+def replay(versions: DataFrame, changes: DataFrame, creator: str) -> DataFrame:
+    """The versions after all accepted changes, which a (kind, version) column pair describes.
+
+    ``publish`` makes a draft active and archives the version that was; the last accepted one wins, so at most
+    one is active. ``rollback`` appends a draft that copies a version. Stale changes leave no trace.
+    """
+    taken = accepted_changes(versions, changes)
+    drafts = versions.filter(F.col("status") == DRAFT).select("dataset", "version")
+    done = taken.filter(F.col("kind") == "publish").join(drafts, ["dataset", "version"], "left_semi")
+    last = done.groupBy("dataset").agg(F.max_by("version", "seq").alias("_active"))
+    once = done.select("dataset", "version", F.lit(True).alias("_published")).distinct()
+    status = (
+        F.when(F.col("version") == F.col("_active"), ACTIVE)
+        .when(F.col("_published") | (F.col("_active").isNotNull() & (F.col("status") == ACTIVE)), ARCHIVED)
+        .otherwise(F.col("status"))
+    )
+    kept = versions.join(last, "dataset", "left").join(once, ["dataset", "version"], "left").withColumn("status", status)
+    copied = taken.filter(F.col("kind") == "rollback").select("dataset", "version", "seq").join(
+        versions.select("dataset", "version", "recordings"), ["dataset", "version"])
+    numbered = _numbered(copied, "seq").join(next_versions(versions).withColumnRenamed("version", "_first").drop("seq"), "dataset")
+    added = numbered.select(
+        "dataset", "seq", _later("_first", "_turn").alias("version"), F.lit(DRAFT).alias("status"), "recordings",
+        F.concat(F.lit("rolled back from "), "version").alias("note"), F.lit(creator).alias("creator"))
+    names = ["dataset", "seq", "version", "status", "recordings", "note", "creator"]
+    return kept.select(*names).unionByName(added.select(*names))

@@ -68,13 +68,17 @@ class _Store:
         finally:
             stream.close()
 
-    def write_text(self, name: str, text: str) -> None:
-        stream = self.system.create(self._path(name), True)
+    def write_text(self, name: str, text: str, over: bool = True) -> None:
+        stream = self.system.create(self._path(name), over)
         try:
             stream.write(bytearray(text.encode()))
         finally:
             stream.close()
 
+    def create_text(self, name: str, text: str) -> None:
+        """Write a file that must not be there; fails if it is."""
+        self.write_text(name, text, over=False)
+
     def files(self, folder: str) -> Iterator[str]:
         """Files below a folder, one folder after another; nothing but names is asked for."""
         if not self.system.exists(self._path(folder)):

@@ -43,6 +43,47 @@ def ver3(spark, d):
     return versions.rollback(v.versions(spark, d), v.requests(spark, d), "operator").select(*VERSION_COLUMNS.split(", "))
 
 
+#: Per dataset, in the order of arrival: a publish and a rollback made on the same state, a change made on what the first
+#: left, one made on an old state, one made too early and one made on the last state.
+CHANGES = [(1, 0, "publish", "hi"), (2, 0, "rollback", "lo"), (3, 1, "rollback", "lo"), (4, -1, "publish", "lo"), (5, 3, "rollback", "hi"), (6, 2, "rollback", "hi")]
+VIEWS["fx_changes"] = f"""
+SELECT m.dataset, c.arrival, m.hi + c.step AS based_on, c.kind, CASE c.which WHEN 'hi' THEN m.high ELSE m.low END AS version
+FROM (SELECT dataset, dataset_id, max(seq) AS hi, max_by(version, seq) AS high, min_by(version, seq) AS low FROM fx_versions GROUP BY dataset, dataset_id) m
+JOIN (VALUES {', '.join(map(str, CHANGES))}) AS c(arrival, step, kind, which) ON (m.dataset_id + c.arrival) % 4 <> 0"""
+VIEWS["fx_taken"] = """
+SELECT c.dataset, c.arrival, c.kind, c.version, t.head AS seq FROM (
+  WITH RECURSIVE t(dataset, head, arrival) AS (SELECT dataset, max(seq), 0 FROM fx_versions GROUP BY dataset UNION ALL
+    SELECT dataset, head, arrival FROM (SELECT t.dataset, t.head + 1 AS head, (SELECT min(c.arrival) FROM fx_changes c WHERE c.dataset = t.dataset
+      AND c.based_on = t.head AND c.arrival > t.arrival) AS arrival FROM t) n WHERE arrival IS NOT NULL) SELECT * FROM t) t
+JOIN fx_changes c ON c.dataset = t.dataset AND c.arrival = t.arrival"""
+
+
+def changes(spark, d):
+    rows = v.versions(spark, d).groupBy("dataset").agg(
+        F.max("seq").alias("top"), F.max_by("version", "seq").alias("hi"), F.min_by("version", "seq").alias("lo"))
+    steps = F.explode(F.array(*[F.struct(F.lit(a).alias("arrival"), F.lit(s).alias("step"), F.lit(k).alias("kind"), F.lit(w).alias("which"))
+                                for a, s, k, w in CHANGES])).alias("c")
+    owner = F.substring("dataset", 3, 20).cast("bigint")
+    return rows.select("*", steps).filter((owner + F.col("c.arrival")) % 4 != 0).select(
+        "dataset", F.col("c.arrival").cast("bigint").alias("arrival"), (F.col("top") + F.col("c.step")).alias("based_on"), F.col("c.kind").alias("kind"),
+        F.when(F.col("c.which") == "hi", F.col("hi")).otherwise(F.col("lo")).alias("version"))
+
+
+@query("VER2_log", "SELECT dataset, arrival, kind, version, seq FROM fx_taken")
+def ver2_log(spark, d):
+    return versions.accepted_changes(v.versions(spark, d), changes(spark, d)).drop("based_on")
+
+
+@query("VER3_log", f"""SELECT x.dataset, x.seq, x.version, CASE WHEN p.version IS NULL THEN x.status WHEN x.version = p.version THEN 'active' WHEN x.status = 'active' THEN 'archived'
+  ELSE x.status END AS status, recordings, note, creator FROM fx_versions x LEFT JOIN (SELECT t.dataset, t.version FROM fx_taken t JOIN fx_versions y ON y.dataset = t.dataset
+    AND y.version = t.version AND y.status = 'draft' WHERE t.kind = 'publish') p ON p.dataset = x.dataset
+  UNION ALL SELECT t.dataset, t.seq, concat('v', CAST(m.hi + row_number() OVER (PARTITION BY t.dataset ORDER BY t.seq) AS VARCHAR)), 'draft', x.recordings,
+    concat('rolled back from ', t.version), 'operator' FROM fx_taken t JOIN fx_versions x ON x.dataset = t.dataset AND x.version = t.version
+  JOIN (SELECT dataset, max(seq) AS hi FROM fx_versions GROUP BY dataset) m ON m.dataset = t.dataset WHERE t.kind = 'rollback'""")
+def ver3_log(spark, d):
+    return versions.replay(v.versions(spark, d), changes(spark, d), "operator")
+
+
 def processed(spark, d):
     rows = v.versions(spark, d)
     wanted = v.requests(spark, d).select(
