@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracemill.functions.numbers import frames_of, pct, share
+from tracemill.operators.lake import export_selection
 from tracemill.operators.positions import sorted_position
 
 
@@ -132,6 +133,16 @@ def feature_groups(collections: DataFrame, hashed) -> DataFrame:
     return rows.select("features_hash", F.size("features").cast("bigint").alias("n_features"), "collection_id").distinct()
 
 
+def feature_group_recordings(groups: DataFrame, recordings: DataFrame, **filters) -> DataFrame:
+    """Recordings an export of each feature group takes: (features_hash, n_features, collection_id, recording_id).
+
+    A group names whole collections; the filters of an export (devices, operators, dates and the rest of
+    ``export_selection``) are applied to their recordings again, so no collection is taken whole by itself.
+    """
+    chosen = export_selection(recordings, **filters).select("collection_id", "recording_id")
+    return groups.select("features_hash", "n_features", "collection_id").join(chosen, "collection_id")
+
+
 def feature_group_names(groups: DataFrame) -> DataFrame:
     """One export directory per feature set: ``dataset_{i}_{n}_{hash}``.
 

@@ -316,6 +316,26 @@ def dom14_annotated(spark, d):
     return export_frames(export.export_dataset(users, episodes, frames, mode="annotated", annotations=v.annotations(spark, d), info=v.settings(spark, d)))
 
 
+@query("FLT6_pinned", """WITH u AS (SELECT DISTINCT user_id AS recording_id FROM events ORDER BY 1 LIMIT 60),
+ f AS (SELECT c.* FROM fx_covered c JOIN u ON u.recording_id = c.recording_id WHERE c.rn = 1),
+ w AS (SELECT dataset, action, row_number() OVER (PARTITION BY dataset ORDER BY action) AS idx FROM (SELECT DISTINCT a.dataset, a.action FROM fx_actions a JOIN u ON u.recording_id = a.recording_id) x)
+ SELECT f.dataset, f.recording_id, f.frame_index, s.ep AS episode_index, CAST(s.start + f.frame_index AS BIGINT) AS index,
+  CASE WHEN f.recording_id % 10 = 0 THEN f.task_index ELSE coalesce(w.idx, 0) END AS task_index FROM f
+  JOIN (SELECT dataset, recording_id, CAST(row_number() OVER p - 1 AS BIGINT) AS ep, coalesce(sum(n) OVER (p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+    FROM (SELECT dataset, recording_id, count(*) AS n FROM f GROUP BY 1, 2) q WINDOW p AS (PARTITION BY dataset ORDER BY recording_id)) s ON s.recording_id = f.recording_id
+  LEFT JOIN w ON w.dataset = f.dataset AND w.action = f.action""")
+def flt6_pinned(spark, d):
+    """The first 60 recordings, labelled by the pinned version of their annotations although there is a newer one."""
+    users = v.table(spark, d, "events").select(*v._motion_keys()).distinct()
+    episodes = users.withColumn("episode_index", F.col("recording_id")).withColumn("length", F.lit(0).cast("bigint"))
+    pinned = v.annotations(spark, d).withColumn("version", F.lit(1))
+    newer = pinned.withColumn("version", F.lit(2)).withColumn("actions", F.transform(
+        "actions", lambda a: a.withField("action_english", F.concat(F.lit("later "), a["action_english"]))))
+    return export_frames(export.export_dataset(
+        users, episodes, v.motion_frames(spark, d), mode="annotated", annotations=pinned.unionByName(newer), info=v.settings(spark, d),
+        annotation_version=1, limit=60))
+
+
 @query("SET2_frames", """SELECT 'all' AS dataset, f.recording_id, f.frame_index, s.ep AS episode_index, CAST(s.start + f.frame_index AS BIGINT) AS index FROM fx_frames f
   JOIN (SELECT e.recording_id, e.ep, coalesce(sum(l.n) OVER (ORDER BY e.ep ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM
     (SELECT recording_id, CAST(row_number() OVER (ORDER BY recording_id) - 1 AS BIGINT) AS ep FROM fx_episodes) e JOIN fx_lengths l ON l.recording_id = e.recording_id) s ON s.recording_id = f.recording_id""")

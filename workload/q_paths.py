@@ -145,6 +145,18 @@ def agg20_names(spark, d):
     return compose.feature_group_names(groups).select("n_features", "collections")
 
 
+@query("AGG20_export", f"""SELECT length(c.x) AS n_features, r.collection_id, r.recording_id, min(r.recording_id) OVER (PARTITION BY c.x) AS first_recording
+  FROM (SELECT {FEATURE_SQL} AS x, c_custkey AS collection_id FROM customer) c JOIN fx_recordings r ON r.collection_id = c.collection_id
+  WHERE c.x <> '' AND r.qa = 'pass' AND r.device = 'dev_a' AND r.operator IN ('op_a', 'op_b')
+    AND r.collected_at >= TIMESTAMP '1995-01-01 00:00:00' AND r.collected_at < TIMESTAMP '1998-01-01 00:00:00'""")
+def agg20_export(spark, d):
+    groups = compose.feature_groups(collections(spark, d), numbers.features_hash)
+    taken = compose.feature_group_recordings(
+        groups, v.recordings(spark, d), devices=["dev_a"], operators=["op_a", "op_b"], from_date="1995-01-01", to_date="1997-12-31")
+    first = taken.groupBy("features_hash").agg(F.min("recording_id").alias("first_recording"))
+    return taken.join(first, "features_hash").drop("features_hash")
+
+
 @query("FN17", """SELECT dataset, concat('v', CAST(max(seq) + 1 AS VARCHAR)) AS next FROM fx_versions GROUP BY dataset""")
 def fn17(spark, d):
     from tracemill.operators import versions
