@@ -182,3 +182,18 @@ def test_several_requests_for_one_dataset(table):
     assert rows(made, "dataset", "seq", "version", "recordings") == [
         ("d", 11, "v11", 5), ("d", 12, "v12", 4), ("e", 2, "first.1", 6), ("e", 3, "first.2", 7)]
     assert records.select("run_id").distinct().count() == 4
+
+
+def test_keyset_pages_equal_pages_with_ties(table):
+    """Many rows share a time; every page, the short last one and pages beyond it."""
+    import datetime
+
+    moments = [datetime.datetime(2024, 1, 1 + (n * n) % 3, (n % 5) // 4) for n in range(95)]
+    df = table([(n * 7 % 95, t) for n, t in enumerate(moments)] + [(200, None)], "recording_id bigint, at timestamp_ntz").repartition(4)
+    known = df.filter("at IS NOT NULL")
+    for number in (0, 1, 4, 5, 9, 10):
+        got = [tuple(r) for r in lake.keyset_page(df, number, "at", "recording_id", 10).collect()]
+        assert got == [tuple(r) for r in lake.page(known, number, "at", "recording_id", 10).collect()]
+        assert len(got) == (10 if number < 9 else 5 if number == 9 else 0)
+    plan = lake.keyset_page(df, 9, "at", "recording_id", 10)._jdf.queryExecution().optimizedPlan().toString()
+    assert "GlobalLimit" in plan and "Window" not in plan

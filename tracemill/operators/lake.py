@@ -141,6 +141,41 @@ def with_page(df: DataFrame, at: str, tie: str, size: int = 20) -> DataFrame:
     return placed.withColumn("page", F.floor(F.col("place") / size).cast("bigint"))
 
 
+def _key_at(df: DataFrame, at: str, tie: str, place: int):
+    """The composite key (time, tie) of the row at a place from 1, newest first; null beyond the last row."""
+    micros = F.unix_micros(F.col(at).cast("timestamp"))
+    falling, before = nth_smallest(df.select((-micros).alias("key")), "key", place)
+    if falling is None:
+        return None
+    same = df.filter(F.col(at) == F.timestamp_micros(F.lit(-falling)).cast(df.schema[at].dataType))
+    return -falling, nth_smallest(same.select(tie), tie, place - before)[0]
+
+
+def keyset_page(df: DataFrame, number: int, at: str, tie: str, size: int = 20) -> DataFrame:
+    """One page (from 0) of the newest-first result, as a range of the composite key (time, tie).
+
+    The keys of its first and last row are found by counting rows per bin of time, and of the tie where many
+    rows share one time, so the last page costs what the first one does: nothing is sorted but the page
+    itself, and its time range reaches the scan. ``tie`` is a unique integer; rows without a time are on
+    no page. Starts a few jobs, each of which brings bounded counts to the driver.
+    """
+    first = _key_at(df, at, tie, number * size + 1)
+    if first is None:
+        return df.limit(0)
+    last = _key_at(df, at, tie, (number + 1) * size)
+    kind = df.schema[at].dataType
+
+    def moment(key):
+        return F.timestamp_micros(F.lit(key[0])).cast(kind)
+
+    inside = (F.col(at) < moment(first)) | ((F.col(at) == moment(first)) & (F.col(tie) >= first[1]))
+    kept = df.filter((F.col(at) <= moment(first)) & inside)
+    if last is not None:
+        kept = kept.filter((F.col(at) >= moment(last)) & ((F.col(at) > moment(last)) | (F.col(tie) <= last[1])))
+    # at most one page is left, or the rest of the last one
+    return newest_first(kept, at, tie).limit(size)
+
+
 def latest_annotation(annotations: DataFrame, keys, version: str, pinned=None) -> DataFrame:
     """The newest annotation per recording, or the pinned version where given.
 

@@ -151,6 +151,12 @@ def w4(spark, d):
     return lake.with_page(rows, "collected_at", "recording_id").select("recording_id", "qa", "page")
 
 
+@query("W4_keyset", """SELECT recording_id, qa FROM fx_recordings WHERE type = 'normal' ORDER BY collected_at DESC, recording_id LIMIT 50 OFFSET 400""")
+def w4_keyset(spark, d):
+    rows = lake.query_recordings(v.recordings(spark, d), types=["normal"]).select("recording_id", "qa", "collected_at")
+    return lake.keyset_page(rows, 8, "collected_at", "recording_id", 50).select("recording_id", "qa")
+
+
 @query("W4_page", """SELECT recording_id, qa FROM fx_recordings WHERE type = 'dagger' ORDER BY collected_at DESC, recording_id LIMIT 20 OFFSET 60""")
 def w4_page(spark, d):
     rows = lake.query_recordings(v.recordings(spark, d), types=["dagger"])
