@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from tracemill.functions import numbers, recordings as rec, text
-from tracemill.operators import indices, lake, registry
+from tracemill.operators import indices, lake, registry, tag_index
+from tracemill.session import materialise
 from workload import views as v
 from workload.registry import query
 
@@ -31,6 +32,28 @@ def flt3(spark, d):
     return lake.query_recordings(v.recordings(spark, d), tags=["do_grasp", "q_review"], tag_mode="all").select(*COLUMNS)
 
 
+def indexed(spark, d):
+    """The tag index of all recordings, written once."""
+    return materialise(tag_index.tag_index(v.recordings(spark, d)))
+
+
+@query("FLT2_index", same="FLT2")
+def flt2_index(spark, d):
+    chosen = tag_index.any_of(indexed(spark, d), ["do_fill", "q_review"])
+    return tag_index.having(v.recordings(spark, d), chosen).select(*COLUMNS)
+
+
+@query("FLT3_index", same="FLT3")
+def flt3_index(spark, d):
+    chosen = tag_index.all_of(indexed(spark, d), ["do_grasp", "q_review"])
+    return tag_index.having(v.recordings(spark, d), chosen).select(*COLUMNS)
+
+
+@query("AGG13_index", "SELECT tag, count(*) AS episodes FROM (SELECT DISTINCT recording_id, unnest(tags) AS tag FROM fx_recordings) t GROUP BY tag")
+def agg13_index(spark, d):
+    return tag_index.tag_totals(indexed(spark, d))
+
+
 @query("FLT4", SELECTED + " WHERE strftime(collected_at, '%Y-%m-%d') >= '1997-03-01' AND strftime(collected_at, '%Y-%m-%d') <= '1997-09-30'")
 def flt4(spark, d):
     return lake.query_recordings(v.recordings(spark, d), first_day="1997-03-01", last_day="1997-09-30").select(*COLUMNS)
