@@ -82,3 +82,13 @@ def test_edge_rows(edge, empty):
             end += length
         assert end <= 64
     assert packing.pack(packing.pieces(empty)).count() == 0
+
+
+def test_sequences_are_near_the_bound(spark):
+    """No packing has fewer sequences than the tokens fill."""
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    packed = packing.pack(packing.pieces(docs))
+    found, tokens = packed.agg(F.count_distinct("sequence_id"), F.sum("length")).first()
+    assert -(-tokens // packing.CAPACITY) <= found <= 1.005 * tokens / packing.CAPACITY + 1
