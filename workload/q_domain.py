@@ -21,10 +21,15 @@ FROM fx_motion_frames f JOIN fx_settings c ON c.dataset = f.dataset LEFT JOIN fx
   AND f.frame_index BETWEEN floor(a.start_time * c.fps) AND ceil(a.end_time * c.fps)"""
 
 
+def derived_motion(spark, d):
+    """The derived frames, written first, as they are counted and labelled."""
+    return materialise(v.motion_frames(spark, d))
+
+
 @query("J5", "SELECT dataset, recording_id, frame_index, action AS task FROM fx_covered WHERE rn = 1")
 def j5(spark, d):
     actions = relabel.annotation_actions(v.annotations(spark, d))
-    return relabel.frame_actions(v.motion_frames(spark, d), actions, v.settings(spark, d)).drop("task_index")
+    return relabel.frame_actions(derived_motion(spark, d), actions, v.settings(spark, d)).drop("task_index")
 
 
 @query("DOM6", """SELECT c.dataset, c.recording_id, c.frame_index, CASE WHEN c.recording_id % 10 = 0 THEN c.task_index ELSE coalesce(w.idx, 0) END AS task_index
@@ -33,7 +38,7 @@ def j5(spark, d):
 def dom6(spark, d):
     notes = v.annotations(spark, d)
     words = relabel.task_vocabulary(relabel.annotation_actions(notes))
-    return relabel.relabel_by_annotation(v.motion_frames(spark, d), notes, words, v.settings(spark, d))
+    return relabel.relabel_by_annotation(derived_motion(spark, d), notes, words, v.settings(spark, d))
 
 
 @query("W3", """SELECT dataset, CAST(0 AS BIGINT) AS task_index, 'unknown' AS task FROM fx_datasets UNION ALL
