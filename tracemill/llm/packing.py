@@ -49,7 +49,7 @@ _SPACED = ("  ", "\n\n", " \n", "\n ", "\t")
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 #: Characters that the tokenizer gets at once, about; bytes of remembered words.
 PART = 1 << 16
-REMEMBER = 64 << 20
+REMEMBER = 32 << 20
 _SPLIT = re.compile(r"'(?:[st]|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 
 
