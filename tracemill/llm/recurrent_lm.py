@@ -92,6 +92,14 @@ class Vocabulary:
         self.class_at = np.searchsorted(self.word_class, np.arange(self.word_class[-1] + 2))
         self.log_mass = np.log(mass / mass.sum())
 
+    def numbers(self, hashes: np.ndarray) -> np.ndarray:
+        """Number of each token, 0 for those not known by name."""
+        if not len(self.named):
+            return np.zeros(len(hashes), np.int64)
+        own = np.sort(self.named)
+        place = np.minimum(np.searchsorted(self.token[own], hashes), len(own) - 1)
+        return np.where(self.token[own][place] == hashes, self.number[own][place], 0)
+
     def places(self, hashes: np.ndarray) -> np.ndarray:
         """Place of each token among the frequent ones, or their number if it is not there."""
         if not len(self.token):
@@ -120,21 +128,26 @@ def _sigmoid(x):
 
 
 def _cell(from_input, state, weights):
-    """One step: gates and the new state."""
-    from_state = state @ weights["state"]
+    """One step: gates and the new state. Arrays are held column by column, so a gate is one piece of memory."""
+    from_state = (weights["state"].T @ state.T).T
     gates = _sigmoid(from_input[:, :2 * HIDDEN] + from_state[:, :2 * HIDDEN])
-    keep, reset = gates[:, :HIDDEN], gates[:, HIDDEN:]
-    new = np.tanh(from_input[:, 2 * HIDDEN:] + reset * from_state[:, 2 * HIDDEN:])
-    return keep, reset, new, from_state[:, 2 * HIDDEN:], new + keep * (state - new)
+    keep, reset, inner = gates[:, :HIDDEN], gates[:, HIDDEN:], from_state[:, 2 * HIDDEN:]
+    new = np.tanh(from_input[:, 2 * HIDDEN:] + reset * inner)
+    return keep, reset, new, inner, new + keep * (state - new)
+
 
+def _bounded(weights, names: tuple[str, str], axis: int) -> bool:
+    """Whether no score of a state, whose parts are between -1 and 1, overflows when raised."""
+    return bool((np.abs(weights[names[0]]).sum(axis) + np.abs(weights[names[1]])).max() < 60)
 
-def _softmax_at(scores, column):
+
+def _softmax_at(scores, column, bounded):
     """Log probability of one column per row, and all probabilities; overwrites ``scores``."""
-    rows = np.arange(len(scores))
-    scores -= scores.max(1, keepdims=True)
-    chosen = scores[rows, column]
+    if not bounded:
+        scores -= scores.max(1, keepdims=True)
+    chosen = scores[np.arange(len(scores)), column]
     np.exp(scores, out=scores)
-    total = scores.sum(1)
+    total = scores @ np.ones(scores.shape[1], scores.dtype)
     return chosen - np.log(total), scores, total
 
 
@@ -145,25 +158,37 @@ def _error(exponents, total, column):
     return exponents
 
 
+def _by_class(target, vocabulary):
+    return np.argsort(vocabulary.word_class[target].astype(np.uint16), kind="stable")
+
+
 def _output(states, target, weights, vocabulary, gradients=None):
-    """Log probability of each target; adds to ``gradients`` and returns those of the states too."""
+    """Log probability of each target; adds to ``gradients`` and returns those of the states too.
+    Targets in the order of their classes need no sorting here."""
     which = vocabulary.word_class[target]
-    logs, exponents, total = _softmax_at(states @ weights["classes"] + weights["class_bias"], which)
+    if (which[1:] < which[:-1]).any():
+        order = _by_class(target, vocabulary)
+        ordered = _output(states[order], target[order], weights, vocabulary, gradients)
+        back_to = np.argsort(order)
+        return tuple(None if x is None else x[back_to] for x in ordered)
+    logs, exponents, total = _softmax_at(states @ weights["classes"] + weights["class_bias"], which,
+                                         _bounded(weights, ("classes", "class_bias"), 0))
     back = None
     if gradients is not None:
         error = _error(exponents, total, which)
         gradients["classes"] += states.T @ error
-        gradients["class_bias"] += error.sum(0)
+        gradients["class_bias"] += np.ones(len(error), error.dtype) @ error
         back = error @ weights["classes"].T
-    order = np.argsort(which.astype(np.uint16), kind="stable")
-    cuts = np.searchsorted(which[order], np.arange(len(vocabulary.class_at)))
+    bounded = _bounded(weights, ("words", "word_bias"), 1)
+    cuts = np.searchsorted(which, np.arange(len(vocabulary.class_at)))
     for c in np.flatnonzero(np.diff(cuts)).tolist():
         a, b = vocabulary.class_at[c], vocabulary.class_at[c + 1]
         if b - a == 1:
             continue
-        own = order[cuts[c]:cuts[c + 1]]
+        own = slice(cuts[c], cuts[c + 1])
         held, word = states[own], target[own] - a
-        in_class, exponents, total = _softmax_at(held @ weights["words"][a:b].T + weights["word_bias"][a:b], word)
+        in_class, exponents, total = _softmax_at(
+            held @ weights["words"][a:b].T + weights["word_bias"][a:b], word, bounded)
         logs[own] += in_class
         if gradients is not None:
             error = _error(exponents, total, word)
@@ -175,37 +200,43 @@ def _output(states, target, weights, vocabulary, gradients=None):
 
 def _window(given, target, fresh, counted, state, weights, vocabulary):
     """Forward and backward over one window; returns gradients and the last state."""
-    steps, kept, states = given.shape[1], [], []
+    (lanes, steps), kind = given.shape, state.dtype
+    table = np.ascontiguousarray((weights["embed"] @ weights["into"] + weights["bias"]).T)
+    going, kept, states = ~fresh, [], np.empty((steps, HIDDEN, lanes), kind)
     for t in range(steps):
-        before = state * ~fresh[:, t, None]
-        seen = weights["embed"][given[:, t]]
-        keep, reset, new, inner, state = _cell(seen @ weights["into"] + weights["bias"], before, weights)
-        kept.append((before, seen, keep, reset, new, inner))
-        states.append(state)
+        before = state * going[:, t, None]
+        *gates, state = _cell(table[:, given[:, t]].T, before, weights)
+        kept.append((before, *gates))
+        states[t] = state.T
     gradients = {k: np.zeros_like(v) for k, v in weights.items()}
-    flat, goal = np.concatenate(states), target.T.ravel()
+    flat, goal = states.transpose(0, 2, 1).reshape(-1, HIDDEN), target.T.ravel()
     used = np.flatnonzero(counted.T.ravel())
+    used = used[_by_class(goal[used], vocabulary)]
     back = np.zeros_like(flat)
-    back[used] = _output(flat[used], goal[used], weights, vocabulary, gradients)[1]
-    back = back.reshape(steps, -1, HIDDEN)
-    ahead, to_embed = np.zeros_like(state), np.empty((steps, len(state), HIDDEN), np.float32)
+    back[used] = _output(np.take(flat, used, axis=0), goal[used], weights, vocabulary, gradients)[1]
+    back = np.ascontiguousarray(back.reshape(steps, lanes, HIDDEN).transpose(0, 2, 1))
+    ahead, d_input = np.zeros_like(state), np.empty((steps, 3 * HIDDEN, lanes), kind)
+    d_state = np.empty((3 * HIDDEN, lanes), kind).T
     for t in range(steps - 1, -1, -1):
-        before, seen, keep, reset, new, inner = kept[t]
-        error = back[t] + ahead
+        before, keep, reset, new, inner = kept[t]
+        error, d = back[t].T + ahead, d_input[t].T
         d_new = error * (1 - keep) * (1 - new * new)
-        d_keep = error * (before - new) * keep * (1 - keep)
-        d_reset = d_new * inner * reset * (1 - reset)
-        d_input = np.concatenate([d_keep, d_reset, d_new], axis=1)
-        d_state = np.concatenate([d_keep, d_reset, d_new * reset], axis=1)
+        d[:, :HIDDEN] = error * (before - new) * keep * (1 - keep)
+        d[:, HIDDEN:2 * HIDDEN] = d_new * inner * reset * (1 - reset)
+        d[:, 2 * HIDDEN:] = d_new
+        d_state[:, :2 * HIDDEN] = d[:, :2 * HIDDEN]
+        d_state[:, 2 * HIDDEN:] = d_new * reset
         gradients["state"] += before.T @ d_state
-        gradients["into"] += seen.T @ d_input
-        gradients["bias"] += d_input.sum(0)
-        to_embed[t] = d_input @ weights["into"].T
-        ahead = (error * keep + d_state @ weights["state"].T) * ~fresh[:, t, None]
-    words = given.T.ravel()
+        ahead = (error * keep + (weights["state"] @ d_state.T).T) * going[:, t, None]
+    d_input, words = d_input.transpose(0, 2, 1).reshape(-1, 3 * HIDDEN), given.T.ravel().astype(np.uint16)
+    gradients["bias"] += np.ones(len(d_input), kind) @ d_input
+    # sums by word serve both the embedding and what follows it
     order = np.argsort(words, kind="stable")
-    first = np.flatnonzero(np.concatenate([[True], np.diff(words[order]) != 0]))
-    gradients["embed"][words[order][first]] = np.add.reduceat(to_embed.reshape(-1, HIDDEN)[order], first, axis=0)
+    words = words[order]
+    first = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
+    seen, by_word = words[first], np.add.reduceat(np.take(d_input, order, axis=0), first, axis=0)
+    gradients["into"] += weights["embed"][seen].T @ by_word
+    gradients["embed"][seen] = by_word @ weights["into"].T
     return {k: g / max(1, len(used)) for k, g in gradients.items()}, state
 
 
@@ -229,7 +260,7 @@ class Trainer:
         counted, fresh = np.arange(n) < len(numbers), np.zeros(n, bool)
         fresh[at[:-1]] = True
         given, target, counted, fresh = (x.reshape(lanes, length) for x in (given, target, counted, fresh))
-        state = np.zeros((lanes, HIDDEN), np.float32)
+        state = np.zeros((HIDDEN, lanes), np.float32).T
         for t in range(0, length, STEPS):
             part = slice(t, t + STEPS)
             gradients, state = _window(given[:, part], target[:, part], fresh[:, part], counted[:, part], state,
@@ -250,22 +281,24 @@ def log_likelihood(numbers: np.ndarray, at: np.ndarray, weights, vocabulary: Voc
     """Natural log probability of each token; the state runs through each whole text."""
     given = np.concatenate([[vocabulary.end], numbers[:-1]])
     given[at[:-1]] = vocabulary.end
-    from_input = weights["embed"] @ weights["into"] + weights["bias"]
+    from_input = np.ascontiguousarray((weights["embed"] @ weights["into"] + weights["bias"]).T)
     lengths = np.diff(at)
     order = np.argsort(-lengths, kind="stable")
     starts, lengths = at[:-1][order], lengths[order]
     alive = np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1), side="right") if len(lengths) else []
-    state = np.zeros((len(lengths), HIDDEN), np.float32)
+    state = np.zeros((HIDDEN, len(lengths)), np.float32).T
     logs, rows_kept, states_kept, held = np.empty(len(numbers), np.float32), [], [], 0
     for t, n in enumerate(alive):
         rows = starts[:n] + t
-        state = _cell(from_input[given[rows]], state[:n], weights)[-1]
+        state = _cell(np.take(from_input, given[rows], axis=1).T, state[:n], weights)[-1]
         rows_kept.append(rows)
         states_kept.append(state)
         held += n
         if held >= 1 << 16 or t == len(alive) - 1:
             rows = np.concatenate(rows_kept)
-            logs[rows] = _output(np.concatenate(states_kept), numbers[rows], weights, vocabulary)[0]
+            order = _by_class(numbers[rows], vocabulary)
+            rows, states = rows[order], np.take(np.concatenate(states_kept), order, axis=0)
+            logs[rows] = _output(states, numbers[rows], weights, vocabulary)[0]
             rows_kept, states_kept, held = [], [], 0
     return logs
 
@@ -290,7 +323,7 @@ def _learner(shared):
             texts = [t or "" for t in frame["text"]]
             for a, b in batches(texts, CHUNK):
                 hashes, at = tokens(texts[a:b])
-                trainer.learn(vocabulary.number[vocabulary.places(hashes)], at)
+                trainer.learn(vocabulary.numbers(hashes), at)
         if trainer.seen:
             yield pd.DataFrame({"seen": [float(trainer.seen)], "weights": [_pack(trainer.weights)]})
 

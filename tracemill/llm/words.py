@@ -11,7 +11,7 @@ import numpy as np
 
 _IN_WORD = np.zeros(256, bool)
 _IN_WORD[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
-_POWERS = np.cumprod(np.full(4096, 0x9E3779B97F4A7C15, np.uint64))
+_FACTOR = 0x9E3779B97F4A7C15
 #: Bytes hashed in one go; a longer text is cut between words.
 SLICE = 1 << 18
 
@@ -23,6 +23,16 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The factor to the powers of 1 to ``n``, and to 0 to ``1 - n``, modulo 2^64."""
+    back = np.full(n, pow(_FACTOR, -1, 1 << 64), np.uint64)
+    back[:1] = 1
+    return np.cumprod(np.full(n, _FACTOR, np.uint64)), np.cumprod(back)
+
+
+_POWERS = _powers(SLICE + 4096)
+
+
 def _slices(data: np.ndarray, in_word: np.ndarray):
     start = 0
     while start < len(data):
@@ -43,16 +53,15 @@ def word_hashes(texts: list[str], ascii_case: bool = False, in_word: np.ndarray
     data = np.frombuffer(b" ".join(raw) + b" ", np.uint8) if raw else np.zeros(0, np.uint8)
     hashes, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for offset, part in _slices(data, in_word):
-        inside = in_word[part]
-        if not inside.any():
+        edge = np.diff(in_word[part].view(np.int8), prepend=0, append=0)
+        starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        if not len(starts):
             continue
-        edge = np.diff(inside.astype(np.int8), prepend=0)
-        starts = np.flatnonzero(edge == 1)
-        chars = np.flatnonzero(inside)
-        word = np.cumsum(edge[chars] == 1) - 1
-        terms = (part[chars].astype(np.uint64) + np.uint64(1)) * _POWERS[(chars - starts[word]) % len(_POWERS)]
-        first = np.flatnonzero(edge[chars] == 1)
-        hashes.append(mix(np.add.reduceat(terms, first)))
+        # a word's polynomial is the difference of two running sums, brought back to power 1 at its start
+        up, back = _POWERS if len(part) <= len(_POWERS[0]) else _powers(len(part))
+        running = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[:len(part)], out=running[1:])
+        hashes.append(mix((running[ends] - running[starts]) * back[starts]))
         places.append(starts + offset)
     hashes, places = np.concatenate(hashes), np.concatenate(places)
     return hashes, np.searchsorted(places, bounds)
