@@ -4,11 +4,12 @@
    an anchor. The anchor and the bytes that follow (or precede) it in all windows that begin
    near (or far) before it must be found in two documents; other windows are set aside.
 2. The runs of windows that share an anchor go to the shard of the anchor, equal runs only
-   once with the smallest id. An anchor with very many different runs is spread: its windows
-   go to the shard of their own hash one by one.
-3. A shard joins its runs to one text, builds its suffix array by induced sorting and the
-   permuted common prefixes. Neighbours that share ``width`` bytes are one group, and each
-   window learns the smallest id of its group.
+   once with the smallest id. The windows of an anchor with very many different runs are
+   compared one by one instead, by an aggregate that counts before it moves rows.
+3. A shard joins the runs of anchors that have different runs to one text, builds its suffix
+   array by induced sorting and the permuted common prefixes. Neighbours that share ``width``
+   bytes are one group, and each window learns the smallest id of its group. The only run of
+   an anchor shares no window with another run, so its own smallest id is known.
 4. Runs report to the documents they stand in; windows whose smallest id is smaller than the
    document's own are removed.
 
@@ -106,20 +107,31 @@ def _shard(width: int):
     """Intervals of windows of each run with the same smallest id, where that is not the only one."""
 
     def solve(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["run", "offset"])
-        out = []
-        found = smallest_ids([bytes(b) for b in frame["bytes"]], frame["doc_id"].to_numpy(), width)
-        for run, offset, own, docs, least in zip(
-                *(frame[c].tolist() for c in ("run", "offset", "doc_id", "docs")), found):
+        alone = ~frame["anchor"].duplicated(keep=False)
+        known = frame[alone & (frame["docs"] > 1)]
+        out = list(zip(known["run"], [0] * len(known), known["bytes"].map(len) - width, known["doc_id"]))
+        frame = frame[~alone].sort_values("run")
+        found = smallest_ids([bytes(b) for b in frame["bytes"]], frame["doc_id"].to_numpy(), width) if len(frame) else []
+        for run, own, docs, least in zip(*(frame[c].tolist() for c in ("run", "doc_id", "docs")), found):
             if docs == 1 and (least >= own).all():
                 continue
             cuts = np.concatenate([[0], np.flatnonzero(np.diff(least)) + 1, [len(least)]])
-            out += [(run, offset + int(a), offset + int(b) - 1, int(least[a])) for a, b in zip(cuts[:-1], cuts[1:])]
+            out += [(run, int(a), int(b) - 1, int(least[a])) for a, b in zip(cuts[:-1], cuts[1:])]
         return pd.DataFrame(out, columns=["run", "low", "high", "least"])
 
     return solve
 
 
+def _by_window(runs: DataFrame, width: int) -> DataFrame:
+    """What :func:`_shard` gives, for runs of hot anchors: one row per window, the smallest id by an aggregate."""
+    places = F.sequence(F.lit(0).cast("long"), F.octet_length("bytes").cast("long") - width)
+    windows = runs.select("run", "doc_id", "docs", "bytes", F.explode(places).alias("low")).select(
+        "run", "doc_id", "docs", "low", F.expr(f"substring(bytes, int(low) + 1, {width})").alias("window"))
+    least = windows.groupBy("window").agg(F.min("doc_id").alias("least"))
+    return spread_join(windows, least, ["window"], "run").filter("docs > 1 OR least < doc_id").select(
+        "run", "low", F.col("low").alias("high"), "least")
+
+
 def _union(starts: np.ndarray, ends: np.ndarray):
     """Maximal runs covered by the intervals; touching ones are one run."""
     order = np.argsort(starts, kind="stable")
@@ -155,17 +167,12 @@ def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.min("anchor").alias("anchor"), F.min("doc_id").alias("doc_id"), F.max("bytes").alias("bytes"),
         F.when(F.min("doc_id") == F.max("doc_id"), 1).otherwise(2).alias("docs")))
     hot = materialise(distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > spread).select("anchor"))
-    alone = F.array(F.struct(F.lit(0).alias("offset"), F.col("bytes"), F.col("anchor")))
-    window = lambda at: F.substring(F.col("bytes"), at + 1, F.lit(width))
-    each = F.transform(F.sequence(F.lit(0), F.octet_length("bytes") - width), lambda at: F.struct(
-        at.alias("offset"), window(at).alias("bytes"), F.xxhash64(window(at)).alias("anchor")))
     marked = distinct.join(hot.withColumn("hot", F.lit(True)), "anchor", "left")
-    units = marked.select("run", "doc_id", "docs", F.explode(F.when(F.col("hot"), each).otherwise(alone)).alias("unit")).select(
-        "run", "doc_id", "docs", "unit.*")
     total = distinct.agg(F.sum(F.octet_length("bytes") + 1)).first()[0] or 0
     shards = max(1, math.ceil(total / shard))
-    solved = units.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int")).groupBy("shard").applyInPandas(
-        _shard(width), "run long, low long, high long, least long")
+    solved = marked.filter("hot IS NULL").drop("hot").withColumn(
+        "shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int")).groupBy("shard").applyInPandas(
+        _shard(width), "run long, low long, high long, least long").unionByName(_by_window(marked.filter("hot"), width))
     answers = materialise(solved.groupBy("run").agg(F.collect_list(F.struct("low", "high", "least")).alias("answers")))
     told = placed.select("run", "doc_id", "start").join(answers, "run")  # hot runs: Spark splits skewed partitions
     return told.select("doc_id", "start", F.explode("answers").alias("a")).filter("a.least < doc_id").select(
