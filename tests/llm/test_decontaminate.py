@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -7,6 +8,7 @@ import pytest
 from tests.llm.conftest import ROWS
 from tracemill.llm import decontaminate
 from tracemill.llm.decontaminate import Index, drop_leaks, index_postings, leaks, question_and_answer
+from tracemill.llm.words import word_hashes
 
 
 def corpus(seed=1, n=40):
@@ -77,36 +79,71 @@ def test_finds_questions_alone_and_halves(spark):
     assert min(r.score for r in got) < 0.5 and all(0 < r.score <= 1 + 1e-9 for r in got)
 
 
-def test_best_passage_is_what_the_search_finds(spark):
+def test_score_is_that_of_the_best_passage(spark):
+    """Score and place of each leak against all passages, two blocks from each block's start."""
     items, docs = corpus(4)
     frame = pd.DataFrame(items, columns=["item_id", "text"]).assign(key=lambda f: f["item_id"].astype(str))
     postings = index_postings(spark.createDataFrame(frame)).toPandas()
-    low, high = Index(postings, frame, 0.05, 0.0), Index(postings, frame, 2.0, 0.0)
-    ids, texts = [d for d, _ in docs], [t for _, t in docs]
-    searched, direct = (sorted(decontaminate.find_leaks(index, ids, texts)) for index in (low, high))
-    assert [r[:3] for r in searched] == [r[:3] for r in direct] and searched
-    assert all(abs(a[3] - b[3]) < 1e-9 for a, b in zip(searched, direct))
+    found = decontaminate.find_leaks(Index(postings, frame), [d for d, _ in docs], [t for _, t in docs])
+    units = {k: dict(zip(g["term"], g["weight"])) for k, g in postings.groupby(["key", "unit"])}
+    for doc, item, start, score, *_ in found:
+        words = word_hashes([docs[doc][1]])[0].view(np.int64).tolist()
+        passages = {a: set(words[a:a + 2 * decontaminate.UNIT]) for a in range(0, len(words), decontaminate.UNIT)}
+        scores = {a: max(sum(w for t, w in own.items() if t in passage) for (key, _), own in units.items() if key == str(item))
+                  for a, passage in passages.items()}
+        assert abs(score - max(scores.values())) < 1e-9 and abs(scores[start] - score) < 1e-9
+    assert found
 
 
 @pytest.mark.parametrize("block", [1, 2, 16])
-def test_search_returns_all_above_the_threshold(spark, monkeypatch, block):
+def test_search_returns_all_that_reach_their_thresholds(spark, monkeypatch, block):
     monkeypatch.setattr(decontaminate, "POSTING_BLOCK", block)
     items, _ = corpus(2)
     frame = pd.DataFrame(items, columns=["item_id", "text"]).assign(key=lambda f: f["item_id"].astype(str))
     postings = index_postings(spark.createDataFrame(frame)).toPandas()
-    index = Index(postings, frame, 0.3, 0.1)
-    rng = np.random.default_rng(3)
+    index = Index(postings, frame, 0.3)
+    rng, several = np.random.default_rng(3), 0
     for _ in range(200):
         terms = np.unique(rng.integers(0, len(index.terms), rng.integers(1, 120)))
         scores = np.zeros(index.n_units)
         for t in terms:
-            scores[index.unit[index.at[t]:index.at[t + 1]]] += index.weight[index.at[t]:index.at[t + 1]]
-        wanted = {int(u): scores[u] for u in np.flatnonzero(scores >= 0.3 - 1e-9)}
+            scores[index.unit[index.at[t]:index.at[t + 1]]] += index.share[index.at[t]:index.at[t + 1]]
+        wanted = {int(u): scores[u] for u in np.flatnonzero(scores >= index.floor * (1 - 1e-9))}
         got = dict(index.search(terms))
-        assert got.keys() == wanted.keys() and all(abs(got[u] - wanted[u]) < 1e-9 for u in got)
-        block_of = np.zeros(len(terms), np.int64)
-        if wanted:  # the bound must let through every passage with a hit
-            assert 0 in index.promising(terms, block_of, 1).tolist()
+        assert got.keys() == wanted.keys()
+        assert all(abs(got[u] * index.floor[u] - wanted[u]) < 1e-9 for u in got)
+        several += len(wanted) > 1
+    assert several
+
+
+@pytest.mark.parametrize("least", [0.2, 0.5, 1.0])
+def test_no_text_with_enough_ngrams_is_below_the_threshold(spark, least):
+    """Random sets of n-grams of random items, the rest of the text unknown: the threshold holds for some unit."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(30)]  # few words, so that items repeat words and n-grams
+    items = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(1, 180)))) for i in range(60)]
+    frame = pd.DataFrame(items, columns=["item_id", "text"]).assign(key=lambda f: f["item_id"].astype(str))
+    index = Index(index_postings(spark.createDataFrame(frame)).toPandas(), frame, least)
+    assert index.n_units > 90
+    texts, wanted = [], []
+    for i, text in items:
+        own = text.split()
+        n = min(5, len(own))
+        starts = {tuple(own[a:a + n]): a for a in range(len(own) - n + 1)}
+        some = rng.sample(sorted(starts), math.ceil(least * len(starts)))
+        texts.append(" stop ".join(" ".join(gram) for gram in some))
+        wanted.append(i)
+    got = {(d, i) for d, i, *_ in decontaminate.find_leaks(index, wanted, texts)}
+    assert {(i, i) for i in wanted} <= got
+
+
+def test_answers_are_verified(spark):
+    question = "one two three four five six seven eight nine ten. "
+    items = spark.createDataFrame([(1, question + "alpha beta gamma delta epsilon zeta eta theta iota kappa.")], "item_id long, text string")
+    docs = [(1, question + "alpha beta gamma delta epsilon zeta eta theta."), (2, question + "alpha beta gamma delta epsilon."),
+            (3, question), (4, "alpha beta gamma delta epsilon zeta eta theta iota kappa")]
+    got = leaks(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()
+    assert {r.doc_id: (r.answer_found, round(r.answer_overlap, 3)) for r in got} == {1: (True, 0.667), 2: (False, 0.167), 3: (False, 0.0)}
 
 
 def test_question_and_answer():

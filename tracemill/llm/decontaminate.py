@@ -1,25 +1,28 @@
 """Benchmark decontamination: BM25 with block-max WAND, then a check of question and answer.
 
-Test items are cut into units of at most ``UNIT`` words and indexed with BM25 weights, each
-divided by the unit's score for itself, so that one threshold fits units of any length. The
-index is dealt into shards of bounded size, and every training document is searched against
-each shard: its passages are windows of two blocks of ``UNIT`` words, so any run of ``UNIT``
-words lies in one passage.
-
-Postings are cut into blocks of units with the largest weight of each. The words of a unit
-that together weigh no more than ``SLACK`` cannot bring it to the threshold; the block maxima
-of the other words, summed for all passages of a batch at once, bound every score from above.
-A passage that the bound lets through is searched by block-max WAND, which returns all units
-at or above the threshold. Beside this, the n-grams of the questions are indexed, and every item
-of whose question a document has enough n-grams is found by them, whatever its score: a question
-without its answer, or part of an item, may stay below any threshold. An item found either way is
-a leak if the document has enough of the word n-grams of its question, so all such items are
-reported; the n-grams of its answer and the best score of a passage are reported beside it. A
-question of fewer than ``NGRAM`` words says nothing alone: here the n-grams of the whole item count
-for finding it.
+The question of each test item is cut into units of at most ``UNIT`` words, which overlap so that
+each of its n-grams stands in one unit, and indexed with BM25 weights over the unit's score for
+itself. The index is dealt into shards of bounded size, and every document is searched against each.
+
+The threshold of a unit is derived from ``OVERLAP``, the share of the question's n-grams that makes
+a leak: a text with that share has it of some unit too, and ``c`` n-grams cover at least ``c + n - 1``
+words of the unit, so its score is at least the sum of that many of the unit's lightest words. So the
+search loses no leak: a question without its answer or half an item is found as well as a whole one.
+
+A document is asked by the words of those passages that may hold an n-gram of an item: runs of
+``n`` words each two neighbours of which are neighbours in some question. All its passages are one query,
+so that n-grams in different places count together. Postings are cut into blocks of units with the
+largest weight of each, and block-max WAND returns all units at or above their thresholds.
+
+What it returns is verified by n-grams: a leak has ``OVERLAP`` of those of the question. The answer is
+verified the same way: ``answer_overlap`` is its share and ``answer_found`` tells whether it reaches
+``OVERLAP``; an item is leaked without it too. A question of fewer than ``NGRAM`` words says nothing alone: its item is
+indexed whole, and both the n-grams of the whole item and the question's must reach ``OVERLAP``.
+``score`` is the largest share of a unit's own score that one passage has, two blocks of ``UNIT`` words from
+``passage_start`` on, so that any run of ``UNIT`` words lies in one passage.
 
 Defined cases: a null text, a text without words and an item without words match nothing; an
-item of one sentence is all question and has no answer (overlap null); items with equal id
+item of one sentence is all question and has no answer (overlap and ``answer_found`` null); items with equal id
 are found each for itself and reported once with the larger overlap; repeated rows of
 documents give one row for each item; a null id is reported as null; empty tables give an
 empty result.
@@ -43,17 +46,13 @@ from tracemill.session import materialise
 UNIT = 64
 NGRAM = 5
 K1, B = 1.2, 0.75
-#: Share of a unit's own score from which the search returns it; what is a leak does not depend on it.
-THRESHOLD = 0.6
-#: Share of a unit's own score that its lightest words are left out for in the bound.
-SLACK = 0.25
-#: Share of the question's n-grams that a leak must have.
+#: Share of the question's n-grams that a leak must have; the thresholds of the search follow from it.
 OVERLAP = 0.5
 #: Units of one posting block, and of one shard of the index; a shard has at most SHARD * UNIT postings.
 POSTING_BLOCK = 2
 SHARD = 4096
 LEAKS = ("doc_id long, item_id long, passage_start long, score double, question_overlap double, "
-         "answer_overlap double")
+         "answer_overlap double, answer_found boolean")
 
 
 def question_and_answer(text: str) -> tuple[str, str]:
@@ -62,13 +61,24 @@ def question_and_answer(text: str) -> tuple[str, str]:
     return (" ".join(parts[:-1]), parts[-1]) if len(parts) > 1 else (text, "")
 
 
+def asked_words(text: str) -> np.ndarray:
+    """Word hashes of an item's question, or of the whole item where the question has fewer than ``NGRAM`` words."""
+    words, _ = word_hashes([question_and_answer(text)[0]])
+    return words if len(words) >= NGRAM else word_hashes([text])[0]
+
+
+def unit_starts(n_words: int) -> range:
+    """Where the units of a question begin; each of its n-grams lies in one unit."""
+    return range(0, max(n_words - NGRAM, 0) + 1 if n_words else 0, UNIT - NGRAM + 1)
+
+
 def _unit_terms(frames):
     for frame in frames:
         out = []
-        hashes, at = word_hashes([t or "" for t in frame["text"]])
-        for key, a, b in zip(frame["key"], at[:-1], at[1:]):
-            for unit, start in enumerate(range(a, b, UNIT)):
-                words = hashes[start:min(b, start + UNIT)]
+        for key, text in zip(frame["key"], frame["text"]):
+            hashes = asked_words(text or "")
+            for unit, start in enumerate(unit_starts(len(hashes))):
+                words = hashes[start:start + UNIT]
                 terms, counts = np.unique(words, return_counts=True)
                 out += [(key, unit, t, n, len(words)) for t, n in zip(terms.view(np.int64).tolist(), counts.tolist())]
         yield pd.DataFrame(out, columns=["key", "unit", "term", "tf", "length"])
@@ -88,78 +98,105 @@ def index_postings(items: DataFrame, k1: float = K1, b: float = B) -> DataFrame:
     return weighed.join(own, ["key", "unit"]).select("key", "unit", "term", (F.col("raw") / F.col("own")).alias("weight"))
 
 
+def grams_of(words: np.ndarray) -> tuple[int, np.ndarray]:
+    """``n`` and the distinct n-grams of some words; fewer than ``NGRAM`` words are one n-gram."""
+    n = min(NGRAM, len(words))
+    return n, np.unique(shingle_hashes(words, n)) if n else words
+
+
+class Known:
+    """A set of hashes, asked for many at once."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = np.unique(hashes)
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[self.hashes & np.uint64(0xFFFFF)] = True
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        out = self.maybe[hashes & np.uint64(0xFFFFF)]
+        place = np.flatnonzero(out)
+        out[place] = _inside(self.hashes, hashes[place])
+        return out
+
+
+def _inside(known: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Which of ``asked`` stand in the sorted ``known``."""
+    if not len(known):
+        return np.zeros(len(asked), bool)
+    return known[np.minimum(np.searchsorted(known, asked), len(known) - 1)] == asked
+
+
 class Index:
-    """One shard: postings by term in the order of their units, with block maxima."""
+    """One shard: postings by term in the order of their units, with block maxima.
+
+    ``share`` is a posting's part of its unit's own score; ``weight`` is the same over the unit's threshold, so that
+    the search has the threshold 1 for all units.
+    """
 
-    def __init__(self, postings: pd.DataFrame, items: pd.DataFrame, threshold: float, slack: float):
-        self.threshold, self.slack, self.opened = threshold, slack, {}
+    def __init__(self, postings: pd.DataFrame, items: pd.DataFrame, least: float = OVERLAP):
+        self.least, self.opened = least, {}
         names = postings[["key", "unit"]].drop_duplicates().sort_values(["key", "unit"]).reset_index(drop=True)
         number = {(k, u): i for i, (k, u) in enumerate(zip(names["key"], names["unit"]))}
         unit = np.array([number[k, u] for k, u in zip(postings["key"], postings["unit"])], np.int64)
-        term, weight = postings["term"].to_numpy(np.int64).view(np.uint64), postings["weight"].to_numpy()
+        term, share = postings["term"].to_numpy(np.int64).view(np.uint64), postings["weight"].to_numpy()
         self.unit_key, self.n_units = names["key"].tolist(), len(names)
-        self.items = {k: (i, *question_and_answer(t or "")) for k, i, t in zip(items["key"], items["item_id"], items["text"])}
-        essential = self._essential(unit, weight)
-        self._index_grams()
         order = np.lexsort((unit, term))
-        self.unit, self.weight, term, essential = unit[order], weight[order], term[order], essential[order]
+        self.unit, self.share, term = unit[order], share[order], term[order]
         self.terms, first = np.unique(term, return_index=True)
         self.at = np.append(first, len(term))
-        self.most = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
-        # block maxima of the essential postings, by term
-        owner = np.repeat(np.arange(len(self.terms)), np.diff(self.at))[essential]
-        block = self.unit[essential] // POSTING_BLOCK
-        self.n_blocks = self.n_units // POSTING_BLOCK + 1
-        cell, start = np.unique(owner * self.n_blocks + block, return_index=True)
-        self.bound = np.maximum.reduceat(self.weight[essential], start) if len(start) else np.zeros(0)
-        self.bound_block = cell % self.n_blocks
-        self.bound_at = np.searchsorted(cell // self.n_blocks, np.arange(len(self.terms) + 1))
         # postings by unit, and the units of each item
         self.by_unit = np.argsort(self.unit, kind="stable")
         self.unit_at = np.searchsorted(self.unit[self.by_unit], np.arange(self.n_units + 1))
         self.units_of: dict[str, list[int]] = {}
         for u, k in enumerate(self.unit_key):
             self.units_of.setdefault(k, []).append(u)
+        self._read_items(items)
+        self.weight = self.share / self.floor[self.unit] if len(self.unit) else self.share
+        self.most = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
 
-    def _index_grams(self) -> None:
-        """The distinct n-grams of all questions, or whole items where these are short, with the numbers of
-        their items, by the n of :func:`overlap`."""
-        self.item_keys, self.n_grams, by_n = list(self.items), np.zeros(len(self.items), np.int64), {}
-        for number, key in enumerate(self.item_keys):
-            own, _ = word_hashes([self.items[key][1]])
-            if len(own) < NGRAM:
-                own, _ = word_hashes([" ".join(self.items[key][1:])])
-            if len(own):
-                n = min(NGRAM, len(own))
-                grams = np.unique(shingle_hashes(own, n))
-                self.n_grams[number] = len(grams)
-                by_n.setdefault(n, []).append((grams, np.full(len(grams), number)))
-        self.grams = {}
-        for n, parts in by_n.items():
-            gram, item = (np.concatenate(c) for c in zip(*parts))
-            order = np.argsort(gram, kind="stable")
-            known, first = np.unique(gram[order], return_index=True)
-            maybe = np.zeros(1 << 20, bool)
-            maybe[known & np.uint64(0xFFFFF)] = True
-            self.grams[n] = known, np.append(first, len(gram)), item[order], maybe
-
-    def asked(self, words: np.ndarray, at: np.ndarray, least: float) -> list[tuple[int, str]]:
-        """All texts and items where the text has at least ``least`` of the n-grams indexed for the item."""
-        out = []
-        for n, (known, first, item, maybe) in self.grams.items():
-            grams = shingle_hashes(words, n)
-            place = np.flatnonzero(maybe[grams & np.uint64(0xFFFFF)])
-            found = np.minimum(np.searchsorted(known, grams[place]), len(known) - 1)
-            text = np.searchsorted(at, place, side="right") - 1
-            same = (known[found] == grams[place]) & (place + n <= at[np.minimum(text + 1, len(at) - 1)])
-            once = np.unique(text[same] * len(known) + found[same])  # an n-gram counts once in a text
-            text, found = once // len(known), once % len(known)
-            sizes = first[found + 1] - first[found]
-            entry = np.repeat(first[found] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())
-            pair, count = np.unique(np.repeat(text, sizes) * len(self.items) + item[entry], return_counts=True)
-            for p in pair[count >= least * self.n_grams[pair % len(self.items)] - 1e-9].tolist():
-                out.append((p // len(self.items), self.item_keys[p % len(self.items)]))
-        return out
+    def _read_items(self, items: pd.DataFrame) -> None:
+        """What verification compares, the threshold of each unit, and the pairs of neighbours in the questions by ``n``."""
+        self.items, self.floor, pairs = {}, np.full(self.n_units, np.inf), {}
+        for key, item, text in zip(items["key"], items["item_id"], items["text"]):
+            question, answer = (grams_of(word_hashes([t])[0]) for t in question_and_answer(text or ""))
+            words = asked_words(text or "")
+            n, whole = grams_of(words)
+            self.items[key] = item, question, answer, (n, whole)
+            if not n:
+                continue
+            pairs.setdefault(n, []).append(shingle_hashes(words, min(n, 2)))
+            _, starts = np.unique(shingle_hashes(words, n), return_index=True)  # an n-gram counts where it stands first
+            for unit, start in zip(self.units_of[key], unit_starts(len(words))):
+                count = int(((starts >= start) & (starts < start + UNIT - NGRAM + 1)).sum())
+                if count:
+                    self.floor[unit] = self._least_score(unit, words[start:start + UNIT], math.ceil(self.least * count - 1e-9) + n - 1)
+        self.pairs = {n: Known(np.concatenate(p)) for n, p in pairs.items()}
+
+    def _least_score(self, unit: int, words: np.ndarray, covered: int) -> float:
+        """Share of the unit's score that a text with at least ``covered`` places of these words has for certain."""
+        entries = self.by_unit[self.unit_at[unit]:self.unit_at[unit + 1]]
+        terms = self.terms[np.searchsorted(self.at, entries, side="right") - 1]
+        _, place, times = np.unique(words, return_inverse=True, return_counts=True)
+        # a word standing several times in the unit is paid for once, so each place bears a part of it
+        cost = self.share[entries][np.argsort(terms)][place] / times[place]
+        return float(np.sort(cost)[:covered].sum())
+
+    def asking(self, words: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Places of all words that may be in an n-gram of an item, texts beginning at ``at``."""
+        covered = np.zeros(len(words) + 1, np.int64)
+        for n, known in self.pairs.items():
+            if len(words) < n:
+                continue
+            near = known.has(shingle_hashes(words, min(n, 2)))
+            if n > 1:
+                edges = at[1:-1] - 1
+                near[edges[(edges >= 0) & (edges < len(near))]] = False  # neighbours in different texts
+                run = np.concatenate([[0], np.cumsum(near)])
+                near = run[n - 1:] - run[:len(run) - n + 1] == n - 1
+            begin = np.flatnonzero(near)
+            covered[begin] += 1
+            covered[begin + n] -= 1
+        return np.flatnonzero(np.cumsum(covered[:-1]) > 0)
 
     def best_passage(self, key: str, term: np.ndarray) -> tuple[float, int]:
         """Largest score of a unit of the item in a passage of a text of these terms, and where the passage begins."""
@@ -172,21 +209,11 @@ class Index:
             has = np.zeros((-(-len(term) // UNIT) + 1, len(own)), bool)
             hit = own[slot] == term
             has[block[hit], slot[hit]] = True
-            scores = (has[:-1] | has[1:]) @ self.weight[entries]
+            scores = (has[:-1] | has[1:]) @ self.share[entries]
             if len(scores) and scores.max() > best[0]:
                 best = (float(scores.max()), int(scores.argmax()) * UNIT)
         return best
 
-    def _essential(self, unit: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        """Postings left when each unit's lightest words of together at most ``slack`` are set aside."""
-        order = np.lexsort((weight, unit))
-        running = np.cumsum(weight[order])
-        new = np.concatenate([[True], np.diff(unit[order]) != 0]) if len(unit) else np.zeros(0, bool)
-        before = np.maximum.accumulate(np.where(new, running - weight[order], 0)) if len(unit) else running
-        out = np.empty(len(unit), bool)
-        out[order] = running - before > self.slack
-        return out
-
     def lookup(self, words: np.ndarray) -> np.ndarray:
         """Number of each word's term, or -1."""
         if not len(self.terms):
@@ -194,20 +221,6 @@ class Index:
         found = np.minimum(np.searchsorted(self.terms, words), len(self.terms) - 1)
         return np.where(self.terms[found] == words, found, -1)
 
-    def promising(self, term: np.ndarray, block: np.ndarray, n_blocks: int) -> np.ndarray:
-        """Text blocks ``i`` where the passage of blocks ``i`` and ``i + 1`` may reach the threshold."""
-        known = np.flatnonzero(term >= 0)
-        if not len(known):
-            return known
-        once = np.unique(block[known] * len(self.terms) + term[known])  # a word counts once in a block
-        term, block = once % len(self.terms), once // len(self.terms)
-        sizes = self.bound_at[term + 1] - self.bound_at[term]
-        entry = np.repeat(self.bound_at[term] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())
-        cells = np.bincount(np.repeat(block, sizes) * self.n_blocks + self.bound_block[entry], self.bound[entry],
-                            n_blocks * self.n_blocks).reshape(n_blocks, self.n_blocks)
-        pair = cells + np.vstack([cells[1:], np.zeros((1, self.n_blocks))])
-        return np.flatnonzero((pair >= self.threshold - self.slack - 1e-9).any(1))
-
     def postings(self, term: int):
         """Units, weights, block maxima and the largest weight of a term, as plain lists."""
         if term not in self.opened:
@@ -220,9 +233,9 @@ class Index:
         return self.opened[term]
 
     def search(self, terms: np.ndarray) -> list[tuple[int, float]]:
-        """All units with at least the threshold for the distinct ``terms``, by block-max WAND."""
+        """All units that the distinct ``terms`` bring to their thresholds, by block-max WAND."""
         lists = [[0, *self.postings(t)] for t in terms.tolist()]
-        found, goal = [], self.threshold - 1e-9
+        found, goal = [], 1 - 1e-9
         while True:
             lists = [x for x in lists if x[0] < len(x[1])]
             lists.sort(key=lambda x: x[1][x[0]])
@@ -258,66 +271,60 @@ class Index:
                 x[0] += 1
 
 
-def overlap(text: str, words: np.ndarray) -> float | None:
-    """Share of the n-grams of ``text`` that stand in a document of these ``words``."""
-    own, _ = word_hashes([text])
-    if not len(own):
-        return None
-    n = min(NGRAM, len(own))
-    return float(np.isin(np.unique(shingle_hashes(own, n)), shingle_hashes(words, n)).mean())
+class Grams:
+    """The n-grams of one document, made when first asked for."""
+
+    def __init__(self, words: np.ndarray):
+        self.words, self.made = words, {}
+
+    def overlap(self, n: int, grams: np.ndarray) -> float | None:
+        """Share of ``grams`` that stand in the document; none if there are none."""
+        if not n:
+            return None
+        if n not in self.made:
+            self.made[n] = np.unique(shingle_hashes(self.words, n))
+        return float(_inside(self.made[n], grams).mean())
 
 
-def find_leaks(index: Index, ids: list, texts: list[str], least: float = OVERLAP) -> list[tuple]:
+def find_leaks(index: Index, ids: list, texts: list[str]) -> list[tuple]:
     """The leaks of some documents, one tuple per document and item."""
     words, at = word_hashes(texts)
-    counts = np.diff(at)
-    blocks = np.maximum(1, -(-counts // UNIT))
-    ends = np.cumsum(blocks + 1)  # an empty block parts each two documents
-    owner = np.repeat(np.arange(len(ids)), counts)
-    place = np.arange(len(words)) - at[owner]
-    begin = ends - blocks - 1
-    block = begin[owner] + place // UNIT
-    term = index.lookup(words)
-    best: dict[tuple[int, str], tuple[float, int]] = {}
-    for i in index.promising(term, block, int(ends[-1]) if len(ends) else 0).tolist():
-        doc = int(np.searchsorted(ends, i, side="right"))
-        low = at[doc] + (i - begin[doc]) * UNIT
-        inside = np.unique(term[low:min(low + 2 * UNIT, at[doc + 1])])
-        for unit, score in index.search(inside[inside >= 0]):
-            key = (doc, index.unit_key[unit])
-            if score > best.get(key, (0.0, 0))[0]:
-                best[key] = (score, int(low - at[doc]))
-    for doc, key in index.asked(words, at, least):
-        if (doc, key) not in best:
-            best[doc, key] = index.best_passage(key, term[at[doc]:at[doc + 1]])
+    place = index.asking(words, at)
+    doc, term = np.searchsorted(at, place, side="right") - 1, index.lookup(words[place])
+    once = np.unique(doc[term >= 0] * (len(index.terms) + 1) + term[term >= 0])
+    doc, term = once // (len(index.terms) + 1), once % (len(index.terms) + 1)
+    able = np.flatnonzero(np.bincount(doc, index.most[term], len(ids)) >= 1 - 1e-9)  # all others stay below any threshold
     out = []
-    for (doc, key), (score, start) in best.items():
-        item, question, answer = index.items[key]
-        own = words[at[doc]:at[doc + 1]]
-        asked = overlap(question, own)
-        if asked is not None and asked >= least:
-            out.append((ids[doc], item, start, score, asked, overlap(answer, own)))
+    for d, low, high in zip(able.tolist(), np.searchsorted(doc, able), np.searchsorted(doc, able, side="right")):
+        own, grams = words[at[d]:at[d + 1]], Grams(words[at[d]:at[d + 1]])
+        for key in dict.fromkeys(index.unit_key[unit] for unit, _ in index.search(term[low:high])):
+            item, question, answer, whole = index.items[key]
+            asked = grams.overlap(*question)
+            if asked is None or min(asked, grams.overlap(*whole)) < index.least - 1e-9:
+                continue
+            replied = grams.overlap(*answer)
+            score, start = index.best_passage(key, index.lookup(own))
+            out.append((ids[d], item, start, score, asked, replied, None if replied is None else replied >= index.least - 1e-9))
     return out
 
 
-def _searcher(shared, threshold: float, slack: float, least: float):
+def _searcher(shared, least: float):
     kept: dict = {}
 
     def search(frames):
         for frame in frames:
-            index = kept.get("index") or kept.setdefault("index", Index(*shared.value, threshold, slack))
+            index = kept.get("index") or kept.setdefault("index", Index(*shared.value, least))
             texts, ids, out = [t or "" for t in frame["text"]], frame["id"].astype("Int64").tolist(), []
             for a, b in batches(texts):
-                out += find_leaks(index, [None if i is pd.NA else i for i in ids[a:b]], texts[a:b], least)
+                out += find_leaks(index, [None if i is pd.NA else i for i in ids[a:b]], texts[a:b])
             yield pd.DataFrame(out, columns=[f.split()[0] for f in LEAKS.split(", ")]).astype(
-                {"doc_id": "Int64", "item_id": "Int64", "answer_overlap": "float64"})
+                {"doc_id": "Int64", "item_id": "Int64", "answer_overlap": "float64", "answer_found": "boolean"})
 
     return search
 
 
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-          item_text: str = "text", threshold: float = THRESHOLD, slack: float = SLACK, least: float = OVERLAP,
-          shard: int = SHARD) -> DataFrame:
+          item_text: str = "text", least: float = OVERLAP, shard: int = SHARD) -> DataFrame:
     """One row per document and test item that it has leaked."""
     spark = docs.sparkSession
     named = items.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text).alias("text")).withColumn(
@@ -330,11 +337,12 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     for number in range(shards):
         mine = F.pmod(F.xxhash64("key"), F.lit(shards)) == number
         shared = spark.sparkContext.broadcast((postings.filter(mine).toPandas(), named.filter(mine).toPandas()))
-        part = rows.mapInPandas(_searcher(shared, threshold, slack, least), LEAKS)
+        part = rows.mapInPandas(_searcher(shared, least), LEAKS)
         found = part if found is None else found.unionByName(part)
     return found.groupBy("doc_id", "item_id").agg(F.max(F.struct(
-        "question_overlap", "answer_overlap", "score", "passage_start")).alias("best")).select(
-        "doc_id", "item_id", "best.passage_start", "best.score", "best.question_overlap", "best.answer_overlap")
+        "question_overlap", "answer_overlap", "answer_found", "score", "passage_start")).alias("best")).select(
+        "doc_id", "item_id", "best.passage_start", "best.score", "best.question_overlap", "best.answer_overlap",
+        "best.answer_found")
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
