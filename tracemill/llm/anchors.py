@@ -14,11 +14,12 @@ from tracemill.llm.words import mix
 #: Bytes of an anchor; a power of two.
 GRAM = 16
 _LOW = np.uint64(0xFFF)
+_BYTES = mix(np.arange(256, dtype=np.uint64) + np.uint64(1))
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
     """Hash of the ``GRAM`` bytes from each place (none for the last ``GRAM - 1``)."""
-    h = mix(data.astype(np.uint64) + np.uint64(1))
+    h = np.take(_BYTES, data)
     factor, size = 0x9E3779B97F4A7C15, 1
     while size < GRAM:
         h = h[:-size] * np.uint64(factor) + h[size:]
@@ -100,12 +101,15 @@ def _runs_of(hashes: np.ndarray, size: int, ends: np.ndarray, width: int):
     if size < width:
         return none, none, none, none
     chosen = leftmost_min(hashes, width - GRAM + 1)
-    start = np.arange(len(chosen))
-    owner = np.searchsorted(ends, start, side="right")
-    whole = np.flatnonzero(start + width <= ends[np.minimum(owner, len(ends) - 1)])
-    if not len(whole):
-        return none, none, none, none
-    chosen, owner = chosen[whole], owner[whole]
-    new = np.flatnonzero(np.concatenate([[True], (np.diff(chosen) != 0) | (np.diff(owner) != 0) | (np.diff(whole) != 1)]))
-    first, last = whole[new], whole[np.concatenate([new[1:], [len(whole)]]) - 1]
-    return chosen[new], first, last, owner[new]
+    sizes = np.diff(ends, prepend=0)
+    # windows that begin in the last bytes of a string reach beyond it; so those of two strings are never neighbours
+    inside = np.ones(len(chosen), bool)
+    for back in range(1, width):
+        place = ends[sizes >= back] - back
+        inside[place[place < len(chosen)]] = False
+    new, old = inside.copy(), inside.copy()
+    same = chosen[1:] == chosen[:-1]
+    new[1:] &= ~(same & inside[:-1])
+    old[:-1] &= ~(same & inside[1:])
+    first, last = np.flatnonzero(new), np.flatnonzero(old)
+    return chosen[first], first, last, np.searchsorted(ends, first, side="right")
