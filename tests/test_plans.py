@@ -68,3 +68,10 @@ def test_counts_by_episode_do_not_move_stored_frames(spark):
 
     counts = kept_frames(spark, SF).groupBy("dataset", "recording_id").agg(F.count(F.lit(1)).alias("n"))
     assert "Exchange" not in counts._jdf.queryExecution().executedPlan().toString() and counts.count() > 0
+
+
+def test_episodes_are_never_broadcast(spark, monkeypatch):
+    """A written step looks small, but its rows are as many as the lake has episodes."""
+    monkeypatch.setattr("tracemill.operators.positions.FEW_ROWS", 100)
+    joins = [x for x in plan(spark, "DOM10").split("\n") if "Join [" in x and "recording_id" in x]
+    assert joins and not [x for x in joins if "BroadcastHashJoin" in x]

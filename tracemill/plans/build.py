@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tracemill.functions.paths import match_group
 from tracemill.operators import compose, lake, quality, sampling, split, stats
+from tracemill.operators.positions import keyed
 from tracemill.operators.relabel import EPISODE
 from tracemill.session import materialise
 from tracemill.sources import readers
@@ -35,7 +36,7 @@ def build_dataset(
     ).select("recording_id")
     mine = materialise(episodes.join(sample, "recording_id", "left_semi"))
     numbered = split.split_episodes(split.split_by_hash(mine, ratio, seed))
-    rows = frames.join(numbered.select(*EPISODE), list(EPISODE), "left_semi")
+    rows = frames.join(keyed(numbered.select(*EPISODE)), list(EPISODE), "left_semi")
     names = mine.select("dataset").distinct()
     checks = quality.doctor_checks(
         names, mine, rows, tasks, None if sensors is None else sensors.join(names, "dataset", "left_semi"))
