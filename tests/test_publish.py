@@ -76,3 +76,11 @@ def test_counts_must_agree_with_the_info(table, tmp_path):
         build.publish({**some, "episodes": some["episodes"].filter("episode_index = 0")}, str(tmp_path / "a"))
     with pytest.raises(GateError, match="no frames"):
         build.publish({**some, "frames": some["frames"].filter(F.lit(False))}, str(tmp_path / "b"))
+
+
+def test_gate_looks_at_every_clean_recording(spark):
+    """Every dataset of the lake gets a verdict, and one with a recording without frames fails; no quota hides it."""
+    import __spark_entry__ as entry
+
+    found = [r["status"] for r in entry.queries()["VER6_gate"](spark, "/root/testdata/sf0.001").collect()]
+    assert (found.count("fail"), found.count("warn"), len(found)) == (12, 12, 24)

@@ -20,20 +20,22 @@ CAMERA_TYPES = ("video", "image")
 
 def build_dataset(
     recordings: DataFrame, episodes: DataFrame, frames: DataFrame, tasks: DataFrame,
-    evaluation: DataFrame, info: DataFrame, *, n: int, ratio: float, seed: int = 42, quotas: DataFrame | None = None,
+    evaluation: DataFrame, info: DataFrame, *, n: int | None, ratio: float, seed: int = 42, quotas: DataFrame | None = None,
     by: str = "task", sensors: DataFrame | None = None, **filters,
 ) -> dict[str, DataFrame]:
     """Filter, sample by recipe, remove evaluation data, split, check.
 
+    Without ``n`` and ``quotas`` all that is left goes into the build.
     Returns the tables of the new snapshot and the doctor's report; :func:`publish`
     writes them and checks what was written.
     """
     chosen = lake.query_recordings(recordings, **filters)
     clean = compose.without_leaks(chosen, evaluation)
-    sample = (
-        split.recipe_sample(clean, n, seed) if quotas is None
-        else split.recipe_sample_by_class(clean, quotas, by, seed)
-    ).select("recording_id")
+    if quotas is not None:
+        clean = split.recipe_sample_by_class(clean, quotas, by, seed)
+    elif n is not None:
+        clean = split.recipe_sample(clean, n, seed)
+    sample = clean.select("recording_id")
     mine = materialise(episodes.join(sample, "recording_id", "left_semi"))
     numbered = split.split_episodes(split.split_by_hash(mine, ratio, seed))
     rows = frames.join(keyed(numbered.select(*EPISODE)), list(EPISODE), "left_semi")
