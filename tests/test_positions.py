@@ -93,3 +93,18 @@ def test_sparse_ids(spark):
         for place, x in enumerate(sorted(xs)):
             assert placed[k, x] == place and started[k, x][1] == total
             total += started[k, x][0]
+
+
+def test_tasks_of_a_dealt_table_do_not_grow_with_it(spark, monkeypatch):
+    """Sorted, joined and counted by episode in as many tasks as its rows ask for, in one move."""
+    from workload import views as v
+    from workload.q_domain import dom7
+
+    sf = "/root/testdata/sf0.001"
+    lines = v.table(spark, sf, "lineitem").count()
+    wanted = sorted(map(tuple, dom7(spark, sf).collect()))
+    monkeypatch.setattr("tracemill.operators.positions.TASK_ROWS", lines // 9)
+    frames = v.by_episode(spark, sf, v.frames(spark, sf))
+    assert frames.rdd.getNumPartitions() == 10
+    assert frames.groupBy("dataset", "recording_id").count().rdd.getNumPartitions() == 10
+    assert sorted(map(tuple, dom7(spark, sf).collect())) == wanted

@@ -20,6 +20,10 @@ def weighted(spark, d):
     return sampling.attach_info(v.manifest(spark, d), sampling.frames_per_dataset(v.frames(spark, d)))
 
 
+def counted(spark, d):
+    return stats.episode_task_frames(v.by_episode(spark, d, v.frames(spark, d), ["recording_id"]))
+
+
 def grouped(spark, d):
     return sampling.frames_per_dataset(v.frames(spark, d)).withColumn("grp", match_group(F.col("dataset"), v.RULES))
 
@@ -74,7 +78,7 @@ def agg1(spark, d):
 
 @query("AGG2", f"SELECT DISTINCT {FOLDER} AS task_folder, prompt, recording_id FROM fx_prompts")
 def agg2(spark, d):
-    return stats.prompt_recordings(stats.episode_task_frames(v.frames(spark, d)), v.tasks(spark, d))
+    return stats.prompt_recordings(counted(spark, d), v.tasks(spark, d))
 
 
 PROFILE = f"""SELECT f.task_folder, grp, subdataset_count, total_frames, coalesce(prompt, '') AS prompt, coalesce(prompt_frames, 0) AS prompt_frames,
@@ -85,7 +89,7 @@ PROFILE = f"""SELECT f.task_folder, grp, subdataset_count, total_frames, coalesc
 @query("AGG3", PROFILE)
 def agg3(spark, d):
     return stats.folder_profile(
-        v.info(spark, d), stats.episode_task_frames(v.frames(spark, d)), v.tasks(spark, d), v.RULES)
+        v.info(spark, d), counted(spark, d), v.tasks(spark, d), v.RULES)
 
 
 @query("AGG3_members", f"SELECT {FOLDER} AS task_folder, dataset FROM fx_datasets")
@@ -106,7 +110,7 @@ def ord1(spark, d):
     ON p.task_folder = f.task_folder GROUP BY ROLLUP (grp, f.task_folder)) x""")
 def agg4(spark, d):
     return stats.folder_summary(
-        v.info(spark, d), stats.episode_task_frames(v.frames(spark, d)), v.tasks(spark, d), v.RULES)
+        v.info(spark, d), counted(spark, d), v.tasks(spark, d), v.RULES)
 
 
 @query("AGG5", f"""SELECT grp, count(*) AS folders, CAST(sum(subdataset_count) AS BIGINT) AS datasets, CAST(sum(total_frames) AS BIGINT) AS total_frames,

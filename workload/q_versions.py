@@ -190,6 +190,6 @@ def ver7(spark, d):
 @query("VER7_dagger", """SELECT 'integrity' AS stage, d.dataset AS name, coalesce(n, 0) AS value FROM fx_datasets d LEFT JOIN fx_data_frames f ON f.dataset = d.dataset
   UNION ALL SELECT 'profile', concat(task_folder, '|', prompt), prompt_frames FROM fx_folder_prompts""")
 def ver7_dagger(spark, d):
-    out = build.dagger_run(v.manifest(spark, d), v.raw_episodes(spark, d), v.frames(spark, d), v.tasks(spark, d), v.info(spark, d), v.RULES)
+    out = build.dagger_run(v.manifest(spark, d), v.raw_episodes(spark, d), v.by_episode(spark, d, v.frames(spark, d), ["recording_id"]), v.tasks(spark, d), v.info(spark, d), v.RULES)
     first = out["integrity"].select(F.lit("integrity").alias("stage"), F.col("dataset").alias("name"), F.col("data_frames").alias("value"))
     return first.unionByName(out["profile"].select(F.lit("profile").alias("stage"), F.concat_ws("|", "task_folder", "prompt").alias("name"), F.col("prompt_frames").alias("value")))
