@@ -147,3 +147,15 @@ def test_datasets_with_different_features(spark, table, tmp_path):
     put("c", table([("c", 0, f, "x") for f in range(2)], place + ", gripper string"))
     with pytest.raises(readers.FeatureConflict, match="gripper: double in a, string in c"):
         readers.read_frames(spark, root, ["gripper"])
+
+
+def test_driver_moves_no_episode_files(spark, monkeypatch):
+    """There is a file per episode, so the tasks that write them also put them in their place."""
+    from tracemill.sources import snapshots
+    from workload import q_files
+
+    moved, real = [], snapshots._move_all
+    monkeypatch.setattr(snapshots, "_move_all", lambda store, moves: real(store, (m for m in moves if not moved.append(m))))
+    path = q_files.stored(spark, "/root/testdata/sf0.001")
+    assert moved and not [target for _, target in moved if "/data/" in target]
+    assert snapshots.commit_of(spark, path)["files"] > len(moved)

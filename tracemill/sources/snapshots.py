@@ -59,6 +59,9 @@ class _Store:
     def path(self, name: str):
         return self._path(name)
 
+    def uri(self, name: str) -> str:
+        return self._path(name).makeQualified(self.system.getUri(), self.system.getWorkingDirectory()).toUri().toString()
+
     def read_text(self, name: str) -> str | None:
         if not self.system.exists(self._path(name)):
             return None
@@ -239,7 +242,61 @@ def _observed(counted: Observation, names) -> dict[str, int]:
 PLACE = ("__folder", "__chunk", "__episode", "__part")
 
 
-def _stage_frames(frames: DataFrame, info: DataFrame, staged: str, observed: Observation) -> None:
+def _episode_writer(base: str, names: list[str]):
+    """Write the sorted rows of a task as episode files in their final place; one row with what was written."""
+    def write(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        from pyarrow.fs import FileSystem, FileType
+
+        system, root = FileSystem.from_uri(base)
+        made, done = set(), {"frames": 0, "unplaced": 0, "files": 0}
+        place = writer = None
+
+        def finish():
+            folder, chunk, episode, part = place
+            name = f"episode_{episode:06d}.parquet" if part == 0 else f"episode_{episode:06d}-{part}.parquet"
+            target = f"{root}/{folder}/data/chunk-{chunk:03d}/{name}"
+            writer.close()
+            if system.get_file_info(target).type == FileType.File:  # an earlier attempt of the task
+                system.delete_file(target)
+            system.move(hidden, target)
+            done["files"] += 1
+
+        for batch in batches:
+            folders, others = batch.column(PLACE[0]).dictionary_encode(), [batch.column(c) for c in PLACE[1:]]
+            done["unplaced"] += others[2].null_count
+            codes = [folders.indices.to_numpy(), *(c.fill_null(-1).to_numpy() for c in others)]
+            cuts = np.concatenate([[0], np.flatnonzero(np.any([np.diff(c) != 0 for c in codes], axis=0)) + 1, [batch.num_rows]])
+            rows = batch.select(names)
+            for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                at = (folders[low].as_py(), *(c[low].as_py() for c in others))
+                done["frames"] += high - low
+                if high == low or at[3] is None:
+                    continue
+                if at != place:
+                    if writer is not None:
+                        finish()
+                    place, parent = at, f"{root}/{at[0]}/data/chunk-{at[1]:03d}"
+                    if parent not in made:
+                        system.create_dir(parent, recursive=True)
+                        made.add(parent)
+                    hidden = f"{parent}/.{uuid.uuid4().hex}"
+                    writer = pq.ParquetWriter(hidden, rows.schema, filesystem=system, compression="zstd")
+                writer.write_batch(rows.slice(low, high - low))
+        if writer is not None:
+            finish()
+        yield pa.RecordBatch.from_pylist([done], schema=pa.schema([(k, pa.int64()) for k in done]))
+
+    return write
+
+
+def _write_frames(frames: DataFrame, info: DataFrame, base: str) -> dict[str, int]:
+    """All episode files, written by the tasks that hold their rows, and what was counted.
+
+    Nothing is renamed or listed by the driver, as there is a file per episode. A file gets its name once it is whole.
+    """
     keys = _keys(frames.columns)
     sizes = info.select(*_keys(info.columns), F.col("chunks_size").alias("__size"))
     joined = frames.join(sizes, [k for k in keys if k in sizes.columns], "left")
@@ -247,14 +304,16 @@ def _stage_frames(frames: DataFrame, info: DataFrame, staged: str, observed: Obs
     placed = (
         joined.withColumn("__folder", _folder(frames.columns))
         .withColumn("__chunk", F.floor(F.col("episode_index") / size))
-        .withColumn("__episode", F.col("episode_index"))
+        .withColumn("__episode", F.col("episode_index").cast("bigint"))
         .withColumn("__part", F.floor(F.col("frame_index") / ROWS))
         .drop("__size", *keys)
     )
-    counted = placed.observe(observed, F.count(F.lit(1)).alias("frames"), F.count_if(F.col("frame_index").isNull()).alias("unplaced"))
     # a file is one task's: rows are dealt by file, and files are small
-    dealt = counted.repartition("__folder", "__episode", "__part").sortWithinPartitions(*PLACE, "frame_index")
-    dealt.write.partitionBy(*PLACE).option("compression", "zstd").parquet(f"{staged}/frames")
+    dealt = placed.repartition("__folder", "__episode", "__part").sortWithinPartitions(*PLACE, "frame_index")
+    names = [c for c in placed.columns if c not in PLACE]
+    found = dealt.mapInArrow(_episode_writer(base, names), "frames long, unplaced long, files long").agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("frames", "unplaced", "files")]).first()
+    return found.asDict()
 
 
 def _stage_metadata(lines: DataFrame, staged: str, observed: Observation) -> None:
@@ -267,12 +326,6 @@ def _stage_metadata(lines: DataFrame, staged: str, observed: Observation) -> Non
 
 
 def _moves(store: _Store, staged: str, version: str) -> Iterator[tuple[str, str]]:
-    for source in store.files(f"{staged}/frames"):
-        if source.endswith(".parquet"):
-            at = _parts(source, PLACE)
-            episode, part = int(at["__episode"]), int(at["__part"])
-            name = f"episode_{episode:06d}.parquet" if part == 0 else f"episode_{episode:06d}-{part}.parquet"
-            yield source, f"{version}/{at['__folder']}/data/chunk-{int(at['__chunk']):03d}/{name}"
     for source in store.files(f"{staged}/meta"):
         if source.endswith(".txt"):
             at = _parts(source, ("folder", "file"))
@@ -302,14 +355,13 @@ def write_snapshot(tables: dict[str, DataFrame], path: str, gate: Callable[[Stag
     path = path.rstrip("/")
     name = f"v-{uuid.uuid4().hex}"
     version, staged = f"{path}/{name}", f"{path}/{name}/_staged"
-    frames, metadata = Observation(), Observation()
-    _stage_frames(tables["frames"], tables["info"], staged, frames)
+    metadata, store = Observation(), _Store(spark, path)
+    written = _write_frames(tables["frames"], tables["info"], store.uri(version))
     _stage_metadata(metadata_lines(tables), staged, metadata)
-    counts = {**_observed(frames, ("frames", "unplaced")), **_observed(metadata, ("datasets", "episodes", "tasks"))}
+    counts = {"frames": written["frames"], "unplaced": written["unplaced"], **_observed(metadata, ("datasets", "episodes", "tasks"))}
     if counts["unplaced"]:
         raise GateError(f"{counts['unplaced']} frames have no frame_index")
-    store = _Store(spark, path)
-    files = _move_all(store, _moves(store, staged, version))
+    files = written["files"] + _move_all(store, _moves(store, staged, version))
     store.delete(staged)
     if gate is not None:
         gate(Staged(spark, version, counts))
