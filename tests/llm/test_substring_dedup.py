@@ -1,13 +1,17 @@
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
 
 from tests.llm.conftest import ROWS
+from tracemill.llm import shared
 from tracemill.llm import suffix_array as sa
 from tracemill.llm.anchors import Runs, leftmost_min
+from tracemill.llm.shared import ASKED, Answers, asked, common_answers
 from tracemill.llm.substring_dedup import dedup, smallest_ids
+from tracemill.session import release
 
 
 @pytest.mark.parametrize(("small", "alphabet"), [(4, 2), (4, 8), (4, 1024), (1 << 20, 1024)])
@@ -108,6 +112,59 @@ def test_repeated_bytes_equal_brute_force(spark):
     assert {i: got.get(i, text) for i, text in texts.items()} == wanted
 
 
+def test_no_filter_of_fixed_size_stands_between(spark, monkeypatch):
+    """Such a filter lets every run pass once the table is large enough, and all runs are written."""
+    monkeypatch.setattr(shared, "any_filter", lambda *_: pytest.fail("a filter of fixed size"))
+    rows = [(i, f"{i * 7919:05d} begins here, " + "a passage that two documents have, word for word, in full" * (i < 2)) for i in range(9)]
+    wanted, texts = by_hand(rows)
+    got = {r.doc_id: bytes(r.kept) for r in dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: got.get(i, text) for i, text in texts.items()} == wanted and 1 in got
+
+
+def test_answers_tell_exactly_what_others_have(spark):
+    rng = np.random.default_rng(4)
+    common = rng.integers(-1 << 62, 1 << 62, 500) * 2
+    keys = [np.concatenate([rng.integers(-1 << 62, 1 << 62, 3000) * 2, common[rng.random(500) < 0.6]]) for _ in range(4)]
+    keys[3] = np.concatenate([keys[3], keys[3][:7]])  # twice in one batch: of one owner, or of two
+    owners = [np.full(len(k), i) for i, k in enumerate(keys)]
+    owners[3][-3:] = 9
+    holders = {}
+    for k, o in zip(keys, owners):
+        for key, owner in zip(k.tolist(), o.tolist()):
+            holders.setdefault(key, set()).add(owner)
+
+    def ask(frames):
+        for frame in frames:
+            for i in frame["id"]:
+                yield asked(keys[i], owners[i], 5)
+
+    answers = Answers(common_answers(spark.range(4).repartition(3).mapInPandas(ask, ASKED)))
+    for k in keys:
+        order = rng.permutation(len(k))
+        assert answers(k[order]).tolist() == [len(holders[key]) > 1 for key in k[order].tolist()]
+    assert answers(keys[0][1:]).all()  # did not ask
+    assert answers(np.zeros(0, np.int64)).tolist() == []
+
+
+def test_shuffle_files_of_finished_jobs_go(spark, tmp_path):
+    """Spark deletes them once the plans are forgotten, else whenever the driver happens to collect."""
+    manager = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def left():
+        seen = [-1, manager.getAllFiles().size()]
+        while seen[-1] != seen[-2]:
+            release(spark)
+            time.sleep(0.5)
+            seen.append(manager.getAllFiles().size())
+        return seen[-1]
+
+    before = left()
+    for i in range(3):
+        spark.range(20000).repartition(7, "id").write.parquet(str(tmp_path / f"{i}"))
+    assert manager.getAllFiles().size() > before
+    assert left() <= before
+
+
 def test_edge_rows(edge, empty):
     wanted, _ = by_hand([(i, t) for i, t, _ in ROWS])
     got = {r.doc_id: hashlib.sha256(r.kept).digest() for r in dedup(edge).collect()}

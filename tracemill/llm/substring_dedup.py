@@ -32,58 +32,76 @@ from tracemill.llm.anchors import Runs
 from tracemill.llm.bloom import only_ids
 from tracemill.llm.common import spread_join, table
 from tracemill.llm.exact_dedup import drop_copies
-from tracemill.llm.shared import BLOBS, PER_PART, Filter, blobs, common_filter
+from tracemill.llm.shared import ASKED, PER_PART, Answers, asked, common_answers
 from tracemill.llm.suffix_array import common_prefixes, suffix_array
 from tracemill.llm.words import batches
-from tracemill.session import materialise
+from tracemill.session import materialise, release
 
 WIDTH = 50
 #: Bytes of runs that one shard's suffix array holds, and runs of one anchor from which it is spread.
 SHARD = 1 << 20
 SPREAD = 8192
+#: Characters of texts that ask together which of their keys others have.
+TOGETHER = 1 << 22
 #: Never part of UTF-8.
 END = 255
 
 
-def _encoded(frame: pd.DataFrame):
-    """The texts of a batch in parts: ids, joined bytes and where each text ends."""
+def _encoded(frame: pd.DataFrame, width: int):
+    """The texts of a batch in groups that ask together, each a list of ids, joined bytes, where each text ends, and runs."""
     texts, ids = frame["text"].tolist(), frame["id"].to_numpy()
-    for a, b in batches(texts):
-        raw = [t.encode("utf-8", "replace") for t in texts[a:b]]
-        yield ids[a:b], np.frombuffer(b"".join(raw), np.uint8), np.cumsum([len(r) for r in raw])
-
-
-def _key_blobs(width: int, parts: int):
+    for low, high in batches(texts, TOGETHER):
+        group = []
+        for a, b in batches(texts[low:high]):
+            raw = [t.encode("utf-8", "replace") for t in texts[low + a:low + b]]
+            data, ends = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([len(r) for r in raw])
+            group.append((ids[low + a:low + b], data, ends, Runs(data, ends, width)))
+        yield group
+
+
+def _keys(group):
+    """The keys of the runs of a group and the texts they stand in."""
+    keys, owners = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for ids, _, _, runs in group:
+        for key, has in ((runs.left, runs.has_left), (runs.right, runs.has_right)):
+            keys.append(key[has])
+            owners.append(ids[runs.owner[has]])
+    return np.concatenate(keys), np.concatenate(owners)
+
+
+def _asked(width: int, parts: int):
     def emit(frames):
         for frame in frames:
-            found, owners = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for ids, data, ends in _encoded(frame):
-                runs = Runs(data, ends, width)
-                for key, has in ((runs.left, runs.has_left), (runs.right, runs.has_right)):
-                    found.append(key[has])
-                    owners.append(ids[runs.owner[has]])
-            yield blobs(np.concatenate(found), np.concatenate(owners), parts)
+            for group in _encoded(frame, width):
+                yield asked(*_keys(group), parts)
 
     return emit
 
 
-def _runs(width: int, filters, parts: int):
-    """Runs of windows with a common anchor; equal runs of a batch carry their bytes once."""
+def _runs(width: int, answers: str):
+    """Runs of windows with a common anchor; equal runs of a part of a batch carry their bytes once."""
     kept: dict = {}
 
     def emit(frames):
         for frame in frames:
-            known = kept.get("filter") or kept.setdefault("filter", Filter(filters.value, parts))
-            for ids, data, ends in _encoded(frame):
-                begins = ends - np.diff(ends, prepend=0)
-                runs = Runs(data, ends, width)
-                anchors, first, last, owner, content = runs.keep(known(runs.left), known(runs.right))
-                carries = np.zeros(len(anchors), bool)
-                carries[np.unique(content, return_index=True)[1]] = True
-                raw = data.tobytes()
-                yield pd.DataFrame({
-                    "run": content, "anchor": anchors, "doc_id": ids[owner], "start": first - begins[owner],
-                    "bytes": [raw[a:b + width] if c else None for a, b, c in zip(first.tolist(), last.tolist(), carries)]})
+            known = kept.get("answers") or kept.setdefault("answers", Answers(answers))
+            for group in _encoded(frame, width):
+                common, at = known(_keys(group)[0]), 0
+                for ids, data, ends, runs in group:
+                    sides = []
+                    for has in (runs.has_left, runs.has_right):
+                        side, n = np.zeros(len(has), bool), int(has.sum())
+                        side[has] = common[at:at + n]
+                        sides.append(side)
+                        at += n
+                    anchors, first, last, owner, content = runs.keep(*sides)
+                    begins = ends - np.diff(ends, prepend=0)
+                    carries = np.zeros(len(anchors), bool)
+                    carries[np.unique(content, return_index=True)[1]] = True
+                    raw = data.tobytes()
+                    yield pd.DataFrame({
+                        "run": content, "anchor": anchors, "doc_id": ids[owner], "start": first - begins[owner],
+                        "bytes": [raw[a:b + width] if c else None for a, b, c in zip(first.tolist(), last.tolist(), carries)]})
 
     return emit
 
@@ -160,12 +178,14 @@ def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     once = drop_copies(named.filter("id IS NOT NULL"), "id", "text", smallest=True)
     size = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, math.ceil(size / 10 / PER_PART))
-    filters = common_filter(once.mapInPandas(_key_blobs(width, parts), BLOBS))
+    answers = common_answers(once.mapInPandas(_asked(width, parts), ASKED))
+    release(docs.sparkSession)
     placed = materialise(once.mapInPandas(
-        _runs(width, filters, parts), "run long, anchor long, doc_id long, start long, bytes binary"))
+        _runs(width, answers), "run long, anchor long, doc_id long, start long, bytes binary"))
     distinct = materialise(placed.groupBy("run").agg(
         F.min("anchor").alias("anchor"), F.min("doc_id").alias("doc_id"), F.max("bytes").alias("bytes"),
         F.when(F.min("doc_id") == F.max("doc_id"), 1).otherwise(2).alias("docs")))
+    release(docs.sparkSession)
     hot = materialise(distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > spread).select("anchor"))
     marked = distinct.join(hot.withColumn("hot", F.lit(True)), "anchor", "left")
     total = distinct.agg(F.sum(F.octet_length("bytes") + 1)).first()[0] or 0
@@ -173,8 +193,9 @@ def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     solved = marked.filter("hot IS NULL").drop("hot").withColumn(
         "shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int")).groupBy("shard").applyInPandas(
         _shard(width), "run long, low long, high long, least long").unionByName(_by_window(marked.filter("hot"), width))
-    answers = materialise(solved.groupBy("run").agg(F.collect_list(F.struct("low", "high", "least")).alias("answers")))
-    told = placed.select("run", "doc_id", "start").join(answers, "run")  # hot runs: Spark splits skewed partitions
+    answered = materialise(solved.groupBy("run").agg(F.collect_list(F.struct("low", "high", "least")).alias("answers")))
+    release(docs.sparkSession)
+    told = placed.select("run", "doc_id", "start").join(answered, "run")  # hot runs: Spark splits skewed partitions
     return told.select("doc_id", "start", F.explode("answers").alias("a")).filter("a.least < doc_id").select(
         "doc_id", (F.col("start") + F.col("a.low")).alias("low"), (F.col("start") + F.col("a.high") + width).alias("high"))
 
@@ -186,6 +207,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     spans = removed_spans(docs, id_col, text_col, width, shard, spread).groupBy("doc_id").agg(
         F.collect_list(F.struct("low", "high")).alias("spans"))
     spans = materialise(spans)
+    release(docs.sparkSession)
     texts = only_ids(docs, id_col, spans, "doc_id").select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).dropDuplicates(["doc_id"])
     return texts.join(spans, "doc_id").mapInPandas(
