@@ -50,17 +50,19 @@ def folder_members(manifest: DataFrame) -> DataFrame:
 
 
 def folder_totals(info: DataFrame, rules) -> DataFrame:
-    """Total frames, sub-datasets and duration per task folder.
+    """Total frames and sub-datasets per task folder; the sub-datasets are listed where there are several.
 
     ``info`` is (dataset, frames); the frames of a dataset that could not be read
     are null and count 0, the dataset itself still counts. The group is matched
     on the folder, not on the dataset path.
     """
     folder = task_folder(F.col("dataset")).alias("task_folder")
+    members = F.concat_ws(", ", F.sort_array(F.collect_list("dataset")))
     return (
         info.groupBy(folder)
         .agg(
             F.count(F.lit(1)).alias("subdataset_count"),
+            F.when(F.count(F.lit(1)) > 1, members).otherwise("").alias("subdatasets"),
             F.coalesce(F.sum("frames"), F.lit(0)).alias("total_frames"),
         )
         .withColumn("grp", match_group(F.col("task_folder"), rules))
@@ -74,13 +76,17 @@ def with_duration(df: DataFrame, frames: str = "total_frames", fps: int = FPS) -
 
 
 def prompt_counts(counted: DataFrame, tasks: DataFrame) -> DataFrame:
-    """Frames and distinct recordings per task folder and prompt."""
+    """Frames and distinct recordings, with their ids, per task folder and prompt."""
     return (
         with_prompt(counted, tasks)
         .groupBy(task_folder(F.col("dataset")).alias("task_folder"), "prompt", "recording_id")
         .agg(F.sum("frames").alias("frames"))
         .groupBy("task_folder", "prompt")
-        .agg(F.sum("frames").alias("prompt_frames"), F.count("recording_id").alias("recording_count"))
+        .agg(
+            F.sum("frames").alias("prompt_frames"),
+            F.count("recording_id").alias("recording_count"),
+            F.concat_ws(", ", F.sort_array(F.collect_list("recording_id"))).alias("recording_ids"),
+        )
     )
 
 
@@ -88,13 +94,14 @@ def folder_profile(info: DataFrame, counted: DataFrame, tasks: DataFrame, rules,
     """One row per task folder and prompt; a folder without prompts has one row.
 
     prompt_ratio compares frames in the data with frames in the metadata, so it
-    can exceed 1.
+    can exceed 1. Sub-datasets and recordings are listed as the report has them;
+    :func:`folder_members` and :func:`prompt_recordings` give them as rows.
     """
     joined = folder_totals(info, rules).join(prompt_counts(counted, tasks), "task_folder", "left")
     return with_duration(
         joined.withColumn(
             "prompt_ratio", F.bround(share(F.col("prompt_frames"), F.col("total_frames")), 4)
-        ).fillna({"prompt": "", "prompt_frames": 0, "recording_count": 0}),
+        ).fillna({"prompt": "", "prompt_frames": 0, "recording_count": 0, "recording_ids": ""}),
         fps=fps,
     )
 

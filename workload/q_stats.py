@@ -86,12 +86,26 @@ PROFILE = f"""SELECT f.task_folder, grp, subdataset_count, total_frames, coalesc
   {DURATION.format('total_frames')} FROM fx_folders f LEFT JOIN fx_folder_prompts p ON p.task_folder = f.task_folder"""
 
 
-@query("AGG3", PROFILE)
-def agg3(spark, d):
+VIEWS["fx_subdatasets"] = f"""
+SELECT {FOLDER} AS task_folder, CASE WHEN count(*) > 1 THEN string_agg(dataset, ', ' ORDER BY dataset) ELSE '' END AS subdatasets FROM fx_info GROUP BY 1"""
+VIEWS["fx_prompt_ids"] = f"""
+SELECT task_folder, prompt, string_agg(CAST(recording_id AS VARCHAR), ', ' ORDER BY recording_id) AS recording_ids FROM
+ (SELECT DISTINCT {FOLDER} AS task_folder, prompt, recording_id FROM fx_prompts) x GROUP BY ALL"""
+
+
+@query("AGG3_lists", f"""SELECT x.*, subdatasets, coalesce(recording_ids, '') AS recording_ids FROM ({PROFILE}) x
+  JOIN fx_subdatasets s ON s.task_folder = x.task_folder LEFT JOIN fx_prompt_ids i ON i.task_folder = x.task_folder AND i.prompt = x.prompt""")
+def agg3_lists(spark, d):
+    """The whole report; AGG3 and ORD1 have its columns without the lists."""
     return stats.folder_profile(
         v.info(spark, d), counted(spark, d), v.tasks(spark, d), v.RULES)
 
 
+@query("AGG3", PROFILE)
+def agg3(spark, d):
+    return agg3_lists(spark, d).drop("subdatasets", "recording_ids")
+
+
 @query("AGG3_members", f"SELECT {FOLDER} AS task_folder, dataset FROM fx_datasets")
 def agg3_members(spark, d):
     return stats.folder_members(v.manifest(spark, d))
